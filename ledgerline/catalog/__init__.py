@@ -2,8 +2,8 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams", "activity", "features",
-            "web", "surveys", "licenses", "revenue", "crm", "release"]
+SECTIONS = ["sources"]
+
 
 
 def load() -> None:

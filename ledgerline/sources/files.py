@@ -30,7 +30,7 @@ def load_files(spark: SparkSession, path: str, name_regex: str, schema: StructTy
     wanted = [f for f in list_files(spark, path) if re.search(name_regex, f)]
     if not wanted:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).options(mode="DROPMALFORMED", **options).format(fmt).load(wanted)
+    return spark.read.schema(schema).options(mode="DROPMALFORMED", columnPruning="false", **options).format(fmt).load(wanted)
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
@@ -56,12 +56,12 @@ def date_range(first: date, end: date) -> Iterable[date]:
     return (first + timedelta(days=n) for n in range(max((end - first).days, 0)))
 
 
-def date_prefixes(prefix: str, first: date, end: date) -> list[str]:
-    return [re.sub(r"(?<!:)/{2,}", "/", f"{prefix}/{d:%Y/%m/%d}") for d in date_range(first, end)]
+def date_prefixes(prefix: str, first: date, end: date, layout: str = "%Y/%m/%d") -> list[str]:
+    return [re.sub(r"(?<!:)/{2,}", "/", f"{prefix}/{d:{layout}}") for d in date_range(first, end)]
 
 
 def load_incremental_by_date(spark: SparkSession, prefix: str, target: DataFrame | None, ts: str, today: date,
-                             reader) -> DataFrame | None:
+                             reader, layout: str = "%Y/%m/%d") -> DataFrame | None:
     """Load the dated folders from the target's latest day up to today (exclusive).
 
     An empty target loads everything under the prefix. ``reader(paths)`` reads a list of folders.
@@ -70,7 +70,7 @@ def load_incremental_by_date(spark: SparkSession, prefix: str, target: DataFrame
     if mark is None:
         return reader([prefix])
     first = mark if type(mark) is date else mark.date()
-    folders = [p for p in date_prefixes(prefix, first, today) if list_files(spark, p)]
+    folders = [p for p in date_prefixes(prefix, first, today, layout) if list_files(spark, p)]
     return reader(folders) if folders else None
 
 
