@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources"]
+SECTIONS = ["sources", "relational", "aggregates"]
 
 
 
