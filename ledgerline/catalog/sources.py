@@ -322,3 +322,109 @@ def _(t):
     return files.load_incremental_by_date(
         t.spark, path, done, "ingestion_date", date(2024, 1, 31), lambda p: t.spark.read.parquet(*p), layout="day=%Y-%m-%d"
     )
+
+
+PLUGIN = "survey.plugin"
+
+
+def _zip(files_of_row):
+    """Packets as (path, zip bytes), one per row of the batch."""
+
+    def build(batches):
+        import io
+        import zipfile
+
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                buffer = io.BytesIO()
+                with zipfile.ZipFile(buffer, "w") as packet:
+                    for name, content in files_of_row(row).items():
+                        packet.writestr(name, content)
+                out.append((f"packet/{row['id']}.zip", buffer.getvalue()))
+            yield pd.DataFrame(out, columns=["path", "content"])
+
+    return build
+
+
+def _metadata(row) -> str:
+    return (
+        f"version: 1\ntype: plugin-packet\ngenerated_at: 1721728796871\nserver_version: 9.1.0\nserver_id: '{str(row['id']).zfill(26)}'\n"
+        f"extras:\n  plugin_id: {PLUGIN}\n  plugin_version: 1.0.1\n"
+    )
+
+
+def _survey_files(row):
+    import csv
+    import io
+    import json
+
+    answers = io.StringIO(newline="")
+    lines = csv.writer(answers)
+    lines.writerow(["User ID", "Submitted At", "How likely?", "Why?"])
+    lines.writerow([f"u{row['id']}", "23 July 2024", row["score"], row["text"]])
+    survey = {
+        "id": str(row["id"]).zfill(26), "detractor_count": 0, "passive_count": 0, "promoter_count": 1, "receipt_count": 1,
+        "response_count": 1, "start_time": "1 August 2024" if row["late"] else "1 July 2024", "duration": "30",
+        "questions": [{"id": "q1", "text": "How likely?", "type": "linear_scale"}, {"id": "q2", "text": "Why?", "type": "text"}],
+    }
+    return {"metadata.yaml": _metadata(row), "survey_metadata.json": json.dumps(survey), "responses.csv": answers.getvalue()}
+
+
+@query("a30_ingest_survey_packets", """
+WITH p AS (SELECT conv_id || '-' || turn AS id, turn % 11 AS score, text FROM conversations WHERE role <> 'system')
+SELECT 'packet/' || id || '.zip' AS source, 'u' || id AS user_id, DATE '2024-07-23' AS submitted_at, 'How likely?' AS question, score::VARCHAR AS answer, 'linear_scale' AS question_type FROM p
+UNION ALL SELECT 'packet/' || id || '.zip', 'u' || id, DATE '2024-07-23', 'Why?', text, 'text' FROM p""")
+def _(t):
+    from ..sources.packets import ingest_survey_packets
+
+    rows = t.conversations.select(
+        F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("turn") % 11).alias("score"), "text", (F.col("role") == "system").alias("late")
+    )
+    packets = rows.mapInPandas(_zip(_survey_files), "path string, content binary")
+    accepted, _ = ingest_survey_packets(packets, PLUGIN, s.AS_OF)
+    return accepted.select("source", "user_id", "submitted_at", "question", "answer", "question_type")
+
+
+def _support_files(row):
+    body = "".join(
+        f"{k}: {v}\n"
+        for k, v in {
+            "server_os": "linux", "server_architecture": "amd64", "server_version": "8.1.9", "build_hash": "abc", "database_type": "postgres",
+            "database_version": '"13.10"', "database_schema_version": '"113"', "license_to": row["c_name"], "license_supported_users": 100,
+            "active_users": row["c_nationkey"], "total_channels": 1, "total_posts": 2, "total_teams": 1, "daily_active_users": 1,
+            "monthly_active_users": 1, "websocket_connections": 0, "master_db_connections": 1, "read_db_connections": 0, "inactive_user_count": 0,
+        }.items()
+        if k != "build_hash" or not row["broken"]
+    )
+    job = f"- id: j{row['id']}\n  type: migrations\n  priority: 0\n  createat: 1723734966121\n  startat: 1723734980530\n  lastactivityat: 1723734981002\n  status: success\n  progress: 0\n  data:\n    step: last\n"
+    files_in = {"support_packet.yaml": f"{body}ldap_sync_jobs: []\nmigration_jobs:\n{job}compliance_jobs:\n{job}"}
+    if row["c_nationkey"] > 4:
+        files_in["metadata.yaml"] = _metadata(row)
+    return files_in
+
+
+def _support_packets(t):
+    rows = t.customer.select(F.col("c_custkey").alias("id"), "c_name", "c_nationkey", (F.col("c_acctbal") < 0).alias("broken"))
+    return rows.mapInPandas(_zip(_support_files), "path string, content binary")
+
+
+@query("a31_ingest_support_packets", """
+SELECT 'packet/' || c_custkey || '.zip' AS source, c_name AS license_to, c_nationkey AS active_users, CASE WHEN c_nationkey > 4 THEN lpad(c_custkey::VARCHAR, 26, '0') ELSE 'Unknown' END AS metadata_server_id
+FROM customer WHERE c_acctbal >= 0""")
+def _(t):
+    from ..sources.packets import ingest_support_packets
+
+    wide, _, _ = ingest_support_packets(_support_packets(t), s.AS_OF)
+    return wide.select("source", "license_to", "active_users", "metadata_server_id")
+
+
+@query("a31_ingest_support_jobs", """
+SELECT 'packet/' || c_custkey || '.zip' AS source, 'j' || c_custkey AS id, 'success' AS status, TIMESTAMP '2024-08-15 15:16:06.121' AS createat, '{"step":"last"}' AS data FROM customer, range(2) WHERE c_acctbal >= 0""")
+def _(t):
+    from ..sources.packets import ingest_support_packets
+
+    _, jobs, _ = ingest_support_packets(_support_packets(t), s.AS_OF)
+    return jobs.select("source", "id", "status", "createat", "data")
