@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams"]
+SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams", "activity"]
 
 
 
