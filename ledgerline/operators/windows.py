@@ -142,3 +142,30 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequen
     """Last known value per key on a spine (rows per key bounded by its days)."""
     w = running(keys, order)
     return df.withColumns({c + suffix: F.last(c, ignorenulls=True).over(w) for c in columns})
+
+
+def next_value(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], name: str) -> DataFrame:
+    """``lead(value)`` in the order of (value, tie) without sorting a whole key in one task.
+
+    The next distinct value comes from a scan over distinct values; rows that share a value point at
+    that value again unless they are the last of them. ``tie`` must be unique among equal values.
+    """
+    last = df.groupBy(*keys, value).agg(F.max(F.struct(*tie)).alias("_last"))
+    steps = last.withColumn("_next", F.lead(value).over(window(keys, value)))
+    right = steps.select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, value]], "_last", "_next")
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*keys, value]]
+    joined = df.join(right, on, "left")
+    following = F.when(F.struct(*tie) < F.col("_last"), F.col(value)).otherwise(F.col("_next"))
+    return joined.withColumn(name, following).drop("_last", "_next", *[f"_k_{k}" for k in [*keys, value]])
+
+
+def leads_by_rank(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], value: str, offsets: Sequence[int]) -> DataFrame:
+    """``lead(value, n)`` for several n as columns ``_lead_<n>``: rows are ranked by chunks, each row is
+    handed to the ranks before it, and one aggregate on (key, rank) collects them."""
+    ranked = chunked_scan(df, keys, chunk, order, row_number="_rank")
+    given = ranked.select(*keys, "_rank", value, F.explode(F.array(*[F.lit(n) for n in offsets])).alias("_n")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], (F.col("_rank") - F.col("_n")).alias("_r"), "_n", value
+    )
+    wide = given.groupBy(*[f"_k_{k}" for k in keys], "_r").agg(*[F.max(F.when(F.col("_n") == n, F.col(value))).alias(f"_lead_{n}") for n in offsets])
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_rank") == F.col("_r")]
+    return ranked.join(wide, on, "left").drop("_r", *[f"_k_{k}" for k in keys])
