@@ -450,7 +450,7 @@ def _(t):
         F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias("own"),
     )
     by_account = windows.group_stats(x, ["o_custkey"], account_value=F.max("own"))
-    both = windows.group_stats(by_account, ["contact"], contact_value=F.max("own"))
+    both = windows.group_stats(by_account, ["contact"], x, contact_value=F.max("own"))
     return both.select("o_orderkey", F.coalesce("own", "account_value", "contact_value").alias("identity"))
 
 

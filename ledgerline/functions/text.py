@@ -61,19 +61,11 @@ def uuid5(namespace: str, name: Column | str) -> Column:
 def parse_query_string(c: Column | str) -> Column:
     """``a=1&b=&a=2`` to ``{a: 1, b: ''}``: the first value of a key wins, blanks are kept."""
     decode = lambda x: F.try_url_decode(F.replace(x, F.lit("+"), F.lit(" ")))
+    value = lambda p: F.when(F.instr(p, "=") > 0, F.substr(p, F.instr(p, "=") + 1)).otherwise("")
     pairs = F.filter(F.split(col(c), "&"), lambda p: p != "")
-    keyed = F.transform(
-        pairs,
-        lambda p: F.struct(
-            decode(F.substring_index(p, "=", 1)).alias("key"),
-            decode(F.when(F.instr(p, "=") > 0, F.regexp_replace(p, "^[^=]*=", "")).otherwise("")).alias("value"),
-        ),
-    )
-    names = F.array_distinct(F.transform(keyed, lambda kv: kv["key"]))
-    firsts = F.transform(
-        names,
-        lambda n: F.struct(n.alias("key"), F.get(F.filter(keyed, lambda kv: kv["key"] == n), F.lit(0))["value"].alias("value")),
-    )
+    names = F.transform(pairs, lambda p: F.substring_index(p, "=", 1))
+    entries = F.transform(pairs, lambda p: F.struct(decode(F.substring_index(p, "=", 1)).alias("key"), decode(value(p)).alias("value")))
+    firsts = F.filter(entries, lambda e, i: F.array_position(names, F.get(names, i)) == i + 1)
     return F.map_from_entries(firsts)
 
 

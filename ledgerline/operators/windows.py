@@ -60,9 +60,14 @@ def latest_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
     )
 
 
-def group_stats(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
-    """Aggregates over the whole partition as extra columns: aggregate, then join back."""
-    return df.join(df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()]), list(keys), "left")
+def group_stats(df: DataFrame, keys: Sequence[str], source: DataFrame | None = None, **aggs: Column) -> DataFrame:
+    """Aggregates over the whole partition as extra columns: aggregate, then join back.
+
+    ``df`` is read twice. In a chain of calls give the first frame as ``source`` of all of them, or
+    write the frame down between them; otherwise every call doubles the reads.
+    """
+    stats = (df if source is None else source).groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    return df.join(stats, list(keys), "left")
 
 
 def chunked_scan(
@@ -144,19 +149,19 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequen
     return df.withColumns({c + suffix: F.last(c, ignorenulls=True).over(w) for c in columns})
 
 
-def next_value(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], name: str) -> DataFrame:
+def next_value(df: DataFrame, keys: Sequence[str], value: str, tie: Sequence[str], name: str, source: DataFrame | None = None) -> DataFrame:
     """``lead(value)`` in the order of (value, tie) without sorting a whole key in one task.
 
     The next distinct value comes from a scan over distinct values; rows that share a value point at
     that value again unless they are the last of them. ``tie`` must be unique among equal values.
     """
-    last = df.groupBy(*keys, value).agg(F.max(F.struct(*tie)).alias("_last"))
-    steps = last.withColumn("_next", F.lead(value).over(window(keys, value)))
-    right = steps.select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, value]], "_last", "_next")
+    last = (df if source is None else source).groupBy(*keys, value).agg(F.max(F.struct(*tie)).alias("_last"))
+    steps = last.withColumn("_after", F.lead(value).over(window(keys, value)))
+    right = steps.select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, value]], "_last", "_after")
     on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in [*keys, value]]
     joined = df.join(right, on, "left")
-    following = F.when(F.struct(*tie) < F.col("_last"), F.col(value)).otherwise(F.col("_next"))
-    return joined.withColumn(name, following).drop("_last", "_next", *[f"_k_{k}" for k in [*keys, value]])
+    following = F.when(F.struct(*tie) < F.col("_last"), F.col(value)).otherwise(F.col("_after"))
+    return joined.withColumn(name, following).drop("_last", "_after", *[f"_k_{k}" for k in [*keys, value]])
 
 
 def leads_by_rank(df: DataFrame, keys: Sequence[str], chunk: Column, order: Sequence[str], value: str, offsets: Sequence[int]) -> DataFrame:
