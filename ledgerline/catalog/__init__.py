@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams", "activity", "features", "web", "surveys", "licenses"]
+SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams", "activity", "features", "web", "surveys", "licenses", "revenue"]
 
 
 

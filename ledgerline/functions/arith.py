@@ -59,3 +59,10 @@ def convert_bytes(c: Column | str, unit: str) -> Column:
 def stable_bucket(c: Column | str, n: int) -> Column:
     """Deterministic stand-in for a random filler value in ``[0, n)``."""
     return F.pmod(F.xxhash64(col(c)), F.lit(n)).cast("int")
+
+
+def half_up(c: Column | str, digits: int = 0) -> Column:
+    """Half-up rounding by plain double arithmetic, the same on every engine."""
+    scale = float(10**digits)
+    x = col(c).cast("double")
+    return F.signum(x) * F.floor(F.abs(x) * scale + 0.5).cast("double") / scale

@@ -166,3 +166,22 @@ def first_seen_running(active: DataFrame, keys: Sequence[str], member: str, day:
     return firsts.groupBy(*keys, day).agg(F.count("*").alias("_new")).select(
         *keys, day, F.sum("_new").over(w).alias(name)
     )
+
+
+def interval_sums(df: DataFrame, keys: Sequence[str], start: str, end: str, measures: Sequence[str], frm: str = "from_day", to: str = "to_day") -> DataFrame:
+    """Sum of the measures of all intervals in force, as steps ``[frm, to]`` per key (both ends included).
+
+    Every interval gives one mark where it starts and one after it ends; a running sum over the marked
+    days gives the steps. So a year-long interval costs two rows, not 365. ``_open`` counts intervals.
+    """
+    from pyspark.sql import Window
+
+    up = df.select(*keys, F.col(start).alias(frm), *measures, F.lit(1).alias("_open"))
+    down = df.select(*keys, F.date_add(end, 1).alias(frm), *[(-F.col(m)).alias(m) for m in measures], F.lit(-1).alias("_open"))
+    columns = [*measures, "_open"]
+    marks = up.unionByName(down).groupBy(*keys, frm).agg(*[F.sum(c).alias(c) for c in columns])
+    w = Window.partitionBy(*keys).orderBy(frm)
+    steps = marks.select(
+        *keys, frm, F.date_sub(F.lead(frm).over(w), 1).alias(to), *[F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias(c) for c in columns]
+    )
+    return steps.where(F.col("_open") > 0)
