@@ -2,7 +2,10 @@
 
 from importlib import import_module
 
-SECTIONS = ["sources", "relational", "aggregates", "scalars", "quality", "streams", "activity", "features", "web", "surveys", "licenses", "revenue"]
+SECTIONS = [
+    "sources", "relational", "aggregates", "scalars", "quality", "streams", "activity", "features", "web", "surveys", "licenses",
+    "revenue", "crm", "release",
+]
 
 
 

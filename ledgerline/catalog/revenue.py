@@ -324,7 +324,7 @@ def _sum(test: str, c: str) -> str:
 
 
 _SCRUB = ", ".join(
-    [f"{_sum(st, c)} AS {n}_open_max, {_sum(st, f'{c} * probability / 100')} AS {n}_open_weighted, " + ", ".join(f"{_sum(f'''category = '{l}' ''', c)} AS {n}_{x}_max" for l, x in plan.FORECAST.items())
+    [f"{_sum(st, c)} AS {n}_open_max, sum(CASE WHEN {st} THEN CAST({c} AS DECIMAL(18,2)) * probability ELSE 0 END)::DOUBLE / 100 AS {n}_open_weighted, " + ", ".join(f"{_sum(f'''category = '{l}' ''', c)} AS {n}_{x}_max" for l, x in plan.FORECAST.items())
      for c, n, st in (("net_new", "nn", "status = 'Open'"), ("renewal", "ren", "status <> 'Open'"))]
 )
 

@@ -433,10 +433,11 @@ def forecast_scrub(deals: DataFrame, forecast: DataFrame, renewals: DataFrame, f
     quarter = lambda c: F.concat(dates.fiscal_year(c), F.lit("-Q"), dates.fiscal_quarter(c)).alias("qtr")
     key = ["qtr", *segment]
     total = lambda test, c: F.sum(F.when(test, money(c)).otherwise(0)).cast("double")
+    weighted = lambda test, c: F.sum(F.when(test, money(c) * F.col("probability")).otherwise(0)).cast("double") / 100
     is_open = F.col("status") == "Open"
     cells = []
     for c, n, state in (("net_new", "nn", is_open), ("renewal", "ren", ~is_open)):
-        cells += [total(state, c).alias(f"{n}_open_max"), total(state, F.col(c) * F.col("probability") / 100).alias(f"{n}_open_weighted")]
+        cells += [total(state, c).alias(f"{n}_open_max"), weighted(state, c).alias(f"{n}_open_weighted")]
         cells += [total(F.col("category") == label, c).alias(f"{n}_{name}_max") for label, name in FORECAST.items()]
     amounts = deals.where(dates.fiscal_year("close_date") == fiscal_year).groupBy(quarter("close_date"), *segment).agg(*cells)
     past = F.col("renewal_date") < _today(as_of)
@@ -496,8 +497,8 @@ def metering_cost(usage: DataFrame, rates: DataFrame, last_day: str) -> DataFram
     ``usage``: warehouse_id, start_time, end_time, credits_used; ``rates``: contract_date, rate. A rate holds
     until the day before the next one.
     """
-    # The rates are one short table; its window is over the rate changes only.
-    steps = rates.withColumn("_end", F.coalesce(F.date_sub(F.lead("contract_date").over(Window.partitionBy().orderBy("contract_date")), 1), F.lit(last_day).cast("date")))
+    line = windows.chunked_scan(rates.withColumn("_all", F.lit(1)), ["_all"], F.year("contract_date"), ["contract_date"], leads={"_next": "contract_date"})
+    steps = line.select("contract_date", "rate", F.coalesce(F.date_sub("_next", 1), F.lit(last_day).cast("date")).alias("_end"))
     day = F.to_date("end_time")
     x = joins.contain_join(usage.withColumn("usage_day", day), steps, "usage_day", "contract_date", "_end", "left")
     return x.select(
