@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import activity as plan, calendars
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 START = "2024-01-01"
 DAY = "'2024-01-31'"
@@ -294,7 +294,7 @@ def _(t):
 SELECT l.server_id, f AS active_since_date, u.server_id IS NOT NULL AS is_active_at_day_28, coalesce(daily_active_users, 0) AS daily_active_users, coalesce(server_daily_active_users, 0) AS server_daily_active_users
 FROM life l LEFT JOIN active_users u ON u.server_id = l.server_id AND u.activity_date = f + 28 LEFT JOIN own_reports r ON r.server_id = l.server_id AND r.activity_date = f + 28""")
 def _(t):
-    fact = plan.active_users_fact(user_spine(t), own_reports(t))
+    fact = mart(plan.active_users_fact(user_spine(t), own_reports(t)), "active-users")
     info = fact.where("has_user_telemetry_data").groupBy("server_id").agg(F.min("activity_date").alias("first_activity_date"))
     ages = fact.join(info, "server_id").select("daily_server_id", F.datediff("activity_date", "first_activity_date").alias("age_in_days"))
     return plan.retention_at_day(fact, info, ages)
@@ -375,7 +375,7 @@ SELECT s.date, s.server_id, md5(s.date || '-' || s.server_id) AS id, min(first_a
  max(post_events) AS post_events, max(invite_members_events) AS invite_members_events
 FROM segments s LEFT JOIN p ON p.date = s.date AND p.server_id = s.server_id GROUP BY 1, 2""")
 def _(t):
-    out = plan.server_events_by_date(segments(t), segment_events(t), ["purchase"], ["signup"])
+    out = plan.server_events_by_date(mart(segments(t), "segments"), segment_events(t), ["purchase"], ["signup"])
     return out.drop("desktop_events", "web_app_events", "mobile_events", "api_events", "ui_events", "events_last_30_days", "events_last_31_days")
 
 
@@ -409,7 +409,7 @@ DETAIL_COLUMNS = [
 
 @query("j18_user_daily_details", s.with_("details") + "SELECT * FROM details")
 def _(t):
-    return plan.user_daily_details(segments(t)).select(*DETAIL_COLUMNS)
+    return plan.user_daily_details(mart(segments(t), "segments")).select(*DETAIL_COLUMNS)
 
 
 @query("j19_user_fact", s.with_("details") + f"""
@@ -418,7 +418,7 @@ SELECT d.*, d.server_id AS first_server_id, 1::BIGINT AS server_count, {", ".joi
 FROM details d JOIN (SELECT user_id, {", ".join(f"max(CASE WHEN n = {i + 1} THEN event END) AS e{i + 1}" for i in range(10))}, count(*) AS n FROM o GROUP BY 1) x USING (user_id)
 WHERE d.date = DATE '2025-02-28'""")
 def _(t):
-    details = plan.user_daily_details(segments(t)).select(*DETAIL_COLUMNS)
+    details = mart(plan.user_daily_details(mart(segments(t), "segments")).select(*DETAIL_COLUMNS), "user-days")
     return plan.user_fact(details, segment_events(t))
 
 
@@ -509,7 +509,7 @@ x AS (SELECT base.*, greatest(coalesce(au, 0), coalesce(active_users_alltime, 0)
  FROM base LEFT JOIN sizes USING (server_id) LEFT JOIN u USING (server_id) LEFT JOIN e USING (server_id) LEFT JOIN l USING (server_id))
 SELECT *, min(first_active_date) OVER (PARTITION BY coalesce(lower(company), server_id)) AS customer_first_active_date, min(first_paid_license_date) OVER (PARTITION BY coalesce(lower(company), server_id)) AS customer_first_paid_license_date FROM x""")
 def _(t):
-    details = filled_days(t)
+    details = mart(filled_days(t), "server-days")
     k, day = F.col("k"), F.to_date("timestamp")
     raw = server_reports(t)
     reports = raw.select("server_id", day.alias("date"), (k * 30).alias("user_count"), k.alias("active_users"), (k * 7).alias("posts"))
@@ -558,7 +558,7 @@ SELECT server_id, min(date) AS first_active_date, max(last_active) AS last_activ
  max(weekly_active_users) AS weekly_active_users_max, max(monthly_active_users) AS monthly_active_users_max, {", ".join(f"sum(CASE WHEN date = last_version_date THEN {a}_alltime ELSE 0 END)::BIGINT AS {a}" for a in ACTIONS)},
  count(DISTINCT CASE WHEN daily_active_users > 0 THEN date END) AS days_active FROM plugin_days GROUP BY 1""")
 def _(t):
-    return plan.plugin_fact(plan.plugin_daily_usage(plugin_events(t), s.AS_OF, ACTIONS), list(ACTIONS))
+    return plan.plugin_fact(mart(plan.plugin_daily_usage(plugin_events(t), s.AS_OF, ACTIONS), "plugin-days"), list(ACTIONS))
 
 
 # ---------------------------------------------------------------- summaries
@@ -625,14 +625,18 @@ LEFT JOIN (SELECT installation_id, hostname FROM subscription_rows QUALIFY row_n
          "server_spine", "user_spine", "subscription_rows")
 
 
-def hosting(t):
-    active = user_spine(t).where("is_active_today")
-    return plan.hosting_type(server_spine(t), active, subscription_rows(t))
+def spines(t):
+    """Server and user spine as marts."""
+    return mart(server_spine(t), "server-spine"), mart(user_spine(t), "user-spine")
+
+
+def hosting(t, spine, users):
+    return plan.hosting_type(spine, users.where("is_active_today"), subscription_rows(t))
 
 
 @query("j26_hosting_type", s.with_("hosting") + "SELECT * FROM hosting")
 def _(t):
-    return hosting(t)
+    return hosting(t, *spines(t))
 
 
 s.define("exclusions", """
@@ -648,7 +652,7 @@ def _exclusion_parts(t):
         "server_id", "server_ip", (F.col("k") == 1).alias("has_run_unit_tests"), (F.col("k") * 30).alias("count_users"), F.lit(40).alias("count_active_users"),
         (F.col("version_full") == "9.2.4").alias("is_custom_build_version_format"),
     )
-    days = summary(t)
+    days = mart(summary(t), "server-summary")
     return [plan.security_exclusions(logs, ["10.3.5.3"]), plan.single_day_exclusions(days), plan.invalid_id_exclusions(days, 3)]
 
 
@@ -672,15 +676,15 @@ SELECT server_id, least(st.first_activity_date, ut.f) AS first_activity_date, gr
 FROM st FULL JOIN ut USING (server_id) LEFT JOIN hosting h USING (server_id) LEFT JOIN nation ON n_nationkey = TRY_CAST(split_part(st.last_server_ip, '.', 3) AS INTEGER) LEFT JOIN lic USING (server_id) LEFT JOIN part ON 'k' || p_partkey = license_id
 LEFT JOIN cus ON cus.installation_id = h.installation_id""")
 def _(t):
-    spine = server_spine(t)
+    spine, user_days = spines(t)
     overview = plan.first_last_summary(spine, "server_id", FIRSTS, LASTS)
     octet = F.split_part("last_server_ip", F.lit("."), F.lit(3)).try_cast("int")
     countries = overview.join(t.nation, octet == F.col("n_nationkey")).select("server_id", F.col("n_name").alias("last_known_ip_country"))
     licences = server_reports(t).where(F.col("k") > 50).select("server_id", F.concat(F.lit("k"), "k").alias("license_id"), F.to_date("timestamp").alias("date"))
     known = t.part.select(F.concat(F.lit("k"), "p_partkey").alias("license_id"), F.col("p_name").alias("company_name"))
     customers = subscription_rows(t).withColumnRenamed("hostname", "name")
-    users = user_spine(t).where("is_active_today")
-    out = plan.server_info(overview, users, hosting(t), countries, licences, known, customers)
+    users = user_days.where("is_active_today")
+    out = plan.server_info(overview, users, hosting(t, spine, user_days), countries, licences, known, customers)
     return out.select(
         "server_id", "first_activity_date", "last_activity_date", "last_binary_edition", "last_server_ip", "hosting_type", "installation_id",
         "cloud_hostname", "last_known_ip_country", "company_name",
@@ -701,7 +705,7 @@ def _(t):
         "service": part("view", session_days="k", web_mode="operating_system", has_segment=F.lit(False), has_rudder=F.lit(True)),
     }
     combined = part("signup", ldap_type="database_type", session_days=F.col("k") * 2)
-    return plan.daily_config(server_spine(t), sections, combined, s.AS_OF)
+    return plan.daily_config(mart(server_spine(t), "server-spine"), sections, combined, s.AS_OF)
 
 
 @query("j30_feature_flag_details", s.with_("server_reports") + """

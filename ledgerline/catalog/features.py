@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import merge
 from ..plans import features as plan
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 AS_OF = "2024-01-31"
 START = "2024-01-01"
@@ -134,7 +134,7 @@ WINDOW w AS (PARTITION BY x.server_id, x.user_id ORDER BY x.activity_date ROWS B
 
 
 def feature_spine(t):
-    return plan.feature_spine(full_usage(t), AS_OF, START, 7)
+    return plan.feature_spine(mart(full_usage(t), "usage"), AS_OF, START, 7)
 
 
 @query("j35_feature_spine", s.with_("feature_spine") + "SELECT * FROM feature_spine")
@@ -151,7 +151,7 @@ def _(t):
     reported = s.tracks(t).where((F.col("event") == "error") & (k < 25)).groupBy("server_id", F.to_date("timestamp").alias("activity_date")).agg(
         F.max(k).alias("daily_active_users"), F.max(k * 9).alias("count_registered_users")
     )
-    return plan.feature_daily_snapshot(feature_spine(t), reported, ["daily_active_users", "count_registered_users"])
+    return plan.feature_daily_snapshot(mart(feature_spine(t), "feature-spine"), reported, ["daily_active_users", "count_registered_users"])
 
 
 # ---------------------------------------------------------------- registry

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import licenses as plan
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 AS_OF = "2001-01-01"
 
@@ -119,7 +119,7 @@ def _(t):
 SELECT license_id, CASE WHEN product_id IS NOT NULL THEN md5(product_id) ELSE 'Unknown' END AS license_type_id, md5(coalesce(cws_customer_id, '_dbt_utils_surrogate_key_null_') || '-' || license_id) AS customer_id, issued_at, starts_at, expire_at, is_trial, licensed_seats, duration_days, duration_months,
  has_multiple_expiration_dates_across_sources FROM active WHERE list_contains(sources, 'CWS')""")
 def _(t):
-    return plan.active_production_licenses(active(t))
+    return plan.active_production_licenses(mart(active(t), "active"))
 
 
 s.define("known", """
@@ -174,7 +174,7 @@ def _(t):
 SELECT daily_server_id, d.license_id, d.license_name, d.licensed_seats, d.expire_at, has_license_expired, k.is_trial, coalesce(k.company_name, 'Unknown') AS company_name, coalesce(k.contact_email, 'Unknown') AS contact_email, coalesce(k.sku_short_name, 'Unknown') AS sku_short_name,
  coalesce(in_cws, false) AS in_cws, coalesce(in_legacy, false) AS in_legacy, coalesce(in_salesforce, false) AS in_salesforce, d.expire_at = k.expire_at AS is_matching_expiration_date, d.licensed_seats = k.licensed_seats AS is_matching_license_seats FROM daily_licence d LEFT JOIN known k USING (license_id)""")
 def _(t):
-    return plan.dim_daily_license(daily_licence(t), known(t))
+    return plan.dim_daily_license(daily_licence(t), mart(known(t), "known"))
 
 
 s.define("cloud_customers", """
@@ -215,7 +215,7 @@ def _(t):
 SELECT md5(license_id || '-' || server_id || '-' || coalesce(installation_id, '_dbt_utils_surrogate_key_null_')) AS bdg_license_server_id, license_id, server_id, installation_id, min(license_date) AS first_telemetry_date, max(license_date) AS last_telemetry_date FROM daily_licence
 WHERE license_id IN (SELECT license_id FROM daily_licence GROUP BY 1 HAVING count(DISTINCT licensed_seats) = 1 AND count(DISTINCT starts_at) = 1 AND count(DISTINCT expire_at) = 1 AND count(DISTINCT customer_id) = 1) GROUP BY license_id, server_id, installation_id""")
 def _(t):
-    return plan.license_server_bridge(daily_licence(t))
+    return plan.license_server_bridge(mart(daily_licence(t), "daily-licence"))
 
 
 @query("j64_product_customers", s.with_("server_licences", "cloud_customers") + """
@@ -324,7 +324,7 @@ def licence_daily(t):
     usage = t.lineitem.groupBy(F.concat(F.lit("v"), F.col("l_suppkey") % 15).alias("server_id"), F.to_date("l_shipdate").alias("date")).agg(
         F.max("l_quantity").cast("int").alias("active_users"), (F.min("l_linenumber") - 1).alias("registered_users")
     )
-    return plan.license_daily_details(licence_days(t), usage, AS_OF)
+    return plan.license_daily_details(mart(licence_days(t), "licence-days"), usage, AS_OF)
 
 
 @query("j65_license_daily_details", s.with_("licence_daily") + "SELECT * FROM licence_daily")

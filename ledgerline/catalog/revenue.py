@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import revenue as plan
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 AS_OF = "2000-06-30"
 
@@ -50,7 +50,7 @@ def annual(t):
 
 
 def account_days(t):
-    return plan.account_daily_arr(plan.opportunity_arr_steps(annual(t), nation_accounts(t)))
+    return mart(plan.account_daily_arr(plan.opportunity_arr_steps(annual(t), nation_accounts(t))), "account-days")
 
 
 @query("j77_annualised_lines", s.with_("annual") + "SELECT * FROM annual")
@@ -89,7 +89,7 @@ k AS (SELECT parent_id, sum(CAST(arr AS DECIMAL(18,2))) AS ca, sum(seats) AS cs
 w AS (SELECT a.account_id, c.total_arr AS arr, c.seats, CASE WHEN type NOT IN ('Vendor', 'Partner') AND (a.arr > 0 OR ca > 0 OR a.seats > 0 OR cs > 0) THEN 'Customer' WHEN type = 'Customer' THEN 'Customer (Attrited)' ELSE type END AS type FROM a JOIN current_arr c ON c.account_id = a.account_id LEFT JOIN k ON k.parent_id = a.account_id)
 SELECT w.* FROM w JOIN a USING (account_id) WHERE (w.arr, w.seats, w.type) IS DISTINCT FROM (a.arr, a.seats, a.type)""")
 def _(t):
-    now = current_arr(t)
+    now = mart(current_arr(t), "current-arr")
     key = F.col("n_nationkey")
     held = key % 4 > 0
     accounts = t.nation.withColumn("account_id", F.concat(F.lit("n"), key)).join(now, "account_id").select(
@@ -127,7 +127,7 @@ SELECT month_start, month_end, account_id, master_account_id, CASE WHEN account_
  CASE WHEN account_new_arr THEN total_arr_delta ELSE 0 END AS total_arr_new, CASE WHEN NOT account_new_arr AND month_starting_arr <> 0 AND total_arr_delta > 0 THEN total_arr_delta ELSE 0 END AS total_arr_expansion, CASE WHEN NOT account_new_arr AND month_starting_arr = 0 AND total_arr_delta > 0 THEN total_arr_delta ELSE 0 END AS total_arr_resurrection,
  CASE WHEN total_arr_delta < 0 AND month_ending_arr <> 0 THEN total_arr_delta ELSE 0 END AS total_arr_contraction, CASE WHEN total_arr_delta < 0 AND month_ending_arr = 0 THEN total_arr_delta ELSE 0 END AS total_arr_churn, total_arr_delta FROM month_deltas WHERE total_arr_delta <> 0""")
 def _(t):
-    return plan.monthly_deltas_by_type(plan.monthly_deltas(day_deltas(t)))
+    return plan.monthly_deltas_by_type(plan.monthly_deltas(mart(day_deltas(t), "day-deltas")))
 
 
 # ---------------------------------------------------------------- transactions
@@ -208,7 +208,7 @@ s.define("reporting", _REPORTING, "transactions")
 
 
 def reporting(t):
-    return plan.arr_reporting(transactions(t), AS_OF)
+    return plan.arr_reporting(mart(transactions(t), "transactions"), AS_OF)
 
 
 @query("j82_arr_reporting", s.with_("reporting") + "SELECT * EXCLUDE (back) FROM reporting")
@@ -224,7 +224,7 @@ SELECT *, sum(arr_delta) OVER w::BIGINT AS arr_os, sum(cnt_delta) OVER w::BIGINT
 
 
 def vintages(t):
-    return plan.arr_vintages(reporting(t))
+    return plan.arr_vintages(mart(reporting(t), "reporting"))
 
 
 @query("j83_arr_vintages", s.with_("vintages") + """
@@ -251,7 +251,7 @@ x AS (SELECT a.*, {_half(_div("a.avg_arr", "b.avg_arr"), 2)} AS expand_rate, {_h
 y AS (SELECT *, {_half(f"({_div('end_arr', 'end_customers')}) * cust_retention")} AS retained_ltv_arr FROM x), z AS (SELECT *, {_half("retained_ltv_arr * 0.97::DOUBLE")} AS cmargin_ltv_cashflow FROM y)
 SELECT *, sum(cmargin_ltv_cashflow) OVER (PARTITION BY bin_avg_arr, cohort_yr ORDER BY month_after) AS cum_ltv FROM z""")
 def _(t):
-    return plan.cohort_ltv(vintages(t), "1995-01-31")
+    return plan.cohort_ltv(mart(vintages(t), "vintages"), "1995-01-31")
 
 
 # ---------------------------------------------------------------- billing, pipeline and targets
@@ -273,7 +273,7 @@ def _(t):
     )
     periods = t.orders.select(period.alias("period_no"), F.date_format(day, "yyyy-MM").alias("period_name"), F.last_day(day).alias("end_date")).distinct()
     customers = t.customer.where(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("company_name"))
-    return plan.billing_fact(invoices, periods, customers, transactions(t).where(F.col("opportunity_id").isNotNull()), "1996-01-31")
+    return plan.billing_fact(invoices, periods, customers, mart(transactions(t), "transactions").where(F.col("opportunity_id").isNotNull()), "1996-01-31")
 
 
 @query("j86_funnel_opportunity", s.with_("licence_deals", "deal_accounts") + f"""
@@ -367,7 +367,7 @@ def _(t):
 , e AS (SELECT a.opportunity_id, renewed_by, sum(won_arr)::BIGINT AS ending_arr FROM annual a JOIN (SELECT opportunity_id, max(end_date) AS e FROM annual GROUP BY 1) m USING (opportunity_id) JOIN nation_deals d USING (opportunity_id) WHERE is_won AND e BETWEEN start_date AND end_date GROUP BY ALL)
 SELECT e.opportunity_id, e.ending_arr, coalesce(sum(o.ending_arr), 0)::BIGINT AS original_opportunity_ending_arr FROM e LEFT JOIN e o ON o.renewed_by = e.opportunity_id GROUP BY 1, 2""")
 def _(t):
-    rows = annual(t)
+    rows = mart(annual(t), "annual")
     return plan.ending_arr(plan.opportunity_arr_steps(rows, nation_accounts(t)), rows, nation_deals(t))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans import surveys as plan
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 AS_OF = "2024-01-31"
 START = "2024-01-01"
@@ -98,7 +98,7 @@ _TOTALS = ", ".join(f"sum(CASE WHEN user_role IS NOT NULL THEN {g}{x} ELSE 0 END
 , m AS (SELECT activity_date, server_id, {_CELLS}, {_TOTALS} FROM score_spine GROUP BY ALL)
 SELECT m.*, md5(m.server_id || '-' || m.activity_date) AS daily_server_id, md5(coalesce(server_version_full, '_dbt_utils_surrogate_key_null_')) AS version_id FROM m JOIN version_spine v ON v.server_id = m.server_id AND v.activity_date = m.activity_date""")
 def _(t):
-    return plan.nps_score_fact(score_spine(t), plan.nps_server_version_spined(scores(t), AS_OF, START), carry_days=10)
+    return plan.nps_score_fact(mart(score_spine(t), "score-spine"), plan.nps_server_version_spined(scores(t), AS_OF, START), carry_days=10)
 
 
 @query("j54_nps_feedback_fact", s.with_("feedback", "scores") + """
@@ -143,18 +143,18 @@ SELECT date, server_id, max(server_version) AS server_version, count(*) FILTER (
  (count(*) FILTER (score > 8) - count(*) FILTER (score <= 6)) * 100.0::DOUBLE / count(*) AS nps_score, sum(responses)::BIGINT AS responses, sum(responses_alltime)::BIGINT AS responses_alltime, sum(feedback_count)::BIGINT AS feedback_responses, sum(feedback_count_alltime)::BIGINT AS feedback_responses_alltime,
  md5(date || '-' || server_id) AS id FROM user_daily GROUP BY date, server_id""")
 def _(t):
-    return plan.nps_server_daily_score(user_daily(t))
+    return plan.nps_server_daily_score(mart(user_daily(t), "user-daily"))
 
 
 @query("j55_nps_server_feedback", s.with_("user_daily") + "SELECT date, server_id, string_agg(DISTINCT feedback, '' ORDER BY feedback) AS feedback FROM user_daily WHERE feedback IS NOT NULL GROUP BY ALL")
 def _(t):
-    return plan.nps_server_feedback(user_daily(t))
+    return plan.nps_server_feedback(mart(user_daily(t), "user-daily"))
 
 
 @query("j55_nps_version_daily_score", s.with_("user_daily") + """
 SELECT date, server_id, user_id, server_version, last_score_date, score, promoter_type, responses_alltime, feedback, md5(date || '-' || user_id || '-' || server_id || '-' || server_version) AS id FROM user_daily""")
 def _(t):
-    return plan.nps_version_daily_score(user_daily(t))
+    return plan.nps_version_daily_score(mart(user_daily(t), "user-daily"))
 
 
 # A small rule list over words that occur in the texts.
@@ -198,7 +198,7 @@ def _(t):
 SELECT last_feedback_date, server_id, user_id, subcategory, category, false AS manually_categorized, CASE WHEN (last_feedback_date, server_id, user_id) IN (SELECT (last_feedback_date, server_id, user_id) FROM fix) THEN 2 ELSE 1 END AS category_rank FROM classified
 UNION ALL SELECT last_feedback_date, server_id, user_id, new_value, CASE new_value WHEN 'Threading' THEN 'Feature Requests' ELSE 'UX Feedback' END, true, 1 FROM fix""")
 def _(t):
-    rows = classified(t)
+    rows = mart(classified(t), "classified")
     new = F.when(F.col("quality") == 1, "Threading").otherwise("Performance")
     # Two actions per label: the older one names another value and must lose.
     picked = rows.join(t.labels.select(F.concat(F.lit("u"), "doc_id").alias("user_id"), "doc_id", new.alias("new_value")), "user_id")

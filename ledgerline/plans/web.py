@@ -35,13 +35,14 @@ def security_log_entries(logs: DataFrame, as_of: str, agent_like: str = "Go-http
     )
     for word in skip:
         keep = keep & ~F.contains("query", F.lit(word))
-    q = F.col("_q")
-    build = q["b"]
+    # Only a dozen known fields are read, so each is cut out by pattern instead of building a map per row.
+    q = {k: F.try_url_decode(text.query_string_field("query", k)) for k in ("id", "b", "be", "db", "os", "uc", "tc", "auc", "ut")}
+    build = F.col("_build")
     part = lambda n: F.split_part(build, F.lit("."), F.lit(n))
     regular = text.full_match(build, BUILDS[0])
     for pattern in BUILDS[1:]:
         regular = regular | text.full_match(build, pattern)
-    return logs.where(keep).withColumn("_q", text.parse_query_string("query")).select(
+    return logs.where(keep).withColumn("_build", q["b"]).select(
         F.to_date("log_at").alias("log_date"), "log_at", "server_ip", q["id"].alias("server_id"), text.version_part(build, 1).alias("version_major"),
         text.version_part(build, 2).alias("version_minor"), text.version_part(build, 3).alias("version_patch"),
         F.concat(part(1), F.lit("."), part(2), F.lit("."), part(3)).alias("version_full"), (q["be"] == "true").alias("is_enterprise_ready"),
