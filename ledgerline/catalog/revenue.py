@@ -34,9 +34,12 @@ def nation_deals(t):
 
 
 def contract_lines(t):
-    return s.lines(t).drop("end_date").join(
-        t.lineitem.select(F.concat(F.lit("l"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("line_id"), "l_partkey").distinct(), "line_id"
-    ).withColumn("end_date", F.date_add("start_date", (59 + F.col("l_partkey") % 60).cast("int"))).drop("l_partkey")
+    start = F.to_date("l_shipdate")
+    return t.lineitem.select(
+        F.concat(F.lit("l"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")).alias("line_id"), F.concat(F.lit("o"), "l_orderkey").alias("opportunity_id"),
+        start.alias("start_date"), F.date_add(start, (59 + F.col("l_partkey") % 60).cast("int")).alias("end_date"), F.col("l_extendedprice").cast("decimal(18,2)").alias("total_price"),
+        F.col("l_quantity").cast("int").alias("quantity"), F.when(F.col("l_returnflag").isin("A", "N"), "Recurring").otherwise("One-time").alias("product_type"),
+    )
 
 
 def nation_accounts(t):

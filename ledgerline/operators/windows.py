@@ -143,6 +143,19 @@ def running_total_overall(df: DataFrame, order: str, value: Column, name: str, b
     return chunked_scan(df.withColumn("_all", F.lit(1)), ["_all"], block, [order], sums={name: value}).drop("_all")
 
 
+def trailing_sums(df: DataFrame, keys: Sequence[str], order: str, sums: dict[str, tuple[str, int]]) -> DataFrame:
+    """Sums over the current row and the ``n - 1`` before it, as differences of running sums.
+
+    A sliding frame adds up its rows anew for every row; two running sums cost the same for any n.
+    ``sums`` names (column, n); the column must be an integer or a decimal without NULLs.
+    """
+    w = window(keys, order)
+    columns = {c for c, _ in sums.values()}
+    run = df.withColumns({f"_run_{c}": F.sum(c).over(running(keys, order)) for c in columns})
+    out = run.withColumns({name: F.col(f"_run_{c}") - F.coalesce(F.lag(f"_run_{c}", n).over(w), F.lit(0)) for name, (c, n) in sums.items()})
+    return out.drop(*[f"_run_{c}" for c in columns])
+
+
 def forward_fill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], suffix: str = "_filled") -> DataFrame:
     """Last known value per key on a spine (rows per key bounded by its days)."""
     w = running(keys, order)

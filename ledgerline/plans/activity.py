@@ -353,23 +353,24 @@ def mau_segments(events: DataFrame, as_of: str, categories: Sequence[str] = ())
         *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], "max_timestamp",
     ).where(F.col("date") < today)
 
+    # Trailing totals are differences of running sums, so the length of the span costs nothing.
+    dense = windows.trailing_sums(dense, key, "date", {
+        "events_last_30_days": ("total_events", 31), "events_last_31_days": ("total_events", 32), "mobile_events_last_30_days": ("mobile_events", 31),
+    })
     w = Window.partitionBy(*key).orderBy("date")
-    rows = lambda lo, hi: w.rowsBetween(lo, hi)
-    total, mobile = F.col("total_events"), F.col("mobile_events")
-    ever = rows(Window.unboundedPreceding, 0)
-    first_day = F.col("_first")
+    ever = w.rowsBetween(Window.unboundedPreceding, 0)
+    total, mobile, first_day = F.col("total_events"), F.col("mobile_events"), F.col("_first")
+    quiet_before = (F.col("events_last_30_days") - total == 0) & (F.col("date") > first_day)
     segment = (
         F.when((first_day == F.col("date")) & (total > 0), "First Time MAU")
-        .when((F.sum(total).over(rows(-30, -1)) == 0) & (total > 0), "Reengaged MAU")
-        .when(F.sum(total).over(rows(-30, 0)) > 0, "Current MAU")
+        .when(quiet_before & (total > 0), "Reengaged MAU")
+        .when(F.col("events_last_30_days") > 0, "Current MAU")
         .when(F.lag(total, 31).over(w) > 0, "Newly Disengaged")
         .otherwise("Disengaged")
     )
     out = dense.withColumns({
-        "mau_segment": segment, "events_last_30_days": F.sum(total).over(rows(-30, 0)), "events_last_31_days": F.sum(total).over(rows(-31, 0)),
-        "events_alltime": F.sum(total).over(ever), "max_events": F.max(total).over(ever), "mobile_events_last_30_days": F.sum(mobile).over(rows(-30, 0)),
-        "mobile_events_alltime": F.sum(mobile).over(ever), "max_mobile_events": F.max(mobile).over(ever),
-        "last_active_date": F.max(F.when(total > 0, F.col("date"))).over(ever),
+        "mau_segment": segment, "events_alltime": F.sum(total).over(ever), "max_events": F.max(total).over(ever), "mobile_events_alltime": F.sum(mobile).over(ever),
+        "max_mobile_events": F.max(mobile).over(ever), "last_active_date": F.max(F.when(total > 0, F.col("date"))).over(ever),
     })
     return out.withColumnRenamed("_first", "first_active_date").withColumns({
         "active": total > 0, "mau": F.col("mau_segment").isin("First Time MAU", "Reengaged MAU", "Current MAU"),

@@ -113,16 +113,15 @@ def feature_spine(usage: DataFrame, as_of: str, start: str, days: int = 29) -> D
     dense = joins.dense_days(span, "_a", "_b").select(*USER_DAY).join(
         used.select(*USER_DAY, *counters, F.lit(1).alias("is_active")), USER_DAY, "left"
     )
-    w = windows.trailing(["server_id", "user_id"], days + 1, "activity_date")
+    dense = dense.fillna(0, [*counters, "is_active"])
+    dense = windows.trailing_sums(dense, ["server_id", "user_id"], "activity_date", {f"_t_{c}": (c, days + 1) for c in [*counters, "is_active"]})
     out = [F.col(c) for c in ("server_id", "user_id", "activity_date")]
+    flag = lambda c: F.when(F.col(c) > 0, 1).otherwise(0)
     for c in counters:
-        now, total = F.coalesce(c, F.lit(0)), F.coalesce(F.sum(c).over(w), F.lit(0))
         out += [
-            now.alias(f"{c}_events_daily"), total.alias(f"{c}_events_monthly"), F.when(now > 0, 1).otherwise(0).alias(f"{c}_users_daily"),
-            F.when(total > 0, 1).otherwise(0).alias(f"{c}_users_monthly"),
+            F.col(c).alias(f"{c}_events_daily"), F.col(f"_t_{c}").alias(f"{c}_events_monthly"), flag(c).alias(f"{c}_users_daily"), flag(f"_t_{c}").alias(f"{c}_users_monthly"),
         ]
-    active = F.coalesce("is_active", F.lit(0))
-    return dense.select(*out, active.alias("is_active"), F.max(active).over(w).alias("is_active_monthly"))
+    return dense.select(*out, "is_active", flag("_t_is_active").alias("is_active_monthly"))
 
 
 def feature_daily_snapshot(spine: DataFrame, server_days: DataFrame, reported: Sequence[str]) -> DataFrame:

@@ -87,26 +87,31 @@ def daily_security_pick(entries: DataFrame, licences: DataFrame, as_of: str, res
 # ---------------------------------------------------------------- downloads
 
 
-def release_columns(uri: str = "uri") -> dict[str, Column]:
-    """Type, operating system and version of a release download, from its path."""
+def with_release(logs: DataFrame, uri: str = "uri") -> DataFrame:
+    """Type, operating system and version of a release download, from its path.
+
+    The two path patterns are tested once per row and kept as columns for the rules built on them.
+    """
     path = F.col(uri)
-    server, desktop = text.full_match(path, SERVER_RELEASE), text.full_match(path, DESKTOP_RELEASE)
+    rows = logs.withColumns({"_server": text.full_match(path, SERVER_RELEASE), "_desktop": text.full_match(path, DESKTOP_RELEASE)})
+    server, desktop = F.col("_server"), F.col("_desktop")
     has = lambda word: F.contains(path, F.lit(word))
     other = server & ~path.ilike("%team%") & ~path.ilike("%enterprise%")
     kind = first_match([(server & has("team"), "team"), (server & has("enterprise"), "enterprise"), (other, "enterprise"), (desktop, "desktop")])
+    rows = rows.withColumn("download_type", kind)
+    packaged = F.col("download_type").isNotNull() & ~desktop
     system = first_match([
         (desktop & has("linux"), "linux"), (desktop & text.full_match(path, DESKTOP_WINDOWS), "windows"), (desktop & text.full_match(path, DESKTOP_MAC), "mac"),
-        (kind.isNotNull() & ~desktop & has("linux"), "linux"), (kind.isNotNull() & ~desktop & text.full_match(path, SERVER_WINDOWS), "windows"),
+        (packaged & has("linux"), "linux"), (packaged & text.full_match(path, SERVER_WINDOWS), "windows"),
     ])
     version = F.when(server, F.split_part(path, F.lit("/"), F.lit(2))).when(desktop, F.split_part(path, F.lit("/"), F.lit(3)))
-    return {"download_type": kind, "operating_system": system, "version": version}
+    return rows.withColumns({"operating_system": system, "version": version}).drop("_server", "_desktop")
 
 
 def release_log_entries(logs: DataFrame) -> DataFrame:
     """Logs with decoded agents and release columns. ``logs``: log_at, uri, user_agent, …"""
     agent = F.replace(F.replace("user_agent", F.lit("%2520"), F.lit(" ")), F.lit("%20"), F.lit(" "))
-    rows = logs.withColumn("user_agent", agent).withColumns(release_columns())
-    return rows.withColumns({
+    return with_release(logs.withColumn("user_agent", agent)).withColumns({
         "log_date": F.to_date("log_at"), "version_major": text.version_part("version", 1), "version_minor": text.version_part("version", 2),
         "version_patch": text.version_part("version", 3), "ua_browser_family": F.when(F.col("user_agent").isNotNull(), agents.browser("user_agent")),
         "ua_os_family": F.when(F.col("user_agent").isNotNull(), agents.operating_system("user_agent")),

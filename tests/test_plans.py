@@ -141,7 +141,7 @@ def test_carried_score_ends_after_ninety_days(spark):
     ("/desktop/4.2.0/app-mac.zip", "desktop", "mac", "4.2.0"), ("/docs/5.1.2/x", None, None, None), ("/0.1.2/x-team", None, None, None),
 ])
 def test_release_paths(spark, uri, kind, system, version):
-    row = spark.createDataFrame([(uri,)], "uri string").withColumns(web.release_columns()).first()
+    row = web.with_release(spark.createDataFrame([(uri,)], "uri string")).first()
     assert (row["download_type"], row["operating_system"], row["version"]) == (kind, system, version)
 
 
