@@ -21,7 +21,7 @@ def _today(as_of: str) -> Column:
 def crosses_leap_day(start: str, end: str) -> Column:
     """1 if a 29 February lies in the period, from calendar arithmetic alone."""
     def leap_days(d: Column) -> Column:
-        y = F.when(d >= F.make_date(F.year(d), F.lit(3), F.lit(1)), F.year(d)).otherwise(F.year(d) - 1)
+        y = F.year(d) - F.when(F.month(d) < 3, 1).otherwise(0)
         on = F.when((F.month(d) == 2) & (F.dayofmonth(d) == 29), 1).otherwise(0)
         return F.floor(y / 4) - F.floor(y / 100) + F.floor(y / 400) + on
 

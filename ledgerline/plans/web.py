@@ -93,7 +93,7 @@ def with_release(logs: DataFrame, uri: str = "uri") -> DataFrame:
     The two path patterns are tested once per row and kept as columns for the rules built on them.
     """
     path = F.col(uri)
-    rows = logs.withColumns({"_server": text.full_match(path, SERVER_RELEASE), "_desktop": text.full_match(path, DESKTOP_RELEASE)})
+    rows = logs.withColumns({"_server": text.full_match(path, SERVER_RELEASE), "_desktop": path.startswith("/desktop/") & text.full_match(path, DESKTOP_RELEASE)})
     server, desktop = F.col("_server"), F.col("_desktop")
     has = lambda word: F.contains(path, F.lit(word))
     other = server & ~path.ilike("%team%") & ~path.ilike("%enterprise%")
