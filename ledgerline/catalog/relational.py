@@ -565,7 +565,7 @@ def _(t):
     ).unionAll(
         t.nation.select(F.concat(F.lit("N"), "n_nationkey"), F.concat(F.lit("R"), "n_regionkey"), "n_name")
     ).unionAll(t.customer.select(F.concat(F.lit("C"), "c_custkey"), F.concat(F.lit("N"), "c_nationkey"), "c_name"))
-    return joins.hierarchy_paths(t.spark, edges)
+    return joins.hierarchy_paths(edges)
 
 
 @query("c36_star_assembly", """

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join where NULL equals NULL; the key columns of the left side are kept."""
@@ -101,17 +103,31 @@ def last_before(events: DataFrame, history: DataFrame, keys: Sequence[str], even
     return filled.select("_event.*", *[F.col(f"_last.{c}").alias(c) for c in [history_time, *carry]])
 
 
-def hierarchy_paths(spark, edges: DataFrame, root: str = "parent is null", sep: str = " > ", view: str = "edges") -> DataFrame:
-    """Root, path and level of every node of ``edges(id, parent, name)`` by a recursive query."""
-    edges.createOrReplaceTempView(view)
-    return spark.sql(f"""
-        WITH RECURSIVE tree (id, name, root_id, root_name, path, level) AS (
-            SELECT id, name, id, name, name, 0 FROM {view} WHERE {root}
-            UNION ALL
-            SELECT e.id, e.name, t.root_id, t.root_name, concat(t.path, '{sep}', e.name), t.level + 1
-            FROM {view} e JOIN tree t ON e.parent = t.id
+def hierarchy_paths(edges: DataFrame, sep: str = " > ", max_depth: int = 1024) -> DataFrame:
+    """Root, path and level of every node of ``edges(id, parent, name)`` that a root (no parent) reaches.
+
+    Every round joins each open node with the node it points to and takes over that node's pointer, so
+    the known path doubles and a tree of depth d needs log2(d) joins. Rounds are written down. Nodes
+    under a missing parent drop out; a cycle or a deeper tree fails.
+    """
+    nodes = edges.select(
+        "id", F.col("parent").alias("up"), "name", F.col("id").alias("root_id"), F.col("name").alias("root_name"), F.col("name").alias("path"), F.lit(0).alias("level")
+    )
+    for _ in range(max_depth.bit_length() + 1):
+        nodes = materialize(nodes, "hierarchy")
+        pending = nodes.where(F.col("up").isNotNull())
+        if pending.isEmpty():
+            return nodes.drop("up")
+        above = nodes.select(
+            F.col("id").alias("up"), F.col("up").alias("_up"), F.col("root_id").alias("_root_id"), F.col("root_name").alias("_root_name"), F.col("path").alias("_path"),
+            F.col("level").alias("_level"),
+        )
+        jumped = pending.join(above, "up").select(
+            "id", F.col("_up").alias("up"), "name", F.col("_root_id").alias("root_id"), F.col("_root_name").alias("root_name"),
+            F.concat("_path", F.lit(sep), "path").alias("path"), (F.col("_level") + F.col("level") + 1).alias("level"),
         )
-        SELECT * FROM tree""")
+        nodes = nodes.where(F.col("up").isNull()).unionByName(jumped)
+    raise ValueError(f"the hierarchy has a cycle or more than {max_depth} levels")
 
 
 def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

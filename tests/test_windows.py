@@ -107,3 +107,16 @@ def test_no_cross_join_or_nested_loop_in_rewrites(spark):
     points = hot_rows(spark)
     plan = joins.contain_join(points, ranges, "ts", "a", "b")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hierarchy_of_a_long_chain_and_its_limits(spark):
+    import pytest
+
+    chain = [(i, i - 1 if i else None, f"n{i}") for i in range(37)] + [(100, 99, "orphan"), (200, 5, "side")]
+    df = spark.createDataFrame(chain, "id int, parent int, name string")
+    got = {r["id"]: r for r in joins.hierarchy_paths(df, "/").collect()}
+    assert set(got) == {*range(37), 200}
+    assert got[36]["level"] == 36 and got[36]["root_id"] == 0 and got[36]["path"] == "/".join(f"n{i}" for i in range(37))
+    assert got[200]["path"] == "n0/n1/n2/n3/n4/n5/side" and got[0]["level"] == 0
+    with pytest.raises(ValueError):
+        joins.hierarchy_paths(spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "id int, parent int, name string"), max_depth=8)
