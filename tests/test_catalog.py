@@ -32,7 +32,9 @@ def test_query_equals_sql(spark, folder, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from ledgerline.catalog import registry
+
+    assert set(registry.QUERIES) == set(registry.ORACLE)
 
 
 def test_inventory_is_covered():
