@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .mixing import mix_documents
+from .simhash import simhash_near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,3 +25,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     coded = bpe_round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_documents(table(spark, folder, "documents"))
