@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .bpe import bpe_round_trip
 from .common import table
 from .mixing import mix_documents
+from .secret_scan import KINDS, listed, scan_secrets
 from .simhash import simhash_near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +36,13 @@ def op4_simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_documents(table(spark, folder, "documents"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = scan_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < KINDS.index("random"))
+    of = lambda n: F.size(F.filter("spans", lambda s: s["kind"] == n)).cast("long")
+    return scanned.select(
+        "doc_id", *[of(n).alias(f"n_{k}") for n, k in enumerate(KINDS)], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
