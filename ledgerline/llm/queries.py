@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .fingerprints import fingerprint_versions
 from .mixing import mix_documents
 from .secret_scan import KINDS, listed, scan_secrets
 from .simhash import simhash_near_duplicates
@@ -46,3 +47,8 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scanned.select(
         "doc_id", *[of(n).alias(f"n_{k}") for n, k in enumerate(KINDS)], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_versions(table(spark, folder, "documents")).drop("changed")
