@@ -1,13 +1,13 @@
 """Document fingerprints: invertible Bloom lookup sketches whose difference gives back the differing paragraphs.
 
-A paragraph is a line, cut every ``PIECE`` characters if longer; its digest also counts repeats, so the digests of a
-text are distinct. A sketch has three tables of cells. Every digest goes to one cell of each table, and a cell holds how many came,
+A paragraph is a line, cut every ``PIECE`` characters if longer (the first ``HEAD`` characters of a text stand alone, so that
+short texts have more than one); its digest also counts repeats, so the digests of a text are distinct. A sketch has three tables of cells. Every digest goes to one cell of each table, and a cell holds how many came,
 the XOR of the digests and the XOR of their check hashes. Sketches of two versions subtract cell by cell, which
 cancels what they share. Peeling then looks for cells that hold a single digest (its check hash fits), notes
 the digest and takes it out of its other cells, until nothing is left.
 
 The fingerprint is a small sketch of fixed size. When the difference of two fingerprints does not peel, the digests are dealt into
-groups by their low bits, each with a sketch of its own, and groups that still fail are tried again with wider tables.
+groups by their high bits, each with a sketch of its own, and groups that still fail are tried again with wider tables.
 
 Only DataFrame functions are used, row by row, so nothing is gathered over documents. Defined results: NULL counts as
 the empty text, whose sketch is empty; two empty texts are alike (1.0); rows that agree in id and text are one
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from ..session import materialize
 from .common import whole_text
 
-PIECE = 96
+PIECE, HEAD = 256, 32
 #: Cells per table: of the fingerprint, and of the sketches of a group at each try.
 FINGERPRINT_WIDTH = 4
 TRIES = (8, 32, 256)
@@ -40,7 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def paragraph_digests(text: Column) -> Column:
     """Distinct digests of the paragraphs of a text, sorted before repeats are numbered."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^\n]{{1,{PIECE}}}"), F.lit(0))
+    pieces = F.regexp_extract_all(text, F.lit(rf"^[^\n]{{1,{HEAD}}}|[^\n]{{1,{PIECE}}}"), F.lit(0))
     hashes = F.sort_array(F.transform(pieces, lambda p: F.xxhash64(p)))
     return let(hashes, lambda s: F.transform(s, lambda d, i: F.xxhash64(d, i - F.array_position(s, d))))
 
@@ -59,12 +59,12 @@ def sketch(digests: Column, width: int) -> Column:
 
     def cells(items: Column, t: int) -> Column:
         def gather(j: Column) -> Column:
-            add = lambda acc, x: F.when(x["p"][t] == j, cell(acc["n"] + 1, acc["k"].bitwiseXOR(x["k"]), acc["c"].bitwiseXOR(x["c"]))).otherwise(acc)
+            add = lambda acc, x: F.when(x[f"p{t}"] == j, cell(acc["n"] + 1, acc["k"].bitwiseXOR(x["k"]), acc["c"].bitwiseXOR(x["c"]))).otherwise(acc)
             return F.aggregate(items, empty, add)
 
         return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), gather)
 
-    items = F.transform(digests, lambda d: F.struct(d.alias("k"), F.xxhash64(d).alias("c"), F.array(*[place(d, t, width) for t in range(TABLES)]).alias("p")))
+    items = F.transform(digests, lambda d: F.struct(d.alias("k"), F.xxhash64(d).alias("c"), *[place(d, t, width).alias(f"p{t}") for t in range(TABLES)]))
     return let(items, lambda x: F.concat(*[cells(x, t) for t in range(TABLES)]))
 
 
@@ -87,11 +87,12 @@ def peel(cells: Column, width: int) -> Column:
     def step(state: Column, _: Column) -> Column:
         def use(hits: Column) -> Column:
             rest = F.transform(state["cells"], lambda x, at: take(x, at, hits))
-            return F.when(F.size(hits) == 0, state).otherwise(F.struct(rest.alias("cells"), F.concat(state["found"], F.transform(hits, lambda h: h["k"])).alias("found")))
+            more = F.struct(rest.alias("cells"), F.concat(state["found"], F.transform(hits, lambda h: h["k"])).alias("found"), F.lit(True).alias("open"))
+            return F.when(F.size(hits) > 0, more).otherwise(F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(False).alias("open")))
 
-        return let(pure(state), use)
+        return F.when(state["open"], let(pure(state), use)).otherwise(state)
 
-    start = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("found"))
+    start = F.struct(cells.alias("cells"), F.array().cast("array<bigint>").alias("found"), F.lit(True).alias("open"))
     over = lambda s: F.struct(s["found"].alias("found"), (~F.exists(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["c"] != 0))).alias("done"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, over)
 
@@ -108,12 +109,24 @@ def group_difference(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.concat(a, b)).otherwise(attempt(TRIES))
 
 
+def dealt(digests: Column, bits: Column) -> Column:
+    """``2^bits`` arrays of digests by their high bits: the bounds are sorted in among the digests, which are cut there."""
+    shift = lambda x, n: F.call_function("shiftleft", x, n)
+    one, low = F.lit(1).cast("long"), F.lit(-(1 << 63))
+    bounds = let(bits, lambda n: F.transform(F.sequence(F.lit(0).cast("long"), shift(one, n) - 1), lambda g: shift(g, 64 - n).bitwiseXOR(low)))
+
+    def cut(line: Column) -> Column:
+        at = F.concat(F.transform(bounds, lambda x: F.array_position(line, x)), F.array(F.size(line).cast("long") + 1))
+        return let(at, lambda p: F.transform(F.sequence(F.lit(1), F.size(p) - 1), lambda i: F.slice(line, (F.element_at(p, i) + 1).cast("int"), (F.element_at(p, i + 1) - F.element_at(p, i) - 1).cast("int"))))
+
+    return let(F.sort_array(F.concat(digests, bounds)), cut)
+
+
 def difference(a: Column, b: Column, small: Column) -> Column:
     """Digests in one of two arrays only. ``small`` is the difference of the fingerprints, which is tried first."""
-    bits = F.greatest(F.lit(0), F.ceil(F.log2((F.size(a) + F.size(b) + 1) / F.lit(float(GROUP))))).cast("int")
-    groups = F.least(F.pow(F.lit(2.0), bits), F.lit(float(1 << 20))).cast("int")
-    of = lambda x, g, n: F.filter(x, lambda d: d.bitwiseAND((n - 1).cast("long")) == g)
-    split = let(groups, lambda n: F.transform(F.sequence(F.lit(0), n - 1), lambda g: F.struct(of(a, g, n).alias("a"), of(b, g, n).alias("b"))))
+    bits = F.least(F.greatest(F.lit(0), F.ceil(F.log2((F.size(a) + F.size(b) + 1) / F.lit(float(GROUP))))), F.lit(20)).cast("int")
+    pairs = lambda n: F.zip_with(dealt(a, n), dealt(b, n), lambda x, y: F.struct(x.alias("a"), y.alias("b")))
+    split = let(bits, pairs)
     larger = F.flatten(F.transform(split, lambda x: group_difference(x["a"], x["b"])))
     return let(peel(small, FINGERPRINT_WIDTH), lambda r: F.when(r["done"], r["found"]).otherwise(larger))
 
