@@ -32,3 +32,13 @@ def held_out(doc_id: str | Column) -> Column:
     """Rows that no label is learnt from: every fifth by the CRC of the id's digits."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
+    """``id, y, text, h`` of at most ``rows`` labelled documents that are not held out, the first ones in a seeded order.
+
+    Only ids and labels are ordered; the chosen ids (16 bytes each) are broadcast, so texts are not shuffled.
+    """
+    known = labels.where(~held_out(id_col) & F.col(label).isNotNull()).groupBy(id_col).agg(F.max(F.col(label).cast("int")).alias("y"))
+    chosen = known.select(F.col(id_col).alias("id"), "y", F.xxhash64(F.lit(seed), id_col).alias("h")).orderBy("h", "id").limit(rows)
+    return docs.select(docs[id_col].alias("id"), whole_text(docs[text_col]).alias("text")).join(F.broadcast(chosen), "id")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import quality, toxicity
 from .bpe import bpe_round_trip
 from .common import table
 from .fingerprints import fingerprint_versions
@@ -52,3 +53,13 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_versions(table(spark, folder, "documents")).drop("changed")
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
