@@ -14,6 +14,7 @@ from .fingerprints import fingerprint_versions
 from .mixing import mix_documents
 from .secret_scan import KINDS, listed, scan_secrets
 from .simhash import simhash_near_duplicates
+from .token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +64,8 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
