@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import quality, toxicity
 from .bpe import bpe_round_trip
 from .common import table
+from .embedding_dedup import link_embeddings
 from .fingerprints import fingerprint_versions
 from .mixing import mix_documents
 from .secret_scan import KINDS, listed, scan_secrets
@@ -129,3 +130,8 @@ hits AS (SELECT w.page_id, h.kind, h.pattern, h.action, h.start, row_number() OV
 SELECT c.page_id, c.url, c.fetched_at, coalesce(h.action, 'none') AS verdict, CASE h.kind WHEN 0 THEN 'domain:' WHEN 1 THEN 'host:' WHEN 2 THEN 'prefix:' END || h.pattern AS rule, h.start AS since
 FROM captures c LEFT JOIN hits h ON c.page_id = h.page_id AND h.nr = 1
 """
+
+
+@query
+def op1_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return link_embeddings(table(spark, folder, "embeddings"))
