@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from ..session import materialize
 from .common import small_batches
@@ -86,7 +86,7 @@ def block_links(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
 
 
 def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
-    """``fp`` and ``component`` (the smallest id) for all distinct fingerprints of ``fps(id, fp)``."""
+    """``fp``, ``label`` (equal within a component) and ``component`` (its smallest id) for all distinct fingerprints of ``fps(id, fp)``."""
     points = materialize(fps.groupBy("fp").agg(F.min("id").alias("id")), "simhash-points")
     masks = F.array(*[F.lit(m).cast("long") for m in covering_masks(radius)])
     keyed = points.select("fp", F.posexplode(masks).alias("t", "mask")).select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
@@ -110,7 +110,7 @@ def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = BLOCK)
     final = connected_components(first.unionByName(links))
     named_points = points.join(final.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = named_points.groupBy("label").agg(F.min("id").alias("component"))
-    return named_points.join(smallest, "label").select("fp", "component")
+    return named_points.join(smallest, "label").select("fp", "label", "component")
 
 
 def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4, radius: int = 4) -> DataFrame:
@@ -120,3 +120,17 @@ def simhash_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
     prints = materialize(prints, "simhash-prints")
     found = fingerprint_components(prints, radius)
     return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 4, radius: int = 4) -> DataFrame:
+    """The rows of ``docs`` that stay: of each component the one with its smallest id (of several with that id, one fixed by its text)."""
+    small_batches(docs.sparkSession)
+    printed = materialize(docs.withColumn("_fp", fingerprint(F.col(text_col), words_per_shingle)), "simhash-documents")
+    ids = printed.select(F.col(id_col).alias("id"), F.col("_fp").alias("fp"))
+    found = fingerprint_components(ids, radius)
+    first = ids.join(found, "fp").where(F.col("id").eqNullSafe(F.col("component"))).groupBy("label").agg(F.min(F.struct("id", "fp")).alias("r"))
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    stay = first.select(key("r.id").alias("_key"), F.col("r.fp").alias("_fp"))
+    kept = printed.withColumn("_key", key(id_col)).join(stay, ["_key", "_fp"])
+    nth = F.row_number().over(Window.partitionBy("_key", "_fp").orderBy(F.xxhash64(text_col)))
+    return kept.withColumn("_nth", nth).where("_nth = 1").select(*docs.columns)
