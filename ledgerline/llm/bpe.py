@@ -15,6 +15,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,11 +26,13 @@ from pyspark.sql import DataFrame
 from .common import small_batches, whole_text
 
 #: Chunks whose result a worker remembers; beyond this number it forgets all and starts again.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 500_000
 # The letters and numbers among the lower-case characters up to U+00FF. The standard library's
 # matcher knows no Unicode classes but is three times as fast on the texts that need none.
 LATIN_LETTERS, LATIN_NUMBERS, BEYOND_LATIN = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", re.compile("[^\x00-\xff]")
-ALONE = 0xFFFF  # stands for "no right neighbour" in a pair code
+ALONE = 0xFFFF  # stands for "no right neighbour" in a pair code; also the low half of one
+NEVER = 1 << 60
+LONG_WORD = 200
 
 
 def byte_letters() -> list[str]:
@@ -51,11 +54,11 @@ class WordBpe:
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
         self.token = {i: t for t, i in (self.vocab | self.special).items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merges: dict[int, int] = {}  # by pair code: rank and new token, packed
         self.halves: dict[int, tuple[int, int]] = {}
         for rank, (a, b) in enumerate(model["merges"]):
             new = self.vocab[a + b]
-            self.merges[self.vocab[a], self.vocab[b]] = rank, new
+            self.merges[self.vocab[a] << 16 | self.vocab[b]] = rank + 1 << 16 | new
             self.halves.setdefault(new, (self.vocab[a], self.vocab[b]))
         self.longest = max(map(len, self.vocab))
         split = next(p for p in data["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -82,22 +85,38 @@ class WordBpe:
 
     def merge(self, ids: list[int]) -> list[int]:
         """Exact merging: the lowest rank first, the leftmost among equals."""
-        ids, n = list(ids), len(ids)
+        if len(ids) > LONG_WORD:
+            return self.merge_long(ids)
+        ids, get = list(ids), self.merges.get
+        ranked = [get(a << 16 | b, NEVER) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranked and (best := min(ranked)) < NEVER:
+            i = ranked.index(best)
+            new = best & ALONE
+            ids[i : i + 2] = [new]
+            del ranked[i]
+            if i:
+                ranked[i - 1] = get(ids[i - 1] << 16 | new, NEVER)
+            if i < len(ranked):
+                ranked[i] = get(new << 16 | ids[i + 1], NEVER)
+        return ids
+
+    def merge_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap and linked neighbours, for words whose length makes the plain search quadratic."""
+        ids, n, get = list(ids), len(ids), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*self.merges[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
-        heap = [(rank, i, new) for rank, new, i in heap]
+        heap = [(hit, i) for i, (a, b) in enumerate(zip(ids, ids[1:], strict=False)) if (hit := get(a << 16 | b))]
         heapq.heapify(heap)
         while heap:
-            _, i, new = heapq.heappop(heap)
-            if ids[i] < 0 or (j := after[i]) >= n or self.merges.get((ids[i], ids[j]), (0, -1))[1] != new:
+            hit, i = heapq.heappop(heap)
+            if ids[i] < 0 or (j := after[i]) >= n or get(ids[i] << 16 | ids[j]) != hit:
                 continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                if hit := self.merges.get((new, ids[after[j]])):
-                    heapq.heappush(heap, (hit[0], i, hit[1]))
-            if (k := before[i]) >= 0 and (hit := self.merges.get((ids[k], new))):
-                heapq.heappush(heap, (hit[0], k, hit[1]))
+            ids[i], ids[j], after[i] = hit & ALONE, -1, after[j]
+            if (k := after[i]) < n:
+                before[k] = i
+                if new := get(ids[i] << 16 | ids[k]):
+                    heapq.heappush(heap, (new, i))
+            if (k := before[i]) >= 0 and (new := get(ids[k] << 16 | ids[i])):
+                heapq.heappush(heap, (new, k))
         return [x for x in ids if x >= 0]
 
     def spelled(self, word: str) -> str:
@@ -141,7 +160,7 @@ class WordBpe:
         needed = np.zeros(distinct.size, bool)
         needed[where[inner]] = True
         good = np.ones(distinct.size, bool)
-        if len(self.fits) > 2 * KNOWN_WORDS:
+        if len(self.fits) > KNOWN_WORDS:
             self.fits.clear()
         for k in np.flatnonzero(needed):
             code = int(distinct[k])
@@ -149,14 +168,21 @@ class WordBpe:
                 ok = self.fits[code] = self.compatible(code)
             good[k] = ok
         fine = np.logical_and.reduceat(good[where] | ~inner, np.append(0, last[:-1] + 1))
-        for w, s, cut, ok in zip(words, spelled, cuts, fine, strict=True):
-            if not ok:
-                cut = self.merge([self.vocab[c] for c in s[:-1]] + [self.vocab[s[-1] + self.end]])
-            self.ids[w] = np.array(cut, "<u4").tobytes()
-            self.shown[w] = " ".join(map(self.token.__getitem__, cut))
+        packed, vocab, shown = flat.astype("<u4").tobytes(), self.vocab, self.token.__getitem__
+        starts = np.append(0, 4 * (last + 1)).tolist()
+        for k, ok in enumerate(fine.tolist()):
+            w, s, cut = words[k], spelled[k], cuts[k]
+            if ok:
+                self.ids[w] = packed[starts[k] : starts[k + 1]]
+            else:
+                cut = self.merge([*map(vocab.__getitem__, s[:-1]), vocab[s[-1] + self.end]])
+                self.ids[w] = array("I", cut).tobytes()
+            self.shown[w] = " ".join(map(shown, cut))
 
     def pieces(self, text: str) -> list[str]:
         """Words of a text in order; special tokens stay whole."""
+        if text.isascii() and not self.cut.search(text):
+            return self.latin.findall(text.lower())
         out: list[str] = []
         for k, part in enumerate(self.cut.split(text)):
             if k % 2:
