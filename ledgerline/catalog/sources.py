@@ -216,16 +216,20 @@ def _(t):
 
 
 @query("a20_read_base_plus_delta", TRACKS + BASE_DELTA + """
-SELECT id, event, received_at, NULL::INTEGER AS k FROM base WHERE id NOT IN (SELECT id FROM delta) UNION ALL SELECT * FROM delta""")
+SELECT id, received_at, NULL::INTEGER AS k FROM base WHERE id NOT IN (SELECT id FROM delta) UNION ALL SELECT id, received_at, k FROM delta""")
 def _(t):
-    return merge.read_base_plus_delta(*_base_delta(t))
+    return merge.read_base_plus_delta(*_base_delta(t), exclude=["event"])
 
 
 @query("a21_build_delta", TRACKS + BASE_DELTA + """
-SELECT id, event, received_at FROM tracks WHERE received_at >= (SELECT max(received_at) FROM base) - INTERVAL 2 DAY AND id NOT IN (SELECT id FROM base)""")
+, source AS (SELECT id, event, received_at FROM tracks UNION ALL SELECT id, event, received_at + INTERVAL 10 DAY FROM tracks WHERE event = 'error'),
+mark AS (SELECT max(m) - INTERVAL 2 DAY AS since FROM (SELECT max(received_at) AS m FROM base UNION ALL SELECT max(received_at) FROM delta WHERE received_at < TIMESTAMP '2024-01-21'))
+SELECT id, event, received_at FROM source, mark WHERE received_at >= since AND id NOT IN (SELECT id FROM base WHERE received_at >= since)""")
 def _(t):
-    base, _ = _base_delta(t)
-    return merge.build_delta(s.tracks(t).select("id", "event", "received_at"), base)
+    base, delta = _base_delta(t)
+    rows = s.tracks(t).select("id", "event", "received_at")
+    again = rows.where(F.col("event") == "error").withColumn("received_at", F.col("received_at") + F.expr("interval 10 days"))
+    return merge.build_delta(rows.unionByName(again), base, delta=delta.where(F.col("received_at") < s.ts("2024-01-21 00:00:00")))
 
 
 @query("a22_upsert_by_source", TRACKS + """

@@ -177,12 +177,13 @@ def _(t):
 @query("j47_signup_funnel", s.with_("tracks") + """
 SELECT id, CASE event WHEN 'click' THEN 'pageview_getting_started' WHEN 'view' THEN 'pageview_verify_email' WHEN 'purchase' THEN 'pageview_company_name' ELSE 'pageview_create_workspace' END AS type,
  CASE event WHEN 'click' THEN 'cloud_account_creation_start' WHEN 'view' THEN 'cloud_account_creation_verify' WHEN 'purchase' THEN 'cloud_account_creation_company' ELSE 'cloud_account_creation_workspace' END AS category
-FROM tracks WHERE k >= 10 AND event <> 'error' AND received_at >= TIMESTAMP '2024-01-20'""")
+FROM tracks WHERE k >= 10 AND event <> 'error' AND received_at > (SELECT max(received_at) FROM tracks WHERE k >= 10 AND event <> 'error' AND received_at < TIMESTAMP '2024-01-20' AND event_id % 3 = 0)""")
 def _(t):
     step = F.when(F.col("event") == "click", "signup").when(F.col("event") == "view", "verify-email").when(F.col("event") == "purchase", "company-name").when(
         F.col("event") == "signup", "create-workspace").otherwise("elsewhere")
     pages = s.tracks(t).select("id", "received_at", F.concat(F.when(F.col("k") < 10, "/site/").otherwise("/cloud/"), step).alias("path"))
-    loaded = pages.where(F.col("received_at") < s.ts("2024-01-20 00:00:00"))
+    # Only the view of a third of the older pages was loaded; older ones that were missed stay out.
+    loaded = plan.signup_funnel_events(pages.where((F.col("received_at") < s.ts("2024-01-20 00:00:00")) & (F.col("id").cast("long") % 3 == 0)))
     return plan.signup_funnel_events(pages, loaded).select("id", "type", "category")
 
 

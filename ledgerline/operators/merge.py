@@ -41,13 +41,34 @@ def slowest_source_mark(target: DataFrame, tag: str, column: str):
 # ---------------------------------------------------------------- new state of a table
 
 
-def incremental_append(new: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key is not in the target."""
-    return new.join(target.select(*key), list(key), "left_anti")
+def in_partitions(target: DataFrame, new: DataFrame, partition: str | None) -> DataFrame:
+    """The target's rows in the partitions of the batch, named as literals so that the scan is pruned."""
+    if partition is None:
+        return target
+    touched = [r[0] for r in new.select(partition).distinct().collect()]
+    return target.where(F.col(partition).isin([v for v in touched if v is not None]) | (F.col(partition).isNull() if None in touched else F.lit(False)))
 
 
-def incremental_merge(new: DataFrame, target: DataFrame, key: Sequence[str], update: Sequence[str] | None = None) -> DataFrame:
-    """Update the listed columns where the key matches, insert the other new rows."""
+def write_partitions(state: DataFrame, path: str, partition: str) -> None:
+    """Replace just the partitions that occur in ``state``; the others are not read or written. Write a state down before it goes back to its own path."""
+    state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def incremental_append(new: DataFrame, target: DataFrame, key: Sequence[str], partition: str | None = None) -> DataFrame:
+    """Rows of ``new`` whose key is not in the target.
+
+    ``partition`` names a column that a key never changes (a day, say): then only the target's partitions
+    that occur in the batch are read.
+    """
+    return new.join(in_partitions(target, new, partition).select(*key), list(key), "left_anti")
+
+
+def incremental_merge(new: DataFrame, target: DataFrame, key: Sequence[str], update: Sequence[str] | None = None, partition: str | None = None) -> DataFrame:
+    """Update the listed columns where the key matches, insert the other new rows.
+
+    With ``partition`` the result holds the touched partitions only, for :func:`write_partitions`.
+    """
+    target = in_partitions(target, new, partition)
     update = list(update) if update is not None else [c for c in target.columns if c not in key]
     n = new.select(*key, *[F.col(c).alias(f"_n_{c}") for c in target.columns if c not in key]).withColumn("_new", F.lit(True))
     t = target.withColumn("_old", F.lit(True))
@@ -62,8 +83,12 @@ def incremental_merge(new: DataFrame, target: DataFrame, key: Sequence[str], upd
     return joined.select(*[F.col(c) if c in key else merged(c) for c in target.columns])
 
 
-def delete_insert(new: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Replace all rows of the keys that occur in the new batch."""
+def delete_insert(new: DataFrame, target: DataFrame, key: Sequence[str], partition: str | None = None) -> DataFrame:
+    """Replace all rows of the keys that occur in the new batch.
+
+    With ``partition`` the result holds the touched partitions only, for :func:`write_partitions`.
+    """
+    target = in_partitions(target, new, partition)
     kept = target.join(new.select(*key).distinct(), list(key), "left_anti")
     return kept.unionByName(new)
 
@@ -107,20 +132,20 @@ def schema_evolve(base: DataFrame, delta: DataFrame) -> DataFrame:
 
 
 def merge_delta_into_base(base: DataFrame, delta: DataFrame, key: str = "id", ts: str = "received_at",
-                          prune_days: int = 7) -> tuple[DataFrame, DataFrame]:
+                          prune_days: int = 7, later: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """New base rows and the rest of the delta after an insert-only merge.
 
     Only the base slice from ``prune_days`` before the delta's first arrival is searched for the
-    key, as a literal that prunes files and date partitions. Returns (rows to append, delta rows
-    that arrived after the merge snapshot: none).
+    key, as a literal that prunes files and date partitions. ``later`` is the delta as it stands when the merge
+    has run. Returns (rows to append, rows of ``later`` that the merge has not seen, which stay in the delta).
     """
+    later = delta if later is None else later
     first = delta.agg(F.min(ts)).first()[0]
     if first is None:
-        return delta, delta
+        return delta, later
     searched = base.where(F.col(ts) >= F.lit(first - timedelta(days=prune_days)))
     fresh = delta.join(searched.select(key), key, "left_anti")
-    merged_ids = searched.select(key).unionByName(fresh.select(key))
-    return fresh, delta.join(merged_ids, key, "left_anti")
+    return fresh, later.join(delta.select(key), key, "left_anti")
 
 
 def merged_base(base: DataFrame, delta: DataFrame, key: str = "id", ts: str = "received_at", prune_days: int = 7) -> DataFrame:
@@ -129,16 +154,22 @@ def merged_base(base: DataFrame, delta: DataFrame, key: str = "id", ts: str = "r
     return evolved.unionByName(fresh, allowMissingColumns=True)
 
 
-def read_base_plus_delta(base: DataFrame, delta: DataFrame, key: str = "id") -> DataFrame:
-    """Base rows whose id is not in the delta, and all delta rows."""
-    return base.join(delta.select(key), key, "left_anti").unionByName(delta, allowMissingColumns=True)
+def read_base_plus_delta(base: DataFrame, delta: DataFrame, key: str = "id", exclude: Sequence[str] = ()) -> DataFrame:
+    """Base rows whose id is not in the delta, and all delta rows, without the excluded columns."""
+    return base.join(delta.select(key), key, "left_anti").drop(*exclude).unionByName(delta.drop(*exclude), allowMissingColumns=True)
 
 
-def build_delta(source: DataFrame, base: DataFrame, key: str = "id", ts: str = "received_at", days: int = 2) -> DataFrame:
-    """Source rows of the last days before the base's mark that the base lacks."""
-    mark = high_water_mark(base, ts)
-    recent = source if mark is None else source.where(F.col(ts) >= F.lit(mark - timedelta(days=days)))
-    return recent.join(base.select(key), key, "left_anti")
+def build_delta(source: DataFrame, base: DataFrame, key: str = "id", ts: str = "received_at", days: int = 2, delta: DataFrame | None = None) -> DataFrame:
+    """Source rows since ``days`` before the mark whose id the base does not hold in that same time.
+
+    The mark is the latest arrival in the base or in the delta as it stands. An id whose base row is older comes
+    back, as the base is only searched in the pruned slice.
+    """
+    marks = [m for m in (high_water_mark(x, ts) for x in (base, delta) if x is not None) if m is not None]
+    if not marks:
+        return source
+    since = F.lit(max(marks) - timedelta(days=days))
+    return source.where(F.col(ts) >= since).join(base.where(F.col(ts) >= since).select(key), key, "left_anti")
 
 
 def daily_snapshot(table: DataFrame, history: DataFrame | None, as_of: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import agents, text
 from ..functions.rules import first_match
-from ..operators import aggregate, joins, windows
+from ..operators import aggregate, joins, merge, windows
 
 # Path patterns of server and desktop releases.
 SERVER_RELEASE = r"/[1-9]{1,3}[.][0-9]{1,3}[.][0-9]{1,3}/.*"
@@ -215,17 +215,18 @@ SIGNUP_STEPS = [
 
 
 def signup_funnel_events(pages: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    """Sign-up page views with their funnel step, without those already loaded. ``pages``: id, path, received_at."""
+    """Sign-up page views with their funnel step that arrived after all that is loaded. ``pages``: id, path, received_at."""
     segment = F.split_part("path", F.lit("/"), F.lit(3))
     rows = pages.where(F.contains("path", F.lit("cloud"))).withColumns({
         "type": first_match([(segment == s, t) for s, t, _ in SIGNUP_STEPS]), "category": first_match([(segment == s, c) for s, _, c in SIGNUP_STEPS])
     }).where(F.col("type").isNotNull())
-    return rows if target is None else rows.join(target.select("id"), "id", "left_anti")
+    mark = None if target is None else merge.high_water_mark(target, "received_at")
+    return rows if mark is None else rows.where(F.col("received_at") > F.lit(mark))
 
 
 # ---------------------------------------------------------------- geography
 
-IP_BUCKET = 1 << 25  # A /7 block.
+IP_BUCKET = 1 << 16  # A /16 block; wider ranges stand in each of theirs.
 
 
 def country_ranges(blocks: DataFrame, locations: DataFrame) -> DataFrame:

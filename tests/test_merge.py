@@ -109,3 +109,62 @@ def test_clustered_write_overwrites_touched_partitions_only(spark, tmp_path):
     files.write_clustered(rows_in("a", 3).unionByName(rows_in("b", 4)), path, "day", ["id"])
     files.write_clustered(rows_in("b", 1), path, "day", ["id"])
     assert {r["day"]: r["count"] for r in spark.read.parquet(path).groupBy("day").count().collect()} == {"a": 3, "b": 1}
+
+
+def _arrivals(spark, rows):
+    import datetime as dt
+
+    return spark.createDataFrame([(i, dt.datetime(2024, 1, d)) for i, d in rows], "id string, received_at timestamp_ntz")
+
+
+def test_delta_searches_only_the_pruned_slice_of_the_base(spark):
+    base = _arrivals(spark, [("old", 1), ("x", 20)])
+    source = _arrivals(spark, [("old", 20), ("x", 20), ("new", 21), ("stale", 17)])
+    assert sorted(r["id"] for r in merge.build_delta(source, base).collect()) == ["new", "old"]
+    # The delta's own mark moves the slice on: x is searched in the base from the 20th only.
+    delta = _arrivals(spark, [("new", 23)])
+    assert sorted(r["id"] for r in merge.build_delta(source, base, delta=delta).collect()) == ["new"]
+    assert merge.build_delta(source, base.limit(0)).count() == 4
+
+
+def test_base_plus_delta_leaves_out_columns(spark):
+    base = _arrivals(spark, [("a", 1), ("b", 2)])
+    out = merge.read_base_plus_delta(base, _arrivals(spark, [("b", 5)]), exclude=["received_at"])
+    assert out.columns == ["id"] and sorted(r["id"] for r in out.collect()) == ["a", "b"]
+
+
+def test_late_page_views_stay_out(spark):
+    from ledgerline.plans import web
+
+    pages = _arrivals(spark, [("late", 5), ("next", 21)]).selectExpr("id", "'/cloud/signup' AS path", "received_at")
+    loaded = _arrivals(spark, [("seen", 20)])
+    assert [r["id"] for r in web.signup_funnel_events(pages, loaded).collect()] == ["next"]
+    assert web.signup_funnel_events(pages, loaded.limit(0)).count() == 2
+
+
+def test_rows_after_the_merge_stay_in_the_delta(spark):
+    base, delta = _arrivals(spark, [("a", 20)]), _arrivals(spark, [("a", 20), ("b", 21)])
+    later = _arrivals(spark, [("a", 20), ("b", 21), ("c", 22)])
+    fresh, rest = merge.merge_delta_into_base(base, delta, later=later)
+    assert [r["id"] for r in fresh.collect()] == ["b"] and [r["id"] for r in rest.collect()] == ["c"]
+
+
+def test_merges_touch_only_the_partitions_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "state")
+    state = spark.createDataFrame([(k, d, 1) for d in range(5) for k in range(3)], "key int, day int, n int")
+    merge.write_partitions(state, path, "day")
+    target = spark.read.parquet(path).select("key", "day", "n")
+    batch = spark.createDataFrame([(1, 2, 9), (7, 3, 9)], "key int, day int, n int")
+    merged = merge.incremental_merge(batch, target, ["key", "day"], partition="day")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [day" in plan
+    assert {r["day"] for r in merged.collect()} == {2, 3}
+    from ledgerline.session import materialize
+
+    merge.write_partitions(materialize(merged, "merged"), path, "day")
+    after = {(r["key"], r["day"]): r["n"] for r in spark.read.parquet(path).collect()}
+    assert len(after) == 16 and after[1, 2] == 9 and after[7, 3] == 9 and after[0, 2] == 1
+    target = spark.read.parquet(path).select("key", "day", "n").where("n = 1")
+    assert merge.incremental_append(batch, target, ["key", "day"], partition="day").count() == 2
+    replaced = merge.delete_insert(batch, target, ["key", "day"], partition="day")
+    assert replaced.count() == 7 and {r["day"] for r in replaced.collect()} == {2, 3}
