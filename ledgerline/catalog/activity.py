@@ -223,13 +223,13 @@ SELECT md5(server_id || '-' || activity_date) AS daily_server_id, activity_date,
 s.define("own_reports", """
 SELECT server_id, "timestamp"::DATE AS activity_date, arg_max(k, ("timestamp", event_id)) AS server_daily_active_users, arg_max(k * 10, ("timestamp", event_id)) AS server_monthly_active_users,
  arg_max(k * 7, ("timestamp", event_id)) AS count_posts, arg_max('9.' || (k % 3), ("timestamp", event_id)) AS version_full, arg_max(k % 5 = 0, ("timestamp", event_id)) AS is_missing_activity_data
-FROM tracks WHERE event = 'signup' AND k < 30 GROUP BY ALL""", "tracks")
+FROM tracks WHERE event = 'signup' GROUP BY ALL""", "tracks")
 
 
 def own_reports(t):
     at = F.struct("timestamp", "event_id")
     k = F.col("k")
-    return s.tracks(t).where((F.col("event") == "signup") & (k < 30)).groupBy("server_id", F.to_date("timestamp").alias("activity_date")).agg(
+    return s.tracks(t).where(F.col("event") == "signup").groupBy("server_id", F.to_date("timestamp").alias("activity_date")).agg(
         F.max_by(k, at).alias("daily_active_users"), F.max_by(k * 10, at).alias("monthly_active_users"), F.max_by(k * 7, at).alias("count_posts"),
         F.max_by(F.concat(F.lit("9."), k % 3), at).alias("version_full"), F.max_by(k % 5 == 0, at).alias("is_missing_activity_data"),
     )
@@ -504,7 +504,7 @@ e AS (SELECT e.server_id, {", ".join(f"bool_or({_band_sql(*b)}) AS retention_{n}
   count(DISTINCT user_id) AS active_users_alltime, max(e."timestamp")::DATE AS last_event_date, count(DISTINCT e."timestamp"::DATE) AS days_active, CAST((DATE {DAY} - min(e."timestamp"::DATE)) - count(DISTINCT e."timestamp"::DATE) AS BIGINT) AS days_inactive
   FROM server_events e JOIN (SELECT server_id, first_active_date::TIMESTAMP AS f FROM base) b ON b.server_id = e.server_id GROUP BY 1),
 l AS (SELECT server_id, min(CASE WHEN event_type <> 'signup' THEN "timestamp"::DATE END) AS first_paid_license_date, max(CASE WHEN event_type <> 'signup' THEN "timestamp"::DATE END) AS last_paid_license_date, min(CASE WHEN event_type = 'signup' THEN "timestamp"::DATE END) AS first_trial_license_date,
-  max(CASE WHEN event_type = 'signup' THEN "timestamp"::DATE END) AS last_trial_license_date, max(installation_id) AS company, max(CASE WHEN event_type <> 'signup' THEN "timestamp"::DATE + 365 END) AS paid_license_expire_date FROM server_reports WHERE k > 80 GROUP BY 1),
+  max(CASE WHEN event_type = 'signup' THEN "timestamp"::DATE END) AS last_trial_license_date, max(installation_id) AS company, max(CASE WHEN event_type <> 'signup' THEN "timestamp"::DATE + 365 END) AS paid_license_expire_date FROM server_reports GROUP BY 1),
 x AS (SELECT base.*, greatest(coalesce(au, 0), coalesce(active_users_alltime, 0)) AS max_active_user_count, sizes.* EXCLUDE (server_id, au), u.* EXCLUDE (server_id), e.* EXCLUDE (server_id), l.* EXCLUDE (server_id)
  FROM base LEFT JOIN sizes USING (server_id) LEFT JOIN u USING (server_id) LEFT JOIN e USING (server_id) LEFT JOIN l USING (server_id))
 SELECT *, min(first_active_date) OVER (PARTITION BY coalesce(lower(company), server_id)) AS customer_first_active_date, min(first_paid_license_date) OVER (PARTITION BY coalesce(lower(company), server_id)) AS customer_first_paid_license_date FROM x""")
@@ -513,7 +513,7 @@ def _(t):
     k, day = F.col("k"), F.to_date("timestamp")
     raw = server_reports(t)
     reports = raw.select("server_id", day.alias("date"), (k * 30).alias("user_count"), k.alias("active_users"), (k * 7).alias("posts"))
-    licences = raw.where(k > 80).select(
+    licences = raw.select(
         "server_id", (F.col("event_type") == "signup").alias("trial"), day.alias("issued_date"), F.date_add(day, 365).alias("expire_date"),
         F.col("installation_id").alias("company"),
     )
@@ -524,13 +524,13 @@ def _(t):
 
 s.define("plugin_events", """
 SELECT id, server_id, '1.' || CASE WHEN "timestamp" < TIMESTAMP '2024-01-10' + to_days(CAST(user_id[2:] AS INTEGER) % 20 % 5) THEN 0 ELSE 1 END AS plugin_version, user_id, "timestamp", CASE event WHEN 'click' THEN 'playbook' ELSE 'incident' END AS event,
- CASE k % 3 WHEN 0 THEN 'create' WHEN 1 THEN 'update' ELSE 'end' END AS action FROM tracks WHERE k < 40""", "tracks")
+ CASE k % 3 WHEN 0 THEN 'create' WHEN 1 THEN 'update' ELSE 'end' END AS action FROM tracks""", "tracks")
 
 
 def plugin_events(t):
     k = F.col("k")
     switch = s.ts("2024-01-10 00:00:00") + F.make_dt_interval((F.substring("user_id", 2, 9).cast("int") % 20 % 5))
-    return s.tracks(t).where(k < 40).select(
+    return s.tracks(t).select(
         "id", "server_id", F.when(F.col("timestamp") < switch, "1.0").otherwise("1.1").alias("plugin_version"), "user_id", "timestamp",
         F.when(F.col("event") == "click", "playbook").otherwise("incident").alias("event"),
         F.when(k % 3 == 0, "create").when(k % 3 == 1, "update").otherwise("end").alias("action"),
@@ -660,7 +660,8 @@ def _exclusion_parts(t):
 SELECT server_id, bool_or(reason = 'Ran Tests') AS has_reason_ran_tests, bool_or(reason = 'Active Users > Registered Users') AS has_reason_active_users___registered_users,
  bool_or(reason = 'Custom Build Version Format') AS has_reason_custom_build_version_format, bool_or(reason = 'Invalid server id') AS has_reason_invalid_server_id FROM exclusions GROUP BY 1""")
 def _(t):
-    out = plan.excludable_entities(_exclusion_parts(t))
+    reasons = ["Ran Tests", "Active Users > Registered Users", "Custom Build Version Format", "Invalid server id"]
+    out = plan.excludable_entities(_exclusion_parts(t), reasons)
     return out.select(
         "server_id", "has_reason_ran_tests", "has_reason_active_users___registered_users", "has_reason_custom_build_version_format", "has_reason_invalid_server_id"
     )

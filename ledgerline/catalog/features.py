@@ -68,8 +68,11 @@ SELECT md5(activity_date || '-' || server_id || '-' || user_id) AS daily_user_id
 FROM attributed GROUP BY ALL""", "attributed")
 
 
+FEATURES = ["navigation", "preview", "shortcuts", "unknown_features", "upgrade"]
+
+
 def usage(t):
-    return plan.feature_usage_per_user_day(attributed(t))
+    return plan.feature_usage_per_user_day(attributed(t), FEATURES)
 
 
 @query("j33_feature_usage_per_user_day", s.with_("usage") + "SELECT * FROM usage")
@@ -84,7 +87,7 @@ def _(t):
     rows = attributed(t)
     loaded = rows.where((F.col("received_at_date") < s.day("2024-01-25")) | (F.col("event_name") == "click"))
     since = merge.slowest_source_mark(loaded, "event_name", "received_at_date") - timedelta(days=2)
-    out = plan.feature_usage_per_user_day(rows, since=since)
+    out = plan.feature_usage_per_user_day(rows, FEATURES, since=since)
     return out.select("activity_date", "server_id", "user_id", "count_upgrade", "count_total")
 
 
@@ -144,11 +147,11 @@ def _(t):
 
 @query("j36_feature_daily_snapshot", s.with_("feature_spine", "tracks") + f"""
 , g AS (SELECT server_id, activity_date, {", ".join(f"sum({c}_{m})::BIGINT AS {c}_{m}" for c in COUNTERS for m in ("events_daily", "events_monthly", "users_daily", "users_monthly"))}, sum(is_active)::BIGINT AS client_daily_active_users, sum(is_active_monthly)::BIGINT AS client_monthly_active_users FROM feature_spine GROUP BY ALL),
-r AS (SELECT server_id, "timestamp"::DATE AS activity_date, max(k) AS dau, max(k * 9) AS cru FROM tracks WHERE event = 'error' AND k < 25 GROUP BY ALL)
+r AS (SELECT server_id, "timestamp"::DATE AS activity_date, max(k) AS dau, max(k * 9) AS cru FROM tracks WHERE event = 'error' GROUP BY ALL)
 SELECT md5(g.server_id || '-' || g.activity_date) AS daily_server_id, g.*, coalesce(dau, 0) AS server_daily_active_users, coalesce(cru, 0) AS count_registered_users FROM g LEFT JOIN r USING (server_id, activity_date)""")
 def _(t):
     k = F.col("k")
-    reported = s.tracks(t).where((F.col("event") == "error") & (k < 25)).groupBy("server_id", F.to_date("timestamp").alias("activity_date")).agg(
+    reported = s.tracks(t).where(F.col("event") == "error").groupBy("server_id", F.to_date("timestamp").alias("activity_date")).agg(
         F.max(k).alias("daily_active_users"), F.max(k * 9).alias("count_registered_users")
     )
     return plan.feature_daily_snapshot(mart(feature_spine(t), "feature-spine"), reported, ["daily_active_users", "count_registered_users"])

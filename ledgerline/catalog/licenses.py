@@ -568,12 +568,12 @@ def _uuid_sql(expr: str) -> str:
 
 
 @query("j71_billing_entities", f"""
-WITH c AS (SELECT 'c' || c_custkey AS customer_id, 'u' || c_custkey || CASE WHEN c_nationkey % 3 = 0 THEN '@gmail.com' ELSE '@firm' || (c_custkey % 70) || '.com' END AS email, c_custkey, c_nationkey FROM customer),
+WITH c AS (SELECT 'c' || c_custkey AS customer_id, 'u' || c_custkey || CASE WHEN c_nationkey % 3 = 0 THEN '@gmail.com' ELSE '@firm' || (c_custkey % 70) || '.com' END AS email, c_custkey, c_nationkey, c_mktsegment FROM customer),
 s AS (SELECT 's' || o_orderkey AS subscription_id, 'n' || o_orderkey AS version_id, 'c' || o_custkey AS customer_id, 'h' || o_orderkey AS charge_id, o_orderdate AS created_at, CAST(o_totalprice * 100 AS BIGINT) AS total_cents, o_orderstatus, o_orderkey FROM orders),
-x AS (SELECT s.*, email, CASE WHEN c_nationkey % 3 > 0 THEN 'firm' || (c_custkey % 70) || '.com' END AS domain, 'N' || c_nationkey AS country, CASE WHEN c_nationkey < 20 THEN 'state ' || c_nationkey END AS state_code, lag(version_id) OVER (PARTITION BY s.customer_id ORDER BY created_at, subscription_id) AS previous_version_id, c_custkey FROM s JOIN c USING (customer_id)),
+x AS (SELECT s.*, email, CASE WHEN c_nationkey % 3 > 0 THEN 'firm' || (c_custkey % 70) || '.com' END AS domain, 'N' || c_nationkey AS country, CASE WHEN c_nationkey < 20 THEN 'state ' || c_nationkey END AS state_code, lag(version_id) OVER (PARTITION BY s.customer_id ORDER BY created_at, subscription_id) AS previous_version_id, c_custkey, c_mktsegment FROM s JOIN c USING (customer_id)),
 y AS (SELECT *, CASE WHEN o_orderstatus = 'F' THEN 'deal-' || o_orderkey ELSE {_uuid_sql("version_id")} END AS opportunity_external_id FROM x)
 SELECT subscription_id, customer_id, email, domain, country, state_code, previous_version_id, total_cents / 100.0::DOUBLE AS total, CASE WHEN domain IS NOT NULL THEN 'acc-' || domain END AS account_id, CASE WHEN domain IS NOT NULL THEN 'ext-' || domain ELSE {_uuid_sql("customer_id")} END AS account_external_id,
- {_uuid_sql("customer_id || email")} AS contact_external_id, opportunity_external_id, {_uuid_sql("opportunity_external_id || 'oli'")} AS opportunitylineitem_external_id FROM y""")
+ CASE WHEN c_mktsegment = 'BUILDING' THEN 'con-' || c_custkey ELSE {_uuid_sql("customer_id || email")} END AS contact_external_id, opportunity_external_id, {_uuid_sql("opportunity_external_id || 'oli'")} AS opportunitylineitem_external_id FROM y""")
 def _(t):
     key, nation = F.col("c_custkey"), F.col("c_nationkey")
     cat = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -588,6 +588,8 @@ def _(t):
     older = address.withColumns({"country": F.lit("old"), "created_at": F.lit(0)})
     places = t.nation.where(F.col("n_nationkey") < 20).select(cat("N", F.col("n_nationkey")).alias("country"), cat("P", F.col("n_nationkey"), "-77").alias("postal_code"), cat("state ", F.col("n_nationkey")).alias("state_code"))
     accounts = t.customer.select(firm.alias("domain"), cat("ext-", firm).alias("account_external_id"), cat("acc-", firm).alias("account_id"), F.lit(1).alias("modified_at")).distinct()
-    contacts = t.customer.where(key < 0).select(F.lit("x").alias("email"), F.lit("x").alias("contact_external_id"), F.lit(1).alias("modified_at"))
+    contacts = customers.join(t.customer.where(F.col("c_mktsegment") == "BUILDING"), F.col("customer_id") == cat("c", key)).select(
+        "email", cat("con-", key).alias("contact_external_id"), F.lit(1).alias("modified_at")
+    )
     deals = t.orders.where(F.col("o_orderstatus") == "F").select(cat("h", order).alias("charge_id"), cat("deal-", order).alias("opportunity_external_id"), F.lit(1).alias("modified_at"))
     return plan.billing_entities(customers, subscriptions, address.unionByName(older), places, accounts, contacts, deals)

@@ -268,9 +268,8 @@ def _(t):
 
 @query("c12_cross_join", "SELECT n_name, m.priority FROM nation CROSS JOIN (SELECT DISTINCT o_orderpriority AS priority FROM orders) m")
 def _(t):
-    # The right side is one row with an array, so each nation row is expanded in place.
-    listed = t.orders.agg(F.collect_set("o_orderpriority").alias("priorities")).withColumn("_one", F.lit(1))
-    return t.nation.withColumn("_one", F.lit(1)).join(listed, "_one").select("n_name", F.explode("priorities").alias("priority"))
+    priorities = t.orders.select(F.col("o_orderpriority").alias("priority")).distinct()
+    return joins.product(t.nation.select("n_name"), priorities)
 
 
 @query("c13_open_spine", TRACKS + """
@@ -341,7 +340,7 @@ def _networks(t) -> DataFrame:
 @query("c17_ip_range_join", ADDRESSES + "SELECT page_id, ip, country FROM num LEFT JOIN nets ON n BETWEEN lo AND hi")
 def _(t):
     hits = s.access_log(t).withColumn("ip_number", text.ipv4_number("ip"))
-    return joins.range_bucket_join(hits, _networks(t), "ip_number", "range_start", "range_end", 1 << 25).select(
+    return joins.range_bucket_join(hits, _networks(t), "ip_number", "range_start", "range_end", 1 << 16).select(
         "page_id", "ip", "country"
     )
 
@@ -514,9 +513,9 @@ def _(t):
 @query("c31_prefix_like", """
 SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey AND CAST(c_custkey AS VARCHAR) LIKE s_suppkey || '%'""")
 def _(t):
-    return t.customer.join(
-        t.supplier, (F.col("c_nationkey") == F.col("s_nationkey")) & F.startswith(F.col("c_custkey").cast("string"), F.col("s_suppkey").cast("string"))
-    ).select("c_custkey", "s_suppkey")
+    customers = t.customer.select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_custkey").cast("string").alias("code"))
+    suppliers = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nation"), F.col("s_suppkey").cast("string").alias("prefix"))
+    return joins.prefix_join(customers, suppliers, "code", "prefix", ["nation"]).select("c_custkey", "s_suppkey")
 
 
 @query("c32_delimited_key", """

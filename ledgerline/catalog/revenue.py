@@ -136,7 +136,7 @@ def _(t):
 # ---------------------------------------------------------------- transactions
 
 s.define("licence_deals", """
-SELECT 'o' || o_orderkey AS opportunity_id, 'a' || (o_custkey % 800) AS account_id, o_orderdate::DATE AS license_start, o_orderdate::DATE + CAST(CASE o_orderkey % 4 WHEN 0 THEN 729 WHEN 1 THEN 180 ELSE 364 END AS INTEGER) AS license_end, o_orderdate::DATE + CAST(o_orderkey % 7 * 30 - 60 AS INTEGER) AS close_date,
+SELECT 'o' || o_orderkey AS opportunity_id, 'a' || o_custkey AS account_id, o_orderdate::DATE AS license_start, o_orderdate::DATE + CAST(CASE o_orderkey % 4 WHEN 0 THEN 729 WHEN 1 THEN 180 ELSE 364 END AS INTEGER) AS license_end, o_orderdate::DATE + CAST(o_orderkey % 7 * 30 - 60 AS INTEGER) AS close_date,
  CASE o_orderpriority WHEN '1-URGENT' THEN 'New Subscription' WHEN '2-HIGH' THEN 'Account Expansion' WHEN '3-MEDIUM' THEN 'Renewal' WHEN '4-NOT SPECIFIED' THEN 'Existing Business' ELSE 'Monthly Billing' END AS type, CASE WHEN o_orderkey % 5 = 0 THEN 'Yearly renewal' ELSE 'Deal' END AS name, o_totalprice AS amount, o_orderstatus = 'F' AS is_won, o_orderstatus <> 'O' AS is_closed,
  o_orderkey, o_orderstatus, o_orderpriority FROM orders""")
 
@@ -146,7 +146,7 @@ def licence_deals(t):
     length = F.when(key % 4 == 0, 729).when(key % 4 == 1, 180).otherwise(364)
     kind = F.when(p == "1-URGENT", "New Subscription").when(p == "2-HIGH", "Account Expansion").when(p == "3-MEDIUM", "Renewal").when(p == "4-NOT SPECIFIED", "Existing Business").otherwise("Monthly Billing")
     return t.orders.select(
-        F.concat(F.lit("o"), key).alias("opportunity_id"), F.concat(F.lit("a"), F.col("o_custkey") % 800).alias("account_id"), day.alias("license_start"), F.date_add(day, length).alias("license_end"),
+        F.concat(F.lit("o"), key).alias("opportunity_id"), F.concat(F.lit("a"), F.col("o_custkey")).alias("account_id"), day.alias("license_start"), F.date_add(day, length).alias("license_end"),
         F.date_add(day, (key % 7 * 30 - 60).cast("int")).alias("close_date"), kind.alias("type"), F.when(key % 5 == 0, "Yearly renewal").otherwise("Deal").alias("name"),
         F.col("o_totalprice").alias("amount"), (F.col("o_orderstatus") == "F").alias("is_won"), (F.col("o_orderstatus") != "O").alias("is_closed"), key, "o_orderstatus", p,
     )
@@ -154,13 +154,13 @@ def licence_deals(t):
 
 def deal_accounts(t):
     key = F.col("c_custkey")
-    return t.customer.where(key < 800).select(
+    return t.customer.select(
         F.concat(F.lit("a"), key).alias("account_id"), F.when(F.col("c_nationkey") < 12, F.concat(F.lit("a"), F.col("c_nationkey"))).alias("parent_id"), F.col("c_name").alias("account_name"),
         F.when(F.col("c_acctbal") > 5000, F.col("c_mktsegment")).alias("tier"),
     )
 
 
-s.define("deal_accounts", "SELECT 'a' || c_custkey AS account_id, CASE WHEN c_nationkey < 12 THEN 'a' || c_nationkey END AS parent_id, c_name AS account_name, CASE WHEN c_acctbal > 5000 THEN c_mktsegment END AS tier FROM customer WHERE c_custkey < 800")
+s.define("deal_accounts", "SELECT 'a' || c_custkey AS account_id, CASE WHEN c_nationkey < 12 THEN 'a' || c_nationkey END AS parent_id, c_name AS account_name, CASE WHEN c_acctbal > 5000 THEN c_mktsegment END AS tier FROM customer")
 _FY = "make_date(CASE WHEN month({d}) = 1 THEN year({d}) ELSE year({d}) + 1 END, 1, 31)"
 _FQ = "last_day((date_trunc('quarter', {d} - INTERVAL 1 MONTH) + INTERVAL 3 MONTH)::DATE)"
 _WEEK = "(date_trunc('week', {d}) + INTERVAL 6 DAY)::DATE"
@@ -382,10 +382,10 @@ def _(t):
 
 
 @query("j100_metering_cost", f"""
-WITH u AS (SELECT user_id AS warehouse_id, ts AS start_time, ts + INTERVAL 90 MINUTE AS end_time, value AS credits_used FROM events), r AS (SELECT ts::DATE AS contract_date, max(value) AS rate FROM events WHERE event_type = 'purchase' AND CAST(props ->> '$.k' AS INTEGER) = 42 GROUP BY 1),
+WITH u AS (SELECT user_id AS warehouse_id, ts AS start_time, ts + INTERVAL 90 MINUTE AS end_time, value AS credits_used FROM events), r AS (SELECT ts::DATE AS contract_date, max(value) AS rate FROM events WHERE event_type = 'purchase' GROUP BY 1),
 i AS (SELECT *, coalesce(lead(contract_date) OVER (ORDER BY contract_date) - 1, DATE '2024-12-31')::DATE AS e FROM r)
 SELECT warehouse_id, start_time, end_time, date_trunc('month', end_time)::DATE AS usage_month, end_time::DATE AS usage_day, date_diff('hour', start_time, end_time) AS usage_length, rate AS credit_rate, {_half("credits_used * rate", 2)} AS dollars_spent FROM u LEFT JOIN i ON end_time::DATE BETWEEN contract_date AND e""")
 def _(t):
     usage = t.events.select(F.col("user_id").alias("warehouse_id"), F.col("ts").alias("start_time"), (F.col("ts") + F.expr("interval 90 minutes")).alias("end_time"), F.col("value").alias("credits_used"))
-    rates = t.events.where((F.col("event_type") == "purchase") & (F.get_json_object("props", "$.k").cast("int") == 42)).groupBy(F.to_date("ts").alias("contract_date")).agg(F.max("value").alias("rate"))
+    rates = t.events.where(F.col("event_type") == "purchase").groupBy(F.to_date("ts").alias("contract_date")).agg(F.max("value").alias("rate"))
     return plan.metering_cost(usage, rates, "2024-12-31")

@@ -13,12 +13,12 @@ START = "2024-01-01"
 
 s.define("answers", """
 SELECT server_id, user_id, "timestamp"::DATE AS event_date, "timestamp", event_id, event, '9.' || (k % 4) AS server_version_full, CAST(event_id % 11 AS INTEGER) AS score,
- CASE k % 4 WHEN 0 THEN 'user' WHEN 1 THEN 'team_admin' WHEN 2 THEN 'system_admin' END AS user_role FROM tracks WHERE k < 40""", "tracks")
+ CASE k % 4 WHEN 0 THEN 'user' WHEN 1 THEN 'team_admin' WHEN 2 THEN 'system_admin' END AS user_role FROM tracks""", "tracks")
 
 
 def answers(t):
     k = F.col("k")
-    return s.tracks(t).where(k < 40).select(
+    return s.tracks(t).select(
         "server_id", "user_id", F.to_date("timestamp").alias("event_date"), "timestamp", "event_id", "event", F.concat(F.lit("9."), k % 4).alias("server_version_full"),
         (F.col("event_id") % 11).cast("int").alias("score"), s.pick(k % 4, ["user", "team_admin", "system_admin"]).alias("user_role"),
     )
@@ -98,7 +98,7 @@ _TOTALS = ", ".join(f"sum(CASE WHEN user_role IS NOT NULL THEN {g}{x} ELSE 0 END
 , m AS (SELECT activity_date, server_id, {_CELLS}, {_TOTALS} FROM score_spine GROUP BY ALL)
 SELECT m.*, md5(m.server_id || '-' || m.activity_date) AS daily_server_id, md5(coalesce(server_version_full, '_dbt_utils_surrogate_key_null_')) AS version_id FROM m JOIN version_spine v ON v.server_id = m.server_id AND v.activity_date = m.activity_date""")
 def _(t):
-    return plan.nps_score_fact(mart(score_spine(t), "score-spine"), plan.nps_server_version_spined(scores(t), AS_OF, START), carry_days=10)
+    return plan.nps_score_fact(mart(score_spine(t), "score-spine"), plan.nps_server_version_spined(scores(t), AS_OF, START), ROLES, carry_days=10)
 
 
 @query("j54_nps_feedback_fact", s.with_("feedback", "scores") + """

@@ -57,6 +57,21 @@ def range_bucket_join(points: DataFrame, ranges: DataFrame, value: str, low: str
     return points.join(spread, on, how).drop("_bucket")
 
 
+def product(left: DataFrame, right: DataFrame, buckets: int = 16) -> DataFrame:
+    """All pairs of two small sides, as an equality on a bucket: each right row has one, each left row stands in all."""
+    spread = left.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return spread.join(right.withColumn("_bucket", F.pmod(F.xxhash64(*right.columns), F.lit(buckets)).cast("int")), "_bucket").drop("_bucket")
+
+
+def prefix_join(full: DataFrame, prefixes: DataFrame, text: str, prefix: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows of ``full`` whose ``text`` starts with the other side's ``prefix``, within equal keys.
+
+    Every text is repeated once per leading part, so the match is an equality and a hot key holds no pairs that do not match.
+    """
+    parts = full.withColumn("_part", F.explode(F.transform(F.sequence(F.lit(0), F.length(text)), lambda n: F.left(F.col(text), n))))
+    return parts.join(prefixes.withColumn("_part", F.col(prefix)), [*keys, "_part"]).drop("_part")
+
+
 def either_key_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_key: str,
                     left_id: str, right_id: str) -> DataFrame:
     """``l.a = r.k OR l.b = r.k`` as a union of equi joins, each pair once."""
@@ -103,22 +118,27 @@ def last_before(events: DataFrame, history: DataFrame, keys: Sequence[str], even
     return filled.select("_event.*", *[F.col(f"_last.{c}").alias(c) for c in [history_time, *carry]])
 
 
-def hierarchy_paths(edges: DataFrame, sep: str = " > ", max_depth: int = 1024) -> DataFrame:
+def hierarchy_paths(edges: DataFrame, sep: str = " > ") -> DataFrame:
     """Root, path and level of every node of ``edges(id, parent, name)`` that a root (no parent) reaches.
 
     Every round joins each open node with the node it points to and takes over that node's pointer, so
-    the known path doubles and a tree of depth d needs log2(d) joins. Rounds are written down. Nodes
-    under a missing parent drop out; a cycle or a deeper tree fails.
+    the known path doubles and a tree of depth d needs log2(d) joins. Each round writes down only the nodes
+    that were open. Nodes under a missing parent drop out. A path cannot be longer than there are nodes, so a node that
+    claims to be deeper is on a cycle or below one, and that fails.
     """
     nodes = edges.select(
         "id", F.col("parent").alias("up"), "name", F.col("id").alias("root_id"), F.col("name").alias("root_name"), F.col("name").alias("path"), F.lit(0).alias("level")
     )
-    for _ in range(max_depth.bit_length() + 1):
-        nodes = materialize(nodes, "hierarchy")
+    nodes = materialize(nodes, "hierarchy")
+    total, done = nodes.count(), nodes.where(F.col("up").isNull())
+    while True:
         pending = nodes.where(F.col("up").isNotNull())
-        if pending.isEmpty():
-            return nodes.drop("up")
-        above = nodes.select(
+        deepest = pending.agg(F.max("level")).first()[0]
+        if deepest is None:
+            return done.drop("up")
+        if deepest >= total:
+            raise ValueError("the hierarchy has a cycle")
+        above = done.unionByName(pending).select(
             F.col("id").alias("up"), F.col("up").alias("_up"), F.col("root_id").alias("_root_id"), F.col("root_name").alias("_root_name"), F.col("path").alias("_path"),
             F.col("level").alias("_level"),
         )
@@ -126,8 +146,8 @@ def hierarchy_paths(edges: DataFrame, sep: str = " > ", max_depth: int = 1024) -
             "id", F.col("_up").alias("up"), "name", F.col("_root_id").alias("root_id"), F.col("_root_name").alias("root_name"),
             F.concat("_path", F.lit(sep), "path").alias("path"), (F.col("_level") + F.col("level") + 1).alias("level"),
         )
-        nodes = nodes.where(F.col("up").isNull()).unionByName(jumped)
-    raise ValueError(f"the hierarchy has a cycle or more than {max_depth} levels")
+        nodes = materialize(jumped, "hierarchy")
+        done = done.unionByName(nodes.where(F.col("up").isNull()))
 
 
 def full_outer_chain(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:

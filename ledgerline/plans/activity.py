@@ -691,13 +691,13 @@ def invalid_id_exclusions(summary: DataFrame, length: int = 26) -> DataFrame:
     return summary.where(F.length("server_id") != length).select("server_id", F.lit("Invalid server id").alias("reason"))
 
 
-def excludable_entities(rule_outputs: Sequence[DataFrame], key: str = "server_id", prefix: str = "has_reason_") -> DataFrame:
-    """Union of rule outputs as one boolean column per reason."""
+def excludable_entities(rule_outputs: Sequence[DataFrame], reasons: Sequence[str] | None = None, key: str = "server_id", prefix: str = "has_reason_") -> DataFrame:
+    """Union of rule outputs as one boolean column per reason; ``reasons`` names them, else they are read from the data."""
     rows = None
     for part in rule_outputs:
         clean = part.where(F.col(key).isNotNull()).select(F.trim(key).alias(key), F.trim("reason").alias("reason"))
         rows = clean if rows is None else rows.unionByName(clean)
-    values = aggregate.pivot_values(rows, "reason")
+    values = list(reasons) if reasons is not None else aggregate.pivot_values(rows, "reason")
     return rows.groupBy(key).agg(*[F.bool_or(F.col("reason") == v).alias(prefix + text.slug(v)) for v in values])
 
 

@@ -547,8 +547,8 @@ def billing_entities(customers: DataFrame, subscriptions: DataFrame, addresses:
     ``deals``: charge_id, opportunity_external_id, modified_at. Existing external ids win over derived ones.
     """
     billing = windows.latest(addresses, ["customer_id"], "created_at", "postal_code").select("customer_id", "country", F.col("postal_code").alias("_postal"))
-    # The address code is a prefix of the mapping's code: equality on the country, then the prefix test.
-    hits = billing.join(places.withColumnRenamed("postal_code", "_full"), "country").where(F.startswith(F.col("_full"), F.col("_postal")))
+    # The address code is a prefix of the mapping's code.
+    hits = joins.prefix_join(places.withColumnRenamed("postal_code", "_full"), billing, "_full", "_postal", ["country"])
     states = hits.groupBy("customer_id").agg(F.min("state_code").alias("state_code"))
     domain = F.split_part("email", F.lit("@"), F.lit(2))
     x = subscriptions.join(customers, "customer_id").join(billing, "customer_id").join(states, "customer_id", "left").withColumn(

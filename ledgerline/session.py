@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +28,11 @@ def build_session(app: str = "ledgerline", master: str | None = None, **extra: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    A machine-local folder is used only by a ``local[*]`` session that names none (tests).
-    """
+    """Folder every executor can reach, as the session names it; there is no fallback to a machine's own folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    fallback = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -10,10 +10,9 @@ from ledgerline.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g")
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = build_session("tests", "local[4]", spark__sql__shuffle__partitions="4", spark__driver__memory="4g", spark__checkpoint__dir=shared)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

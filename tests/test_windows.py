@@ -119,4 +119,4 @@ def test_hierarchy_of_a_long_chain_and_its_limits(spark):
     assert got[36]["level"] == 36 and got[36]["root_id"] == 0 and got[36]["path"] == "/".join(f"n{i}" for i in range(37))
     assert got[200]["path"] == "n0/n1/n2/n3/n4/n5/side" and got[0]["level"] == 0
     with pytest.raises(ValueError):
-        joins.hierarchy_paths(spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "id int, parent int, name string"), max_depth=8)
+        joins.hierarchy_paths(spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "id int, parent int, name string"))
