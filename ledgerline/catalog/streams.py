@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import merge
 from ..session import scratch_path
 from ..streaming import jobs
 from .registry import query
@@ -20,7 +19,7 @@ def daily_files(t, copies: int = 1):
     path = scratch_path(t.spark, "landing")
     day = t.events.withColumn("day", F.to_date("ts"))
     for _ in range(copies):
-        day.repartition("day").write.mode("append").partitionBy("day").parquet(path)
+        day.write.mode("append").partitionBy("day").parquet(path)
     return path
 
 
@@ -33,7 +32,7 @@ def _(t):
 
 @query("l02_tumbling_hourly", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def _(t):
-    return jobs.drain(jobs.tumbling_counts(event_stream(t), "ts", ["event_type"], "1 hour"), "hourly", "complete")
+    return jobs.drain(jobs.tumbling_counts(event_stream(t), "ts", ["event_type"], "1 hour"), "hourly", ["window_start", "event_type"])
 
 
 @query("l03_tumbling_daily", "SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
@@ -53,7 +52,7 @@ WITH a AS (SELECT DISTINCT user_id, ts::DATE AS day FROM events)
 SELECT g + INTERVAL 1 DAY AS window_end, count(DISTINCT user_id) AS users FROM (SELECT user_id, unnest(generate_series(day::TIMESTAMP, day + INTERVAL 6 DAY, INTERVAL 1 DAY)) AS g FROM a) GROUP BY ALL""")
 def _(t):
     members = jobs.sliding_members(event_stream(t), "ts", [], "user_id", "7 days", "1 day")
-    return jobs.drain(members, "sliding", "complete").groupBy("window_end").agg(F.count("*").alias("users"))
+    return jobs.drain(members, "sliding", ["window_end", "user_id"]).groupBy("window_end").agg(F.count("*").alias("users"))
 
 
 @query("l05_keyed_upsert", """
@@ -63,17 +62,12 @@ def _(t):
     root, state = scratch_path(t.spark, "upsert"), scratch_path(t.spark, "upsert-state")
 
     def combine(batch, old):
-        newest = batch.groupBy("user_id").agg(F.max_by(F.struct("ts", "event_id", "event_type"), F.struct("ts", "event_id")).alias("top"))
-        rows = newest.select("user_id", "top.*")
-        if old is None:
-            return rows
-        fresh = rows.join(old.select("user_id", F.col("ts").alias("_old")), "user_id", "left").where(
-            F.col("_old").isNull() | (F.col("ts") > F.col("_old"))
-        ).drop("_old")
-        return merge.incremental_merge(fresh, old, ["user_id"])
-
-    jobs.upsert_batches(stream, root, combine, state).awaitTermination()
-    final = t.spark.read.parquet(jobs.latest_version(t.spark, root))
+        newest = batch.unionByName(old).groupBy("user_id", "_part").agg(F.max_by(F.struct("ts", "event_id", "event_type"), F.struct("ts", "event_id")).alias("top"))
+        return newest.select("user_id", "top.*", "_part")
+
+    rows = stream.select("user_id", "ts", "event_id", "event_type")
+    jobs.upsert_touched(rows, root, ["user_id"], state, combine, mode="append").awaitTermination()
+    final = t.spark.read.parquet(root)
     return final.select("user_id", F.col("ts").alias("last_seen"), F.col("event_type").alias("last_event"))
 
 
@@ -82,21 +76,24 @@ def _(t):
     # The stream says which days changed; those days are rebuilt from the landed rows.
     path = daily_files(t)
     stream = jobs.file_stream(t.spark, path, t.events.schema, files_per_batch=10)
-    landed = t.spark.read.schema(t.events.schema).option("recursiveFileLookup", "true").parquet(path)
     root, state = scratch_path(t.spark, "replay"), scratch_path(t.spark, "replay-state")
 
-    def rebuild(batch):
-        touched = batch.select(F.to_date("ts").alias("day")).distinct()
-        rows = landed.withColumn("day", F.to_date("ts")).join(touched, "day", "left_semi")
-        return rows.groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+    def combine(batch, old):
+        # The days are literals on the landing folder's partition column: other days' files are not opened.
+        touched = [r["day"] for r in batch.select("day").distinct().collect()]
+        landed = t.spark.read.schema(t.events.schema.add("day", "date")).parquet(path).where(F.col("day").isin(touched))
+        rows = landed.groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+        rebuilt = rows.join(batch.select("day", "_part").distinct(), "day").select("day", "n", "users", "_part")
+        return old.join(rebuilt.select("day"), "day", "left_anti").unionByName(rebuilt)
 
-    jobs.upsert_batches(stream, root, jobs.replace_partitions(["day"], rebuild), state).awaitTermination()
-    return t.spark.read.parquet(jobs.latest_version(t.spark, root))
+    days = stream.select(F.to_date("ts").alias("day"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("users"))
+    jobs.upsert_touched(days, root, ["day"], state, combine, mode="append").awaitTermination()
+    return t.spark.read.parquet(root).select("day", "n", "users")
 
 
 @query("l07_first_last_seen", "SELECT event_type, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM events GROUP BY 1")
 def _(t):
-    return jobs.drain(jobs.first_last_seen(event_stream(t), ["event_type"], "ts"), "seen", "complete")
+    return jobs.drain(jobs.first_last_seen(event_stream(t), ["event_type"], "ts"), "seen", ["event_type"])
 
 
 @query("l08_stream_static_join", "SELECT event_id, n_name FROM events LEFT JOIN nation ON user_id % 30 = n_nationkey")

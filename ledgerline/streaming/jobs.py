@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -27,20 +27,22 @@ def dedupe(events: DataFrame, key: Sequence[str], ts: str, lateness: str = "2 da
     return marked.dropDuplicatesWithinWatermark(list(key)).drop("_event_time")
 
 
-def tumbling_counts(events: DataFrame, ts: str, by: Sequence[str], width: str, lateness: str | None = None,
+def tumbling_counts(events: DataFrame, ts: str, by: Sequence[str], width: str, lateness: str = "2 days",
                     aggs: Sequence[Column] = ()) -> DataFrame:
-    marked = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness) if lateness else events
+    """Counts per window; a window's state is dropped once the watermark has passed it."""
+    marked = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
     grouped = marked.groupBy(F.window(ts, width), *by).agg(F.count("*").alias("n"), *aggs)
     return grouped.select(F.col("window.start").alias("window_start"), *by, "n", *[c for c in grouped.columns if c not in ("window", "n", *by)])
 
 
-def sliding_members(events: DataFrame, ts: str, by: Sequence[str], member: str, span: str, step: str) -> DataFrame:
+def sliding_members(events: DataFrame, ts: str, by: Sequence[str], member: str, span: str, step: str, lateness: str = "2 days") -> DataFrame:
     """Members seen per sliding window, one row per member and window.
 
     The exact distinct count is a plain count of these rows in the sink; the state holds one row per
     member and window and is dropped by the watermark.
     """
-    return events.groupBy(F.window(ts, span, step), *by, member).agg(F.count("*").alias("events")).select(
+    marked = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    return marked.groupBy(F.window(ts, span, step), *by, member).agg(F.count("*").alias("events")).select(
         F.col("window.end").alias("window_end"), *by, member, "events"
     )
 
@@ -67,6 +69,7 @@ def upsert_batches(stream: DataFrame, state_root: str, combine: Callable[[DataFr
         before = latest_version(spark, state_root, below=batch_id)
         old = None if before is None else spark.read.parquet(before)
         combine(batch, old).write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
+        drop_versions(spark, state_root, below=batch_id - 1)
 
     return (
         stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
@@ -74,32 +77,63 @@ def upsert_batches(stream: DataFrame, state_root: str, combine: Callable[[DataFr
     )
 
 
+def upsert_touched(stream: DataFrame, root: str, key: Sequence[str], checkpoint: str, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                   parts: int = 16, mode: str = "update") -> StreamingQuery:
+    """Keyed table dealt into ``parts`` partitions by the key's hash, of which a batch reads and writes only those it touches.
+
+    ``combine(rows, old)`` gives the new rows of the touched partitions; by default a row of the batch replaces the row
+    of its key. It must give the same result when a batch is repeated, as replacing does.
+    """
+
+    def replace(rows: DataFrame, old: DataFrame) -> DataFrame:
+        return old.join(rows.select(F.struct(*key).alias("_key")), F.struct(*[old[k] for k in key]) == F.col("_key"), "left_anti").unionByName(rows)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = materialize(batch.withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")), "touched")
+        touched = [r[0] for r in rows.select("_part").distinct().collect()]
+        if not touched:
+            return
+        old = spark.read.schema(rows.schema).parquet(root).where(F.col("_part").isin(touched)) if exists(spark, root) else rows.limit(0)
+        merge.write_partitions(materialize((combine or replace)(rows, old), "merged"), root, "_part")
+
+    return stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def file_system(spark: SparkSession, path: str):
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), base
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, base = file_system(spark, path)
+    return fs.exists(base)
+
+
+def drop_versions(spark: SparkSession, root: str, below: int) -> None:
+    """Remove versions before ``below``; the one a repeated batch would start from stays."""
+    fs, base = file_system(spark, root)
+    for status in fs.listStatus(base):
+        name = status.getPath().getName()
+        if name.startswith("v=") and int(name[2:]) < below:
+            fs.delete(status.getPath(), True)
+
+
 def latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
     """Newest ``v=<n>`` folder with a success marker."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, base = file_system(spark, root)
     if not fs.exists(base):
         return None
     found = []
     for status in fs.listStatus(base):
         name = status.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+        if name.startswith("v=") and exists(spark, f"{root}/{name}/_SUCCESS"):
             number = int(name[2:])
             if below is None or number < below:
                 found.append(number)
     return f"{root}/v={max(found)}" if found else None
 
 
-def merge_updates(key: Sequence[str], update: Sequence[str] | None = None):
-    """``combine`` that overwrites the listed columns of matching keys and inserts the rest."""
-
-    def combine(batch: DataFrame, old: DataFrame | None) -> DataFrame:
-        return batch if old is None else merge.incremental_merge(batch, old, key, update)
-
-    return combine
-
-
 def add_counts(key: Sequence[str], measures: Sequence[str]):
     """``combine`` that adds the batch's counts to the table's."""
 
@@ -110,34 +144,19 @@ def add_counts(key: Sequence[str], measures: Sequence[str]):
     return combine
 
 
-def replace_partitions(key: Sequence[str], rebuild: Callable[[DataFrame], DataFrame]):
-    """``combine`` that rewrites every key that occurs in the batch: late rows repair their day."""
-
-    def combine(batch: DataFrame, old: DataFrame | None) -> DataFrame:
-        new = rebuild(batch)
-        return new if old is None else merge.delete_insert(new, old, key)
-
-    return combine
-
-
-def drain(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+def drain(stream: DataFrame, label: str, key: Sequence[str] | None = None) -> DataFrame:
     """Run a stream over what is there now and return its result table.
 
-    Append streams go to parquet; complete and update streams go through versions, the newest of
-    which is the result.
+    Without ``key`` rows are appended. With ``key`` each batch's changed rows replace those of their keys, also while the
+    watermark has not passed them.
     """
     spark = stream.sparkSession
     out, checkpoint = scratch_path(spark, label), scratch_path(spark, label + "-state")
-    if mode == "append":
+    if key is None:
         stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).format(
             "parquet"
         ).option("path", out).start().awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/v={batch_id}")
-
-    stream.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(
-        write
-    ).start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(latest_version(spark, out))
+    upsert_touched(stream, out, key, checkpoint).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
