@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from ..operators import merge
 from ..plans import features as plan
+from ..session import scratch_path
+from ..sources import files
 from . import standins as s
 from .registry import mart, query
 
@@ -44,7 +46,11 @@ SELECT received_at::DATE AS received_at_date, "timestamp"::DATE AS activity_date
 
 
 def attributed(t):
-    return plan.attribute_features(feature_events(t), PLAN, AS_OF)
+    # The plan lies in a seed file, as a user keeps it; its rows are read in a fixed order.
+    path = scratch_path(t.spark, "tracking-plan")
+    columns = "nr int, event_name string, category string, event_type string, property_name string, property_value string, feature_name string"
+    t.spark.createDataFrame([(n, *r.values()) for n, r in enumerate(PLAN)], columns).write.csv(path, header=True)
+    return plan.attribute_features(feature_events(t), plan.load_rules(files.seed(t.spark, path, columns)), AS_OF)
 
 
 @query("j31_attribute_features", s.with_("attributed") + "SELECT * FROM attributed")

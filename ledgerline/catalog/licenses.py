@@ -28,7 +28,7 @@ def licence_rows(t):
     )
 
 
-s.define("cws", """
+s.define("portal", """
 SELECT license_id, issued_at, starts_at, expire_at, licensed_seats, license_name AS sku_short_name, customer_id, o_orderstatus = 'P' AS is_trial, CASE WHEN o_orderstatus = 'F' THEN 'p' || licensed_seats END AS product_id, 'Company ' || o_custkey AS company_name, 'mail' || o_custkey || '@firm.com' AS customer_email
 FROM licence_rows WHERE o_orderpriority = '1-URGENT' QUALIFY row_number() OVER (PARTITION BY license_id ORDER BY issued_at DESC, o_orderkey DESC) = 1""", "licence_rows")
 s.define("legacy_licences", """
@@ -44,7 +44,7 @@ def _newest(rows, priority):
     return windows.latest(rows.where(F.col("o_orderpriority") == priority), ["license_id"], "issued_at", "o_orderkey")
 
 
-def cws(t):
+def portal(t):
     named = lambda a, b="": F.concat(F.lit(a), "o_custkey", F.lit(b))
     return _newest(licence_rows(t), "1-URGENT").select(
         "license_id", "issued_at", "starts_at", "expire_at", "licensed_seats", F.col("license_name").alias("sku_short_name"), "customer_id",
@@ -73,11 +73,11 @@ def reports(t):
 
 s.define("per_source", """
 SELECT license_id, source, expire_at, count(*) OVER (PARTITION BY license_id, source) > 1 AS has_multiple_expiration_dates FROM (
-SELECT license_id, expire_at, 'CWS' AS source FROM cws UNION SELECT license_id, expire_at, 'Legacy' FROM legacy_licences UNION SELECT license_id, expire_at, 'Telemetry' FROM reports)""", "cws", "legacy_licences", "reports")
+SELECT license_id, expire_at, 'Portal' AS source FROM portal UNION SELECT license_id, expire_at, 'Legacy' FROM legacy_licences UNION SELECT license_id, expire_at, 'Telemetry' FROM reports)""", "portal", "legacy_licences", "reports")
 
 
 def per_source(t):
-    return plan.licenses_per_source({"CWS": cws(t), "Legacy": legacy_licences(t), "Telemetry": reports(t)})
+    return plan.licenses_per_source({"Portal": portal(t), "Legacy": legacy_licences(t), "Telemetry": reports(t)})
 
 
 @query("j58_licenses_per_source", s.with_("per_source") + "SELECT * FROM per_source")
@@ -100,14 +100,14 @@ def _(t):
 
 
 s.define("active", f"""
-SELECT l.license_id, coalesce(c.issued_at, d.issued_at) AS issued_at, coalesce(c.starts_at, d.starts_at) AS starts_at, coalesce(c.expire_at, d.expire_at) AS expire_at, coalesce(sku_short_name, d.license_names[1]) AS license_name, is_trial, company_name, customer_id AS cws_customer_id,
+SELECT l.license_id, coalesce(c.issued_at, d.issued_at) AS issued_at, coalesce(c.starts_at, d.starts_at) AS starts_at, coalesce(c.expire_at, d.expire_at) AS expire_at, coalesce(sku_short_name, d.license_names[1]) AS license_name, is_trial, company_name, customer_id AS portal_customer_id,
  product_id, coalesce(c.licensed_seats, d.licensed_seats) AS licensed_seats, CAST(date_diff('day', coalesce(c.starts_at, d.starts_at), coalesce(c.expire_at, d.expire_at)) AS INTEGER) AS duration_days,
  CAST(date_diff('month', coalesce(c.starts_at, d.starts_at), coalesce(c.expire_at, d.expire_at)) AS INTEGER) AS duration_months, sources, several AS has_multiple_expiration_dates_across_sources
-FROM (SELECT license_id, count(DISTINCT expire_at) > 1 AS several, list_sort(list(DISTINCT source)) AS sources FROM per_source GROUP BY 1 HAVING max(expire_at) >= DATE '{AS_OF}') l LEFT JOIN cws c USING (license_id) LEFT JOIN deduped d USING (license_id)""", "per_source", "deduped")
+FROM (SELECT license_id, count(DISTINCT expire_at) > 1 AS several, list_sort(list(DISTINCT source)) AS sources FROM per_source GROUP BY 1 HAVING max(expire_at) >= DATE '{AS_OF}') l LEFT JOIN portal c USING (license_id) LEFT JOIN deduped d USING (license_id)""", "per_source", "deduped")
 
 
 def active(t):
-    return plan.active_licenses(per_source(t), cws(t), deduped(t), AS_OF)
+    return plan.active_licenses(per_source(t), portal(t), deduped(t), AS_OF)
 
 
 @query("j60_active_licenses", s.with_("active") + "SELECT * REPLACE (array_to_string(sources, ',') AS sources) FROM active")
@@ -116,8 +116,8 @@ def _(t):
 
 
 @query("j60_active_production_licenses", s.with_("active") + """
-SELECT license_id, CASE WHEN product_id IS NOT NULL THEN md5(product_id) ELSE 'Unknown' END AS license_type_id, md5(coalesce(cws_customer_id, '_dbt_utils_surrogate_key_null_') || '-' || license_id) AS customer_id, issued_at, starts_at, expire_at, is_trial, licensed_seats, duration_days, duration_months,
- has_multiple_expiration_dates_across_sources FROM active WHERE list_contains(sources, 'CWS')""")
+SELECT license_id, CASE WHEN product_id IS NOT NULL THEN md5(product_id) ELSE 'Unknown' END AS license_type_id, md5(coalesce(portal_customer_id, '_dbt_utils_surrogate_key_null_') || '-' || license_id) AS customer_id, issued_at, starts_at, expire_at, is_trial, licensed_seats, duration_days, duration_months,
+ has_multiple_expiration_dates_across_sources FROM active WHERE list_contains(sources, 'Portal')""")
 def _(t):
     return plan.active_production_licenses(mart(active(t), "active"))
 
@@ -125,14 +125,14 @@ def _(t):
 s.define("known", """
 SELECT license_id, coalesce(c.company_name, l.company_name, f.account_name) AS company_name, coalesce(c.customer_email, l.contact_email) AS contact_email, coalesce(sku_short_name, CASE WHEN r.license_name IN ('E10', 'E20', 'starter', 'professional', 'enterprise') THEN r.license_name END, 'Unknown') AS sku_short_name,
  r.license_name, coalesce(c.starts_at, l.issued_at, f.starts_at, r.starts_at) AS starts_at, coalesce(c.expire_at, l.expire_at, f.expire_at, r.expire_at) AS expire_at, is_trial, coalesce(c.licensed_seats, f.licensed_seats, r.licensed_seats) AS licensed_seats,
- c.licensed_seats AS cws_licensed_seats, f.licensed_seats AS salesforce_licensed_seats, r.licensed_seats AS telemetry_licensed_seats, account_arr AS salesforce_account_arr, c.h IS NOT NULL AS in_cws, l.h IS NOT NULL AS in_legacy, f.h IS NOT NULL AS in_salesforce, r.h IS NOT NULL AS in_telemetry
-FROM (SELECT *, 1 AS h FROM cws) c FULL JOIN (SELECT *, 1 AS h FROM legacy_licences) l USING (license_id) FULL JOIN (SELECT *, 1 AS h FROM crm_licences QUALIFY row_number() OVER (PARTITION BY license_id ORDER BY created_at DESC, opportunity_id DESC) = 1) f USING (license_id)
+ c.licensed_seats AS portal_licensed_seats, f.licensed_seats AS salesforce_licensed_seats, r.licensed_seats AS telemetry_licensed_seats, account_arr AS salesforce_account_arr, c.h IS NOT NULL AS in_portal, l.h IS NOT NULL AS in_legacy, f.h IS NOT NULL AS in_salesforce, r.h IS NOT NULL AS in_telemetry
+FROM (SELECT *, 1 AS h FROM portal) c FULL JOIN (SELECT *, 1 AS h FROM legacy_licences) l USING (license_id) FULL JOIN (SELECT *, 1 AS h FROM crm_licences QUALIFY row_number() OVER (PARTITION BY license_id ORDER BY created_at DESC, opportunity_id DESC) = 1) f USING (license_id)
 FULL JOIN (SELECT license_id, min(license_name) AS license_name, min(licensed_seats) AS licensed_seats, min(starts_at) AS starts_at, min(expire_at) AS expire_at, 1 AS h FROM reports GROUP BY 1 HAVING count(DISTINCT licensed_seats) = 1 AND count(DISTINCT starts_at) = 1 AND count(DISTINCT expire_at) = 1 AND count(DISTINCT customer_id) = 1) r USING (license_id)""",
-         "cws", "legacy_licences", "crm_licences", "reports")
+         "portal", "legacy_licences", "crm_licences", "reports")
 
 
 def known(t):
-    return plan.known_licenses(cws(t), legacy_licences(t), crm_licences(t), reports(t))
+    return plan.known_licenses(portal(t), legacy_licences(t), crm_licences(t), reports(t))
 
 
 @query("j61_known_licenses", s.with_("known") + f"SELECT *, expire_at < TIMESTAMP '{AS_OF}' AS has_expired FROM known")
@@ -172,7 +172,7 @@ def _(t):
 
 @query("j62_dim_daily_license", s.with_("daily_licence", "known") + """
 SELECT daily_server_id, d.license_id, d.license_name, d.licensed_seats, d.expire_at, has_license_expired, k.is_trial, coalesce(k.company_name, 'Unknown') AS company_name, coalesce(k.contact_email, 'Unknown') AS contact_email, coalesce(k.sku_short_name, 'Unknown') AS sku_short_name,
- coalesce(in_cws, false) AS in_cws, coalesce(in_legacy, false) AS in_legacy, coalesce(in_salesforce, false) AS in_salesforce, d.expire_at = k.expire_at AS is_matching_expiration_date, d.licensed_seats = k.licensed_seats AS is_matching_license_seats FROM daily_licence d LEFT JOIN known k USING (license_id)""")
+ coalesce(in_portal, false) AS in_portal, coalesce(in_legacy, false) AS in_legacy, coalesce(in_salesforce, false) AS in_salesforce, d.expire_at = k.expire_at AS is_matching_expiration_date, d.licensed_seats = k.licensed_seats AS is_matching_license_seats FROM daily_licence d LEFT JOIN known k USING (license_id)""")
 def _(t):
     return plan.dim_daily_license(daily_licence(t), mart(known(t), "known"))
 
@@ -203,12 +203,12 @@ def _(t):
     return plan.latest_server_customer(licences, new, known(t), cloud_customers(t))
 
 
-@query("j64_self_hosted_customers", s.with_("cws", "legacy_licences", "crm_licences") + """
-SELECT DISTINCT license_id, account_name AS company_name, 'Stripe' AS source FROM crm_licences UNION SELECT license_id, company_name, 'CWS' FROM cws WHERE license_id NOT IN (SELECT license_id FROM crm_licences)
-UNION SELECT license_id, company_name, 'Legacy' FROM legacy_licences WHERE license_id NOT IN (SELECT license_id FROM crm_licences) AND license_id NOT IN (SELECT license_id FROM cws)""")
+@query("j64_self_hosted_customers", s.with_("portal", "legacy_licences", "crm_licences") + """
+SELECT DISTINCT license_id, account_name AS company_name, 'Stripe' AS source FROM crm_licences UNION SELECT license_id, company_name, 'Portal' FROM portal WHERE license_id NOT IN (SELECT license_id FROM crm_licences)
+UNION SELECT license_id, company_name, 'Legacy' FROM legacy_licences WHERE license_id NOT IN (SELECT license_id FROM crm_licences) AND license_id NOT IN (SELECT license_id FROM portal)""")
 def _(t):
     pick = lambda df, c="company_name": df.select("license_id", F.col(c).alias("company_name"))
-    return plan.by_precedence({"Stripe": pick(crm_licences(t), "account_name"), "CWS": pick(cws(t)), "Legacy": pick(legacy_licences(t))})
+    return plan.by_precedence({"Stripe": pick(crm_licences(t), "account_name"), "Portal": pick(portal(t)), "Legacy": pick(legacy_licences(t))})
 
 
 @query("j64_license_server_bridge", s.with_("daily_licence") + """

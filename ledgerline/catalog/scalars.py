@@ -511,7 +511,7 @@ def _(t):
 SELECT id, CASE WHEN event IN ('click', 'view') AND k % 6 = 0 THEN 'Desktop' WHEN event = 'signup' THEN 'Customer Portal' WHEN event = 'purchase' THEN 'Mobile' ELSE 'WebApp' END AS client FROM tracks""")
 def _(t):
     source = rules.first_match(
-        [(F.col("event").isin("click", "view"), "rudder_webapp_events"), (F.col("event") == "signup", "portal_events"), (F.col("event") == "purchase", "mobile_events")],
+        [(F.col("event").isin("click", "view"), "webapp_events"), (F.col("event") == "signup", "portal_events"), (F.col("event") == "purchase", "mobile_events")],
         "other",
     )
     return s.tracks(t).withColumn("source", source).select("id", agents.event_client("source", "context_user_agent").alias("client"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .arith import col
@@ -88,14 +90,14 @@ def os_version(c: Column | str) -> Column:
     return _first(pairs, "Unknown")
 
 
-def event_client(source: Column | str, agent: Column | str) -> Column:
-    """Client type of an event from the relation it came from and its user agent."""
-    web = F.upper(col(source)).isin("SEGMENT_WEBAPP_EVENTS", "RUDDER_WEBAPP_EVENTS")
+def event_client(source: Column | str, agent: Column | str, web_sources: Sequence[str] = ("WEBAPP_EVENTS",), mobile_sources: Sequence[str] = ("MOBILE_EVENTS",)) -> Column:
+    """Client type of an event from the relation it came from (upper-case names) and its user agent."""
+    web = F.upper(col(source)).isin(*web_sources)
     electron = F.contains(F.lower(col(agent)), F.lit("electron"))
     return (
         F.when(web & electron, "Desktop")
         .when(web & ~electron, "WebApp")
-        .when(F.upper(col(source)).isin("SEGMENT_MOBILE_EVENTS", "MOBILE_EVENTS"), "Mobile")
+        .when(F.upper(col(source)).isin(*mobile_sources), "Mobile")
         .when(F.upper(col(source)) == "PORTAL_EVENTS", "Customer Portal")
         .otherwise("WebApp")
     )

@@ -93,12 +93,3 @@ def epoch_millis(c: Column | str) -> Column:
 
 def epoch_seconds(c: Column | str) -> Column:
     return F.timestamp_seconds(col(c)).cast("timestamp_ntz")
-
-
-def days_ago(c: Column | str, n: int) -> Column:
-    return F.date_sub(col(c), n)
-
-
-def fiscal_quarter_close(c: Column | str) -> Column:
-    """Last day of the fiscal quarter (quarters end in April, July, October and January)."""
-    return F.last_day(fiscal_quarter_end(c))

@@ -22,9 +22,3 @@ def equals_all(conditions: dict[str, object]) -> Column:
         if value is not None:
             out = out & (F.col(column) == F.lit(value))
     return out
-
-
-def regex_label(text: Column | str, rules: Sequence[tuple[str, str]], otherwise: str | None = None) -> Column:
-    """Label of the first pattern found in the text, case ignored."""
-    c = F.col(text) if isinstance(text, str) else text
-    return first_match([(c.rlike(f"(?i){p}"), label) for p, label in rules], otherwise)

@@ -73,10 +73,6 @@ def query_string_field(c: Column | str, key: str) -> Column:
     return first_match(c, f"(?:^|[?&]){key}=([^&#]*)", 1)
 
 
-def url_decode_simple(c: Column | str) -> Column:
-    return F.try_url_decode(col(c))
-
-
 def clean_host(c: Column | str) -> Column:
     """Host of a referrer without scheme, ``www.`` and path."""
     bare = F.regexp_replace(col(c), "^https?://", "")

@@ -26,11 +26,6 @@ def dense_days(df: DataFrame, first: str | Column, last: str | Column, name: str
     return df.withColumn(name, F.explode(days))
 
 
-def day_spine(df: DataFrame, first: Column, last: Column, name: str = "date_day") -> DataFrame:
-    """Calendar between two dates aggregated from ``df`` (one row in, one row per day out)."""
-    return dense_days(df.agg(first.alias("_first"), last.alias("_last")), "_first", "_last", name).select(name)
-
-
 def contain_join(points: DataFrame, spans: DataFrame, day: str, start: str, end: str, how: str = "inner",
                  keys: Sequence[str] = ()) -> DataFrame:
     """Match each point's day with the spans that contain it (both ends included).

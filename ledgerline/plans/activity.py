@@ -326,8 +326,6 @@ def retention_age_band(events: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- segments
 
-SEGMENT_RANK = {"Current MAU": 1, "Reengaged MAU": 2, "First Time MAU": 3, "Newly Disengaged": 4, "Disengaged": 5}
-
 
 def mau_segments(events: DataFrame, as_of: str, categories: Sequence[str] = ()) -> DataFrame:
     """Dense user-server-day rows before ``as_of`` with event counts, trailing totals and the monthly segment.

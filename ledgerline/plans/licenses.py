@@ -41,29 +41,29 @@ def dedupe_reported_licenses(reports: DataFrame, names: Sequence[str]) -> DataFr
     )
 
 
-def active_licenses(per_source: DataFrame, cws: DataFrame, telemetry: DataFrame, as_of: str) -> DataFrame:
+def active_licenses(per_source: DataFrame, portal: DataFrame, telemetry: DataFrame, as_of: str) -> DataFrame:
     """Licences not expired in at least one source, with the portal's data before the reported data."""
     live = per_source.groupBy("license_id").agg(
         F.max("expire_at").alias("_last"), (F.min("expire_at") != F.max("expire_at")).alias("has_multiple_expiration_dates_across_sources"),
         F.array_sort(F.collect_set("source")).alias("sources"),
     ).where(F.col("_last") >= F.lit(as_of).cast("timestamp_ntz")).drop("_last")
-    c = cws.select("license_id", *[F.col(x).alias(f"_c_{x}") for x in cws.columns if x != "license_id"])
+    c = portal.select("license_id", *[F.col(x).alias(f"_c_{x}") for x in portal.columns if x != "license_id"])
     t = telemetry.select("license_id", *[F.col(x).alias(f"_t_{x}") for x in ("issued_at", "starts_at", "expire_at", "licensed_seats", "license_names")])
     both = live.join(c, "license_id", "left").join(t, "license_id", "left")
     starts, ends = F.coalesce("_c_starts_at", "_t_starts_at"), F.coalesce("_c_expire_at", "_t_expire_at")
     return both.select(
         "license_id", F.coalesce("_c_issued_at", "_t_issued_at").alias("issued_at"), starts.alias("starts_at"), ends.alias("expire_at"),
         F.coalesce("_c_sku_short_name", F.get("_t_license_names", F.lit(0))).alias("license_name"), F.col("_c_is_trial").alias("is_trial"),
-        F.col("_c_company_name").alias("company_name"), F.col("_c_customer_id").alias("cws_customer_id"), F.col("_c_product_id").alias("product_id"),
+        F.col("_c_company_name").alias("company_name"), F.col("_c_customer_id").alias("portal_customer_id"), F.col("_c_product_id").alias("product_id"),
         F.coalesce("_c_licensed_seats", "_t_licensed_seats").alias("licensed_seats"), F.datediff(ends, starts).alias("duration_days"),
         dates.months_crossed(starts, ends).alias("duration_months"), "sources", "has_multiple_expiration_dates_across_sources",
     )
 
 
-def active_production_licenses(active: DataFrame, source: str = "CWS") -> DataFrame:
+def active_production_licenses(active: DataFrame, source: str = "Portal") -> DataFrame:
     kind = F.when(F.col("product_id").isNotNull(), text.surrogate_key("product_id")).otherwise("Unknown")
     return active.where(F.array_contains("sources", source)).select(
-        "license_id", kind.alias("license_type_id"), text.surrogate_key("cws_customer_id", "license_id").alias("customer_id"), "issued_at", "starts_at", "expire_at",
+        "license_id", kind.alias("license_type_id"), text.surrogate_key("portal_customer_id", "license_id").alias("customer_id"), "issued_at", "starts_at", "expire_at",
         "is_trial", "licensed_seats", "duration_days", "duration_months", "has_multiple_expiration_dates_across_sources",
     )
 
@@ -72,7 +72,7 @@ def active_production_licenses(active: DataFrame, source: str = "CWS") -> DataFr
 SKUS = ["E10", "E20", "starter", "professional", "enterprise"]
 
 
-def known_licenses(cws: DataFrame, legacy: DataFrame, crm: DataFrame, reports: DataFrame) -> DataFrame:
+def known_licenses(portal: DataFrame, legacy: DataFrame, crm: DataFrame, reports: DataFrame) -> DataFrame:
     """All licences of four sources with the preferred value of each field and where it was found.
 
     ``crm`` keeps the newest deal per licence; licences reported with differing data are left out.
@@ -86,23 +86,23 @@ def known_licenses(cws: DataFrame, legacy: DataFrame, crm: DataFrame, reports: D
         return df.select("license_id", *[F.col(c).alias(f"_{tag}_{c}") for c in columns], F.lit(True).alias(f"in_{tag}"))
 
     frames = [
-        tagged(cws, "cws", ["company_name", "customer_email", "sku_short_name", "starts_at", "expire_at", "is_trial", "licensed_seats"]),
+        tagged(portal, "portal", ["company_name", "customer_email", "sku_short_name", "starts_at", "expire_at", "is_trial", "licensed_seats"]),
         tagged(legacy.distinct(), "legacy", ["company_name", "contact_email", "issued_at", "expire_at"]),
         tagged(sf, "salesforce", ["account_name", "starts_at", "expire_at", "licensed_seats", "account_arr"]),
         tagged(t, "telemetry", ["license_name", "starts_at", "expire_at", "licensed_seats"]),
     ]
     x = joins.full_outer_chain(frames, ["license_id"])
-    seats = {n: F.col(f"_{n}_licensed_seats").alias(f"{n}_licensed_seats") for n in ("cws", "salesforce", "telemetry")}
+    seats = {n: F.col(f"_{n}_licensed_seats").alias(f"{n}_licensed_seats") for n in ("portal", "salesforce", "telemetry")}
     return x.select(
-        "license_id", F.coalesce("_cws_company_name", "_legacy_company_name", "_salesforce_account_name").alias("company_name"),
-        F.coalesce("_cws_customer_email", "_legacy_contact_email").alias("contact_email"),
-        F.coalesce("_cws_sku_short_name", F.when(F.col("_telemetry_license_name").isin(SKUS), F.col("_telemetry_license_name")), F.lit("Unknown")).alias("sku_short_name"),
+        "license_id", F.coalesce("_portal_company_name", "_legacy_company_name", "_salesforce_account_name").alias("company_name"),
+        F.coalesce("_portal_customer_email", "_legacy_contact_email").alias("contact_email"),
+        F.coalesce("_portal_sku_short_name", F.when(F.col("_telemetry_license_name").isin(SKUS), F.col("_telemetry_license_name")), F.lit("Unknown")).alias("sku_short_name"),
         F.col("_telemetry_license_name").alias("license_name"),
-        F.coalesce("_cws_starts_at", "_legacy_issued_at", "_salesforce_starts_at", "_telemetry_starts_at").alias("starts_at"),
-        F.coalesce("_cws_expire_at", "_legacy_expire_at", "_salesforce_expire_at", "_telemetry_expire_at").alias("expire_at"),
-        F.col("_cws_is_trial").alias("is_trial"), F.coalesce("_cws_licensed_seats", "_salesforce_licensed_seats", "_telemetry_licensed_seats").alias("licensed_seats"),
+        F.coalesce("_portal_starts_at", "_legacy_issued_at", "_salesforce_starts_at", "_telemetry_starts_at").alias("starts_at"),
+        F.coalesce("_portal_expire_at", "_legacy_expire_at", "_salesforce_expire_at", "_telemetry_expire_at").alias("expire_at"),
+        F.col("_portal_is_trial").alias("is_trial"), F.coalesce("_portal_licensed_seats", "_salesforce_licensed_seats", "_telemetry_licensed_seats").alias("licensed_seats"),
         *seats.values(), F.col("_salesforce_account_arr").alias("salesforce_account_arr"),
-        *[F.coalesce(f"in_{n}", F.lit(False)).alias(f"in_{n}") for n in ("cws", "legacy", "salesforce", "telemetry")],
+        *[F.coalesce(f"in_{n}", F.lit(False)).alias(f"in_{n}") for n in ("portal", "legacy", "salesforce", "telemetry")],
     )
 
 
@@ -121,13 +121,13 @@ def daily_license(current: DataFrame, legacy: DataFrame) -> DataFrame:
 
 def dim_daily_license(daily: DataFrame, known: DataFrame) -> DataFrame:
     k = known.select(
-        "license_id", "is_trial", "company_name", "contact_email", "sku_short_name", "in_cws", "in_legacy", "in_salesforce", F.col("expire_at").alias("_e"),
+        "license_id", "is_trial", "company_name", "contact_email", "sku_short_name", "in_portal", "in_legacy", "in_salesforce", F.col("expire_at").alias("_e"),
         F.col("licensed_seats").alias("_s"),
     )
     unknown = lambda c: F.coalesce(c, F.lit("Unknown")).alias(c)
     return daily.join(k, "license_id", "left").select(
         "daily_server_id", "license_id", "license_name", "licensed_seats", "expire_at", "has_license_expired", "is_trial",
-        *[unknown(c) for c in ("company_name", "contact_email", "sku_short_name")], *[F.coalesce(c, F.lit(False)).alias(c) for c in ("in_cws", "in_legacy", "in_salesforce")],
+        *[unknown(c) for c in ("company_name", "contact_email", "sku_short_name")], *[F.coalesce(c, F.lit(False)).alias(c) for c in ("in_portal", "in_legacy", "in_salesforce")],
         (F.col("expire_at") == F.col("_e")).alias("is_matching_expiration_date"), (F.col("licensed_seats") == F.col("_s")).alias("is_matching_license_seats"),
     )
 
