@@ -135,6 +135,20 @@ def chunked_scan(
     return joined.select(*columns)
 
 
+def max_from_here(df: DataFrame, keys: Sequence[str], chunk: Column, order: str, value: str, name: str) -> DataFrame:
+    """Largest value from the row to the end of its key, scanned in chunks of the order: a hot key is no single task.
+
+    ``chunk`` must grow with ``order``. Each chunk hands its maximum to the chunks before it.
+    """
+    df = df.withColumn("_chunk", chunk)
+    here = F.max(value).over(Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(0, Window.unboundedFollowing))
+    after = F.max("_max").over(Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(1, Window.unboundedFollowing))
+    chunks = df.groupBy(*keys, "_chunk").agg(F.max(value).alias("_max")).select(*[F.col(k).alias(f"_k_{k}") for k in [*keys, "_chunk"]], after.alias("_after"))
+    out = df.withColumn(name, here)
+    joined = out.join(chunks, [out[k].eqNullSafe(chunks[f"_k_{k}"]) for k in [*keys, "_chunk"]], "left")
+    return joined.withColumn(name, F.greatest(name, "_after")).drop("_after", "_chunk", *[f"_k_{k}" for k in [*keys, "_chunk"]])
+
+
 def running_total_overall(df: DataFrame, order: str, value: Column, name: str, block: Column) -> DataFrame:
     """Running total over a whole table that is already one row per ``order`` value.
 

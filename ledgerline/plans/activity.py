@@ -417,11 +417,12 @@ def user_events_by_date(current: DataFrame, legacy: DataFrame, as_of: str, agent
     })
     # A NULL key would gather all its rows in one window task, so only complete keys are scanned.
     later = lambda *keys: Window.partitionBy(*keys).orderBy("min_timestamp").rowsBetween(0, Window.unboundedFollowing)
+    hour = F.date_trunc("hour", "min_timestamp")
     known_user = daily.where(F.col("user_id").isNotNull()).withColumn("server_id", F.coalesce("server_id", F.max("server_id").over(later("date", "user_id"))))
     no_user = daily.where(F.col("user_id").isNull())
     donors = daily.where(F.col("user_id").isNotNull()).groupBy("date", "server_id", agent, "min_timestamp").agg(F.max("user_id").alias("donor"))
     line = no_user.select("*", F.lit(None).cast("string").alias("donor")).unionByName(donors, allowMissingColumns=True)
-    filled = line.withColumn("_fill", F.max("donor").over(later("date", "server_id", agent))).where(F.col("event_name").isNotNull()).withColumn(
+    filled = windows.max_from_here(line, ["date", "server_id", agent], hour, "min_timestamp", "donor", "_fill").where(F.col("event_name").isNotNull()).withColumn(
         "user_id", F.col("_fill")
     ).drop("_fill", "donor")
     return known_user.unionByName(filled).withColumn("id", text.surrogate_key(

@@ -266,10 +266,10 @@ def license_daily_details(days: DataFrame, usage: DataFrame, as_of: str) -> Data
     )
     by = F.when(F.col("license_users").isNotNull(), F.col("expire_date")).otherwise(F.col("start_date"))
     order = [c.desc_nulls_last() for c in (by, F.col("license_users"), F.to_date("timestamp"), F.col("edition"))] + [F.asc("license_id"), F.asc("customer_id")]
-    # One day of one company: its rows are the licences of the company.
-    return out.withColumns({
-        "customer_rank": F.row_number().over(windows.window(["date", "company", "trial"], *order)), "id": text.surrogate_key("date", "license_id", "customer_id", old=True),
-    })
+    # Rows without a company meet under one key, so ranks are taken in chunks of the first ordering value.
+    chunk = F.coalesce(-F.unix_date(by), F.lit(1 << 30))
+    ranked = windows.chunked_scan(out, ["date", "company", "trial"], chunk, order, row_number="customer_rank")
+    return ranked.withColumns({"customer_rank": F.col("customer_rank").cast("int"), "id": text.surrogate_key("date", "license_id", "customer_id", old=True)})
 
 
 IDENTITY = ["account_id", "account_name", "company"]

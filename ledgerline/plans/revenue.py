@@ -266,9 +266,9 @@ def arr_reporting(transactions: DataFrame, as_of: str) -> DataFrame:
     a = a.withColumn("ref_arr", F.greatest("acct_beg_arr", "acct_end_arr"))
     latest = F.last("ref_arr").over(by_account.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     a = materialize(a.withColumns({"latest_arr": latest, "trans_no": F.row_number().over(by_account)}).drop("_lag"), "arr-months")
-    # Totals over all accounts run month by month; only one row per month is scanned alone.
+    # Totals over all accounts run day by day; only one row per day is scanned alone.
     out = windows.chunked_scan(
-        a.withColumn("_all", F.lit(1)), ["_all"], F.col("report_mo"), ["report_mo", "report_day", "account_id"],
+        a.withColumn("_all", F.lit(1)), ["_all"], F.struct("report_mo", "report_day"), ["report_mo", "report_day", "account_id"],
         sums={"total_end_arr": F.col("arr_delta"), "active_customers": F.col("cnt_changed")},
     ).drop("_all")
     return out.withColumns({
