@@ -24,11 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
+from .common import small_batches
 from .components import connected_components
 
 LEAST_COSINE = 0.9
-#: Vectors of the sample that centres are fitted on, classes per cell aimed at, and most cells.
-SAMPLE_ROWS, CELL_ROWS, MOST_CELLS = 20_000, 2_000, 4_096
+#: Vectors of the sample that centres are fitted on (fewer if they are long: so many numbers in all), classes per cell aimed at, and most cells.
+SAMPLE_ROWS, SAMPLE_NUMBERS, CELL_ROWS, MOST_CELLS = 20_000, 4_000_000, 2_000, 4_096
+#: Rows that are held against all centres at once.
+STEP = 500
 ROUNDS = 10
 REACH = 4.0
 #: Rows of one block; a task holds two blocks and their products.
@@ -39,7 +42,7 @@ def fit_centres(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     """Unit centres by spherical k-means from evenly spaced rows; an emptied centre keeps its place."""
     centres = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
     for _ in range(rounds):
-        near = np.argmax(x @ centres.T, axis=1)
+        near = np.concatenate([np.argmax(x[at : at + STEP] @ centres.T, axis=1) for at in range(0, len(x), STEP)])
         sums = np.zeros_like(centres)
         np.add.at(sums, near, x)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -56,10 +59,10 @@ def visits(x: np.ndarray, centres: np.ndarray, least: float, reach: float) -> tu
     """Home cell of each row, and all cells it is shown in."""
     near = x @ centres.T
     home = near.argmax(axis=1)
-    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+    apart = np.sqrt(np.maximum(2 - 2 * centres[home] @ centres.T, 0))
     step = math.sqrt(1 - least**2) / least * min(1.0, reach / math.sqrt(max(x.shape[1] - 1, 1)))
     gap = near[np.arange(len(x)), home][:, None] - near
-    shown = gap <= step * apart[home] + 1e-9
+    shown = gap <= step * apart + 1e-9
     shown[np.arange(len(x)), home] = True
     return home, [np.flatnonzero(s) for s in shown]
 
@@ -95,6 +98,7 @@ def block_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
 
 def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, reach: float = REACH) -> DataFrame:
     """Per row: id, ``n_links`` (other vectors linked directly), ``component_id`` and ``kept``."""
+    small_batches(vectors.sparkSession, STEP)
     v = F.transform(F.col("v"), lambda x: x.cast("double") + F.lit(0.0))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(vectors[id_col].alias("id"), vectors[vector_col].alias("v")).withColumn("v", v)
@@ -106,7 +110,7 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found, links = None, None
     for dim, n in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().collect()):
         same = classes.where(F.col("dim") == dim)
-        counts, pairs = links_of_length(same, n, least, reach)
+        counts, pairs = links_of_length(same, n, dim, least, reach)
         found = counts if found is None else found.unionByName(counts)
         links = pairs if links is None else links.unionByName(pairs)
     if found is None:
@@ -121,10 +125,10 @@ def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def links_of_length(classes: DataFrame, n: int, least: float, reach: float) -> tuple[DataFrame, DataFrame]:
+def links_of_length(classes: DataFrame, n: int, dim: int, least: float, reach: float) -> tuple[DataFrame, DataFrame]:
     """``cid, others`` (weights of linked classes, to be summed) and links ``a, b`` among ``classes(cid, n, v)``."""
     spark = classes.sparkSession
-    sample = classes.select("v", F.xxhash64("key").alias("h"), "key").orderBy("h", "key").limit(SAMPLE_ROWS).select("v").collect()
+    sample = classes.select("v", F.xxhash64("key").alias("h"), "key").orderBy("h", "key").limit(max(1, min(SAMPLE_ROWS, SAMPLE_NUMBERS // dim))).select("v").collect()
     k = max(1, min(MOST_CELLS, n // CELL_ROWS, len(sample)))
     centres = spark.sparkContext.broadcast(fit_centres(unit(pd.Series([r["v"] for r in sample])), k))
 
