@@ -120,3 +120,26 @@ def test_hierarchy_of_a_long_chain_and_its_limits(spark):
     assert got[200]["path"] == "n0/n1/n2/n3/n4/n5/side" and got[0]["level"] == 0
     with pytest.raises(ValueError):
         joins.hierarchy_paths(spark.createDataFrame([(1, 2, "a"), (2, 1, "b")], "id int, parent int, name string"))
+
+
+def test_product_and_prefix_join(spark):
+    left = spark.createDataFrame([(i,) for i in range(7)], "a int")
+    right = spark.createDataFrame([("x",), ("y",), (None,)], "b string")
+    assert sorted(map(str, joins.product(left, right).collect())) == sorted(map(str, left.crossJoin(right).collect()))
+    full = spark.createDataFrame([("k", "12-34"), ("k", "9"), ("j", "12-34"), ("k", None)], "key string, full string")
+    some = spark.createDataFrame([("k", "12"), ("k", ""), ("k", "12-34"), ("k", "123"), ("j", None)], "key string, part string")
+    got = sorted((r["key"], r["full"], r["part"]) for r in joins.prefix_join(full, some, "full", "part", ["key"]).collect())
+    assert got == [("k", "12-34", ""), ("k", "12-34", "12"), ("k", "12-34", "12-34"), ("k", "9", "")]
+
+
+def test_max_from_here_in_chunks(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import windows
+
+    rows = [("a" if i % 3 else None, i, (i * 7) % 11 if i % 4 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, at int, v int")
+    got = {(r["g"], r["at"]): r["m"] for r in windows.max_from_here(df, ["g"], F.floor(F.col("at") / 5), "at", "v", "m").collect()}
+    for g, at, _ in rows:
+        later = [v for h, t, v in rows if h == g and t >= at and v is not None]
+        assert got[g, at] == (max(later) if later else None)
