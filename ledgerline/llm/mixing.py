@@ -8,6 +8,7 @@ of a seeded order. That front is found on sums per hash bin, so only one bin of
 is still missing (less than one document) is filled by the documents that come nearest to it.
 
 The driver holds one row per membership pattern; it grows with the number of source combinations, not with the documents.
+Only tables made from these rows are broadcast, so no text is shuffled by its source.
 
 Defined results: NULL text has size 0; a NULL source is a source of its own, last in order; rows that agree
 in id, size and sources are drawn together; empty tables give an empty plan.
@@ -141,7 +142,7 @@ def mixing_plan(items: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
 def seeded_front(spark: SparkSession, items: DataFrame, rest: dict[str, int]) -> dict[str, tuple[int | None, list[int]]]:
     """Per pattern the last order key of the front whose words stay within ``rest``, and the keys that fill the gap."""
     wanted = spark.createDataFrame([(p, n) for p, n in rest.items() if n], "pattern string, rest long")
-    units = items.join(wanted, "pattern").groupBy("pattern", "rest", "h").agg(F.sum("size").alias("size"))
+    units = items.groupBy("pattern", "h").agg(F.sum("size").alias("size")).join(F.broadcast(wanted), "pattern")
     units = materialize(units.withColumn("bin", F.expr(f"shiftright(h, {64 - BIN_BITS})")), "mixing-units")
     per_bin = units.groupBy("pattern", "rest", "bin").agg(F.sum("size").alias("size"))
     upto = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
@@ -157,7 +158,7 @@ def seeded_front(spark: SparkSession, items: DataFrame, rest: dict[str, int]) ->
         short = [(p, n, *found[p]) for p, n in gap.items() if n > 0]
         if not short:
             break
-        open_ = units.join(spark.createDataFrame(short, "pattern string, gap long, cut long, fill array<long>"), "pattern")
+        open_ = units.join(F.broadcast(spark.createDataFrame(short, "pattern string, gap long, cut long, fill array<long>")), "pattern")
         open_ = open_.where((F.col("size") > 0) & (F.col("cut").isNull() | (F.col("h") > F.col("cut"))) & ~F.array_contains("fill", F.col("h")))
         fits = F.col("size") <= F.col("gap") if left else F.col("size") < 2 * F.col("gap")  # the last one may be too long if that comes nearer
         nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h", "size"))
@@ -170,7 +171,7 @@ def seeded_front(spark: SparkSession, items: DataFrame, rest: dict[str, int]) ->
 def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Column ``copies`` for ``rows(pattern, h, …)``: how often the mix takes each row."""
     again = (F.col("cut").isNotNull() & (F.col("h") <= F.col("cut"))) | F.array_contains("fill", F.col("h"))
-    return rows.join(plan, "pattern").withColumn("copies", F.col("base") + F.when(again, 1).otherwise(0)).drop("base", "cut", "fill")
+    return rows.join(F.broadcast(plan), "pattern").withColumn("copies", F.col("base") + F.when(again, 1).otherwise(0)).drop("base", "cut", "fill")
 
 
 def mixing_items(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
@@ -186,7 +187,7 @@ def mix_documents(docs: DataFrame, source_col: str = "source", id_col: str = "do
     items = materialize(items.select(F.col("_id").alias("id"), F.col("_source").alias("source"), F.col("_size").alias("size"), F.col("_pattern").alias("pattern"), F.col("_h").alias("h")), "mixing-items")
     plan, shares, _ = mixing_plan(items, weights)
     drawn = with_copies(items, plan)
-    shares = shares.withColumnRenamed("source", "_s")
+    shares = F.broadcast(shares.withColumnRenamed("source", "_s"))
     return drawn.join(shares, drawn["source"].eqNullSafe(shares["_s"])).select(
         F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
@@ -199,5 +200,5 @@ def mixed_rows(docs: DataFrame, source_col: str = "source", id_col: str = "doc_i
     plan, _, _ = mixing_plan(items, weights)
     plan = plan.select(F.col("pattern").alias("_pattern"), *[F.col(c).alias(f"_{c}") for c in ("base", "cut", "fill")])
     again = (F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))) | F.array_contains("_fill", F.col("_h"))
-    drawn = sized.join(plan, "_pattern").withColumn("_copies", F.col("_base") + F.when(again, 1).otherwise(0))
+    drawn = sized.join(F.broadcast(plan), "_pattern").withColumn("_copies", F.col("_base") + F.when(again, 1).otherwise(0))
     return drawn.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)
