@@ -4,13 +4,17 @@ Patterns give spans of kind ``assign``, ``access`` and ``hex``. Besides, every r
 the base64 family is a candidate of kind ``random``. Its encoding is the smallest alphabet that holds all its
 characters, and its symbols face three tests against an even, independent draw from that alphabet:
 
-* chi-squared uniformity. Its statistic counts equal pairs of symbols, and that count is also held against what ordinary
-  text of the same length would give, so the same evenness is strong evidence in a long string and weak
-  evidence in a short one;
+* chi-squared uniformity, which counts equal pairs of symbols;
 * runs above and below the middle of the alphabet, and
-* serial correlation of neighbouring symbols: both must look like chance, which sequences and repeats do not.
+* serial correlation of neighbouring symbols: all three must look like chance, which words, sequences and repeats do not.
 
-The chance that ordinary text looks this even is turned into an adjusted value per encoding and length class (Benjamini and
+The candidate is also held against ordinary text written in the same alphabet: a chain in which a symbol depends on the one
+before it (letters and digits seldom alternate, letters have the frequencies of written text, digits repeat, count up and are
+small). The likelihood of that text divided by the likelihood of an even draw bounds the chance that ordinary text looks this
+even (Markov's inequality), whatever the length and the alphabet. Each symbol adds evidence, so a short string and a narrow
+alphabet give less: decimal strings least, as nothing but the digits' order tells them from ordinary numbers.
+
+That chance is turned into an adjusted value per encoding and length class (Benjamini and
 Hochberg, on a histogram of log chances, so nothing but counts is gathered), and candidates at or under
 the accepted false-discovery rate become spans.
 
@@ -49,9 +53,15 @@ MIN_TOKEN = 20
 FALSE_DISCOVERIES = 0.01
 #: Largest deviation, in standard errors, at which runs and serial correlation still look like chance.
 CHANCE_Z = 3.0
-# Chance that two (three) letters of written text are equal.
-COINCIDENCE, TRIPLE_COINCIDENCE = 0.066, 0.0053
+# Fixed values of ordinary text: how often a kind of symbol follows another (lower case, upper case, digit, separator), letters of
+# written text a to z in parts of 1,000, digits 0 to 9 of written numbers, and shares of a digit that repeats the last or counts up from it.
+FOLLOWS = {"a": {"a": 0.90, "A": 0.04, "0": 0.02, "-": 0.04}, "A": {"a": 0.35, "A": 0.55, "0": 0.05, "-": 0.05}, "0": {"a": 0.06, "A": 0.06, "0": 0.78, "-": 0.10}, "-": {"a": 0.60, "A": 0.20, "0": 0.17, "-": 0.03}}
+LETTERS = [80, 15, 30, 45, 140, 13, 18, 30, 75, 3, 6, 42, 26, 82, 65, 23, 4, 68, 70, 72, 35, 11, 12, 3, 14, 6]
+DIGITS = [0.18, 0.16, 0.13, 0.10, 0.09, 0.08, 0.07, 0.07, 0.06, 0.06]
+REPEATED, COUNTED = 0.30, 0.25
 NEVER_CHANCE = 99.0
+#: Least chance, in powers of ten, that is told apart.
+LEAST_CHANCE = -300.0
 SPANS = "array<struct<kind:int,start:int,stop:int,value:string>>"
 
 
@@ -100,11 +110,28 @@ def occurrences(text: Column, part: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, part, F.lit("")))) / F.length(part)
 
 
-def lower_tail(z: Column) -> Column:
-    """Chance that a standard normal value is at most ``z`` (relative error of a few per cent, also far out)."""
-    x = F.abs(z)
-    q = F.lit(math.sqrt(2 / math.pi)) * F.exp(-x * x / 2) / (x + F.sqrt(x * x + 8 / math.pi))
-    return F.when(z <= 0, q).otherwise(1 - q)
+def ordinary(before: str, symbol: str) -> float:
+    """Weight of ``symbol`` after ``before`` in ordinary text."""
+    kinds = ["0" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "-" for c in (before, symbol)]
+    follows = FOLLOWS[kinds[0]][kinds[1]]
+    if kinds[1] in "aA":
+        return follows * LETTERS[ord(symbol.lower()) - ord("a")] / sum(LETTERS)
+    if kinds[1] == "-":
+        return follows / 4  # + / - _
+    if kinds[0] != "0":
+        return follows * DIGITS[int(symbol)]
+    step = (int(symbol) - int(before)) % 10
+    return follows * ((1 - REPEATED - COUNTED) * DIGITS[int(symbol)] + REPEATED * (step == 0) + COUNTED * (step == 1))
+
+
+def text_ratios() -> list[float]:
+    """Log10 of ordinary text's chance of a symbol after another over an even draw's: encoding after encoding, row after row."""
+    out = []
+    for symbols in ENCODINGS.values():
+        for before in symbols:
+            row = [ordinary(before, s) for s in symbols]
+            out += [math.log10(x * len(symbols) / sum(row)) for x in row]
+    return out
 
 
 def battery(tokens: DataFrame) -> DataFrame:
@@ -113,7 +140,13 @@ def battery(tokens: DataFrame) -> DataFrame:
     out = tokens.withColumns({"_abc": pick(F.col("enc"), names), "k": pick(F.col("enc"), [float(len(s)) for s in names]), "n": F.length("value").cast("double")})
     squares = F.aggregate(F.split("_abc", ""), F.lit(0.0), lambda acc, c: acc + F.pow(occurrences(F.col("value"), c), F.lit(2.0)))
     out = out.withColumn("_pairs", (squares - F.col("n")) / 2)
-    out = out.withColumn("_x", F.transform(F.split("value", ""), lambda c: F.instr(F.col("_abc"), c) - 0.5 - F.col("k") / 2))
+    out = out.withColumn("_at", F.transform(F.split("value", ""), lambda c: F.instr(F.col("_abc"), c)))
+    sizes = [len(s) for s in names]
+    first = pick(F.col("enc"), [sum(k * k for k in sizes[:i]) for i in range(len(sizes))])
+    ratios = F.split(F.lit(",".join(f"{x:.4f}" for x in text_ratios())), ",").cast("array<double>")
+    of_pairs = F.zip_with(F.slice("_at", 1, F.size("_at") - 1), F.slice("_at", 2, F.size("_at") - 1), lambda a, b: F.element_at(ratios, (first + (a - 1) * pick(F.col("enc"), sizes) + b).cast("int")))
+    out = out.withColumn("_text", F.aggregate(of_pairs, F.lit(0.0), lambda acc, x: acc + x))
+    out = out.withColumn("_x", F.transform("_at", lambda a: a - 0.5 - F.col("k") / 2))
     out = out.withColumn("_mean", F.aggregate("_x", F.lit(0.0), lambda acc, x: acc + x) / F.col("n"))
     out = out.withColumn("_side", F.array_join(F.transform("_x", lambda x: F.when(x > 0, "1").otherwise("0")), ""))
     out = out.withColumns({
@@ -127,14 +160,12 @@ def battery(tokens: DataFrame) -> DataFrame:
         "_lag": F.aggregate(F.zip_with(F.slice("_x", 1, F.size("_x") - 1), F.slice("_x", 2, F.size("_x") - 1), lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x),
     })
     out = out.withColumn("_spread", F.sqrt((F.col("_expected") - 1) * F.greatest(F.col("_expected") - 2, F.lit(0.0)) / (F.col("n") - 1)))
-    plain = F.col("n") * (F.col("n") - 1) / 2
-    mean, spread = plain * COINCIDENCE, F.sqrt(plain * COINCIDENCE * (1 - COINCIDENCE) + 2 * plain * (F.col("n") - 2) * (TRIPLE_COINCIDENCE - COINCIDENCE**2))
     return out.select(
         *tokens.columns,
         ((2 * F.col("k") * F.col("_pairs") / F.col("n") + F.col("k") - F.col("n") - (F.col("k") - 1)) / F.sqrt(2 * (F.col("k") - 1))).alias("chi2_z"),
         F.when(F.col("_spread") > 0, (F.col("_runs") - F.col("_expected")) / F.col("_spread")).otherwise(NEVER_CHANCE).alias("runs_z"),
         F.when(F.col("_power") > 0, (F.col("_lag") / F.col("_power") + 1 / F.col("n")) * F.sqrt("n")).otherwise(NEVER_CHANCE).alias("serial_z"),
-        lower_tail((F.col("_pairs") - mean) / spread).alias("chance"),
+        F.pow(F.lit(10.0), F.greatest(F.least(F.col("_text"), F.lit(0.0)), F.lit(LEAST_CHANCE))).alias("chance"),
     )
 
 
