@@ -1,7 +1,9 @@
 """Secret scan: fixed patterns, and a randomness test battery for strings that no pattern names.
 
 Patterns give spans of kind ``assign``, ``access`` and ``hex``. Besides, every run of at least ``MIN_TOKEN`` characters of
-the base64 family is a candidate of kind ``random``. Its encoding is the smallest alphabet that holds all its
+the base64 family is a candidate of kind ``random``, and so is every part of that length between its separators: between - and _
+(base64), between / and + (base64url) and between all four, so a key is also tested without the path, prefix or words that
+are glued to it. A run that mixes both pairs of separators has no encoding as a whole and is tested by its parts. The encoding is the smallest alphabet that holds all its
 characters, and its symbols face three tests against an even, independent draw from that alphabet:
 
 * chi-squared uniformity, which counts equal pairs of symbols;
@@ -16,7 +18,7 @@ alphabet give less: decimal strings least, as nothing but the digits' order tell
 
 That chance is turned into an adjusted value per encoding and length class (Benjamini and
 Hochberg, on a histogram of log chances, so nothing but counts is gathered), and candidates at or under
-the accepted false-discovery rate become spans.
+the accepted false-discovery rate become spans; of accepted candidates of which one holds the other only the outer one does.
 
 Only DataFrame functions are used. Positions are code points, ends exclusive. Defined results: NULL counts as the empty
 text and has no spans; repeated rows give repeated rows; columns other than id and text are not read; an empty
@@ -91,9 +93,28 @@ def base_spans(text: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
+    """Runs of the base64 family."""
     return matches(text, rf"[A-Za-z0-9+/_-]{{{MIN_TOKEN},}}", 3)
 
 
+def with_parts(run: Column) -> Column:
+    """A run and its parts between separators, at their positions in the text."""
+
+    def parts(symbols: str) -> Column:
+        found = matches(run["value"], rf"[{symbols}]{{{MIN_TOKEN},}}", 3)
+        return F.transform(found, lambda s: F.struct(s["kind"].alias("kind"), (run["start"] + s["start"]).alias("start"), (run["start"] + s["stop"]).alias("stop"), s["value"].alias("value")))
+
+    whole = F.array(run)
+    split = F.concat(whole, parts("A-Za-z0-9+/"), parts("A-Za-z0-9_-"), parts("A-Za-z0-9"))
+    return F.when(run["value"].rlike("[+/_-]"), F.array_distinct(split)).otherwise(whole)
+
+
+def outermost(spans: DataFrame) -> DataFrame:
+    """``spans(_row, start, stop, …)`` without those that lie inside another of their row; no two are equal."""
+    before = Window.partitionBy("_row").orderBy("start", F.desc("stop")).rowsBetween(Window.unboundedPreceding, -1)
+    return spans.withColumn("_reach", F.max("stop").over(before)).where("_reach is null or stop > _reach").drop("_reach")
+
+
 def encoding(token: Column) -> Column:
     """Number of the narrowest alphabet with all characters of the token; NULL if none has."""
     out = F.lit(None).cast("int")
@@ -189,9 +210,9 @@ def close_scan(searched: DataFrame) -> DataFrame:
     The rows are written down with a number each, so texts are searched once; only the spans' own values travel.
     """
     found = materialize(searched.withColumn("_row", F.monotonically_increasing_id()), "secret-spans")
-    tokens = found.select("_row", F.explode("_more").alias("s")).select("_row", "s.*").withColumn("enc", encoding(F.col("value"))).where("enc is not null")
+    tokens = found.select("_row", F.explode("_more").alias("run")).select("_row", F.explode(with_parts(F.col("run"))).alias("s")).select("_row", "s.*").withColumn("enc", encoding(F.col("value"))).where("enc is not null")
     tested = materialize(battery(tokens), "secret-tests")
-    random = discoveries(tested).groupBy("_row").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("_random"))
+    random = outermost(discoveries(tested)).groupBy("_row").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("_random"))
     plain = F.transform("_base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop")))
     both = F.array_sort(F.concat(plain, F.coalesce("_random", F.array().cast("array<struct<start:int,kind:int,stop:int>>"))))
     return found.join(random, "_row", "left").withColumn("_spans", both).drop("_row", "_base", "_more", "_random")

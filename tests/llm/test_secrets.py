@@ -88,3 +88,26 @@ def test_every_encoding_at_short_lengths(spark):
     assert all(n >= (20 if name == "decimal" else 32) for (name, _), n in found.items()), found
     false = [i for i in got if i not in keys and any(s[1] == 3 for s in got[i])]
     assert len(false) <= 0.02 * sum(found.values()), [rows[i][1] for i in false]
+
+
+def test_keys_glued_to_paths_and_prefixes(spark):
+    rnd = random.Random(12)
+    draw = lambda symbols, n: "".join(rnd.choice(symbols) for _ in range(n))
+    url = secret_scan.ENCODINGS["base64url"]
+    rows, want = [], {}
+    for i in range(120):
+        plus, low = draw(BASE64, 18) + rnd.choice("+/") + draw(BASE64, 21), draw(url, 18) + rnd.choice("-_") + draw(url, 21)
+        before, key, after = [
+            ("https://host/v1/keys/", low, "/show"), ("sk_live_", plus, " end"), ("key-", plus, ", next"), ("/usr/local-share/", draw(secret_scan.ENCODINGS["hex_lower"], 40), "/my-file_name"),
+        ][i % 4]
+        rows.append((i, f"é {before}{key}{after}", "a"))
+        want[i] = (2 + len(before), 2 + len(before) + len(key))
+    words = [(1000 + i, "see " + "".join(w + rnd.choice("/-_+") for w in prose(i, 12).split(" ")) + " there", "a") for i in range(300)]
+    got = spans_of(documents(spark, rows + words))
+    held = [any(s[1] == 3 and s[0] <= want[i][0] and s[2] >= want[i][1] for s in got[i]) for i in want]
+    exact = [(want[i][0], 3, want[i][1]) in got[i] for i in want]
+    assert min(sum(held[n::4]) for n in range(4)) >= 26 and sum(exact) >= 90, [sum(x[n::4]) for x in (held, exact) for n in range(4)]
+    assert not any(s[1] == 3 for i, _, _ in words for s in got[i])
+    for spans in got.values():
+        mine = [s for s in spans if s[1] == 3]
+        assert not any(a != b and b[0] <= a[0] and a[2] <= b[2] for a in mine for b in mine)
