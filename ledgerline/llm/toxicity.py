@@ -3,9 +3,10 @@
 A logistic model over the words of a text and the beginnings of its words (present or not), so that an unseen form of
 an insult still counts; identity terms stand only for themselves. Features are chosen by how strongly their presence goes with the
 label (likelihood-ratio statistic). Besides the labels' loss and a ridge, fitting pays for every change of the
-linear score between a labelled text and its counterfactual, in which each identity term is replaced
-by the next of its group; the neutral nouns belong to every group. So terms of a group, and neutral nouns, end with like weights, and a
-neutral mention of a group does not raise the score by itself.
+linear score among a labelled text and its counterfactuals, in which an identity term is replaced by the next of its group or by a
+neutral noun, both of its language, or left out. A text without the term is the anchor: a term and those it is swapped for are held to the
+weight 0, so neither a neutral mention of a group raises the score by itself, nor does a swap pass the weight on to terms that no
+labelled text has. At a strength of c the weight of a term ends at 1 / 2c at most, whatever the labels say.
 
 Fitting uses at most ``SAMPLE_ROWS`` labelled rows and ``WORDS`` features (documented bounds, independent of the corpus);
 scoring covers every whole text. Defined results: NULL is scored as the empty text; without rows of both labels
@@ -31,31 +32,33 @@ WORDS = 2048
 LEAST_G2 = 10.83
 RIDGE, COUNTERFACTUAL = 1e-5, 1.0
 STEPS, RATE = 400, 0.1
-# Identity terms by group, and neutral nouns.
-NEUTRAL = ["people", "persons", "leute", "personen", "gens", "personnes", "gente", "personas"]
+# Neutral nouns by language, and identity terms by group and language.
+NEUTRAL = {"en": ["people", "persons"], "de": ["leute", "personen"], "fr": ["gens", "personnes"], "es": ["gente", "personas"]}
 GROUPS = [
-    ["women", "men", "frauen", "männer", "femmes", "hommes", "mujeres", "hombres", "girls", "boys"],
-    ["christians", "muslims", "jews", "hindus", "buddhists", "atheists", "christian", "muslim", "jewish", "hindu", "buddhist", "atheist"],
-    ["gay", "straight", "lesbian", "bisexual", "transgender", "queer", "heterosexual", "homosexual"],
-    ["black", "white", "asian", "african", "european", "american", "mexican", "arab", "latino", "chinese", "indian"],
-    ["immigrants", "refugees", "foreigners", "natives", "migrants", "citizens"],
-    ["disabled", "deaf", "blind", "autistic", "elderly", "young"],
+    {"en": ["women", "men", "girls", "boys"], "de": ["frauen", "männer"], "fr": ["femmes", "hommes"], "es": ["mujeres", "hombres"]},
+    {"en": ["christians", "muslims", "jews", "hindus", "buddhists", "atheists"]},
+    {"en": ["christian", "muslim", "jewish", "hindu", "buddhist", "atheist"]},
+    {"en": ["gay", "straight", "lesbian", "bisexual", "transgender", "queer", "heterosexual", "homosexual"]},
+    {"en": ["black", "white", "asian", "african", "european", "american", "mexican", "arab", "latino", "chinese", "indian"]},
+    {"en": ["immigrants", "refugees", "foreigners", "natives", "migrants", "citizens"]},
+    {"en": ["disabled", "deaf", "blind", "autistic", "elderly", "young"]},
 ]
 PREFIXES = (4, 5, 7)
 TOKEN = re.compile(r"[^\W\d_]+")
 
 
 def swaps() -> dict[str, tuple[str, ...]]:
-    """Counterfactual terms of each identity term: the next of its group, and a neutral noun."""
+    """Counterfactual terms of each identity term: the next of its group, and a neutral noun, both of its language."""
     out = {}
-    for n, group in enumerate(GROUPS):
-        for i, term in enumerate(group):
-            out[term] = (group[(i + 1) % len(group)], NEUTRAL[(i + n) % len(NEUTRAL)])
+    for group in GROUPS:
+        for language, terms in group.items():
+            for i, term in enumerate(terms):
+                out[term] = (terms[(i + 1) % len(terms)], NEUTRAL[language][i % len(NEUTRAL[language])])
     return out
 
 
 SWAPS = swaps()
-TERMS = frozenset(SWAPS) | frozenset(NEUTRAL)
+TERMS = frozenset(SWAPS) | frozenset(noun for nouns in NEUTRAL.values() for noun in nouns)
 
 
 @dataclass(frozen=True)
@@ -99,7 +102,7 @@ def chosen_words(sample: DataFrame) -> list[str]:
 
 
 def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], counterfactual: float = COUNTERFACTUAL) -> ToxicityModel:
-    """Full-batch Adam on label loss, ridge and counterfactual penalty."""
+    """Full-batch Adam on label loss, ridge and counterfactual penalty (over mentions, or rows if these are fewer)."""
     y = np.array([r[0] for r in rows], float)
     share = (y.sum() + 1) / (len(y) + 2)
     start = float(np.log(share / (1 - share)))
@@ -109,7 +112,9 @@ def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], counte
     hits = [[of[w] for w in ws if w in of] for _, ws in rows]
     row = np.repeat(np.arange(len(rows)), [len(h) for h in hits])
     col = np.fromiter((i for h in hits for i in h), np.int64, len(row))
-    pairs = [(a, other) for _, ws in rows for a in ws if a in SWAPS for other in SWAPS[a] if other not in ws]
+    mentions = [(a, [other for other in SWAPS[a] if other not in ws]) for _, ws in rows for a in ws if a in SWAPS]
+    pairs = [pair for a, others in mentions for pair in [(a, None), *((a, other) for other in others), *((other, None) for other in others)]]
+    held = max(1, min(len(mentions), len(rows)))
     left = np.array([of.get(a, -1) for a, _ in pairs], np.int64)
     right = np.array([of.get(b, -1) for _, b in pairs], np.int64)
     k = len(vocabulary)
@@ -120,7 +125,7 @@ def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], counte
         off = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(rows)
         grad = np.append(np.bincount(col, off[row], k + 1) + 2 * RIDGE * w, off.sum())
         if len(pairs):
-            change = 2 * counterfactual * (w[left] - w[right]) / len(pairs)
+            change = 2 * counterfactual * (w[left] - w[right]) / held
             np.add.at(grad, np.where(left < 0, k, left), change)
             np.add.at(grad, np.where(right < 0, k, right), -change)
         grad[k] = 0

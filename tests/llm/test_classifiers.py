@@ -53,3 +53,17 @@ def test_counterfactual_penalty(spark):
     gap = lambda m: abs(m.weights["muslims"] - m.weights[toxicity.SWAPS["muslims"][0]])
     assert gap(fair) < gap(free) / 4
     assert fair.weights["vilefool"] > 0.5
+
+
+def test_neutral_mentions_at_the_default(spark):
+    """Neither the group of the labelled rows nor one that they lack is rejected for being mentioned."""
+    rows = biased()
+    docs = documents(spark, [(i, t, "a") for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, int(y)) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    terms = ["", "muslims", *toxicity.SWAPS["muslims"], "hindus", "women", "frauen", "vilefool"]
+    texts = spark.createDataFrame([(t, f"{t} {around}") for t in terms for around in ("", "near the " + prose(9000, 8))], "term string, text string")
+    scores = {(r["term"], r["text"]): r["s"] for r in texts.select("term", "text", toxicity.toxicity_score(F.col("text"), model).alias("s")).collect()}
+    for (term, text), score in scores.items():
+        plain = scores["", text[len(term) :] if text != f"{term} " else " "]
+        assert score > 0.5 if term == "vilefool" else abs(score - plain) < 0.1 and score < 0.5, scores
