@@ -8,6 +8,12 @@ neutral noun, both of its language, or left out. A text without the term is the
 weight 0, so neither a neutral mention of a group raises the score by itself, nor does a swap pass the weight on to terms that no
 labelled text has. At a strength of c the weight of a term ends at 1 / 2c at most, whatever the labels say.
 
+A text of more than two blocks of ``BLOCK_WORDS`` words is also scored by windows of two neighbouring blocks over its whole length, and
+the largest score counts, so a toxic passage is not outweighed by ordinary words around it. As the largest of many
+windows is high by chance, it is lowered by what clean windows reach: their upper tail is taken as exponential and measured on a
+fifth of the labelled rows under weights fitted on the others, such that a clean text of any length is about as seldom flagged as a clean short one
+(a window is never held to less than a whole text is).
+
 Fitting uses at most ``SAMPLE_ROWS`` labelled rows and ``WORDS`` features (documented bounds, independent of the corpus);
 scoring covers every whole text. Defined results: NULL is scored as the empty text; without rows of both labels
 the score is the smoothed share of label 1; repeated rows are scored alike; an empty table gives an empty table.
@@ -17,7 +23,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -32,6 +38,9 @@ WORDS = 2048
 LEAST_G2 = 10.83
 RIDGE, COUNTERFACTUAL = 1e-5, 1.0
 STEPS, RATE = 400, 0.1
+BLOCK_WORDS = 128
+#: Every so many labelled rows one measures the windows; share of the clean windows that is their tail, and fewest in the tail.
+TAIL_FOLD, TAIL_SHARE, TAIL_LEAST = 5, 0.1, 10
 # Neutral nouns by language, and identity terms by group and language.
 NEUTRAL = {"en": ["people", "persons"], "de": ["leute", "personen"], "fr": ["gens", "personnes"], "es": ["gente", "personas"]}
 GROUPS = [
@@ -65,15 +74,38 @@ TERMS = frozenset(SWAPS) | frozenset(noun for nouns in NEUTRAL.values() for noun
 class ToxicityModel:
     weights: dict[str, float] = field(default_factory=dict)
     constant: float = 0.0
+    #: What the largest of n windows is lowered by: ``level + spread * ln(n)``.
+    level: float = 0.0
+    spread: float = 1.0
 
 
-def text_features(text: str | None) -> set[str]:
-    """Distinct lower-case words, and the first letters of longer ones with a star."""
-    found = set(TOKEN.findall((text or "").lower()))
+def token_features(tokens: list[str]) -> set[str]:
+    """Distinct words, and the first letters of longer ones with a star."""
+    found = set(tokens)
     longer = found - TERMS
     return found.union(*({w[:k] + "*" for w in longer if len(w) > k} for k in PREFIXES))
 
 
+def text_features(text: str | None) -> set[str]:
+    """Features of the lower-case words of a text."""
+    return token_features(TOKEN.findall((text or "").lower()))
+
+
+def linear_scores(text: str | None, weights: dict[str, float], constant: float) -> list[float]:
+    """Linear score of the whole text, then of each window if it has more than two blocks."""
+    tokens = TOKEN.findall((text or "").lower())
+    blocks = [weights.keys() & token_features(tokens[at : at + BLOCK_WORDS]) for at in range(0, len(tokens), BLOCK_WORDS)]
+    parts = [set().union(*blocks), *((a | b for a, b in zip(blocks, blocks[1:], strict=False)) if len(blocks) > 2 else ())]
+    return [constant + sum(weights[w] for w in sorted(p)) for p in parts]
+
+
+def largest(scores: list[float], model: ToxicityModel) -> float:
+    """Linear score of a text from those of ``linear_scores``."""
+    if len(scores) == 1:
+        return scores[0]
+    return max(scores[0], max(scores[1:]) - model.level - model.spread * float(np.log(len(scores) - 1)))
+
+
 def words(text: Column) -> Column:
     """Features of a text as a sorted array."""
 
@@ -135,25 +167,53 @@ def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], counte
     return ToxicityModel({t: float(x) for t, x in zip(vocabulary, w, strict=False)}, float(b))
 
 
+def clean_tail(scores: list[list[float]]) -> tuple[float, float]:
+    """``level`` and ``spread`` from the ``linear_scores`` of clean texts; without enough of them a window counts as one of n chances."""
+    windows = np.sort(np.array([x for s in scores for x in (s[1:] or s)], float))
+    most = int(len(windows) * TAIL_SHARE)
+    if most < TAIL_LEAST:
+        return 0.0, 1.0
+    start = float(windows[-most - 1])
+    spread = float((windows[-most:] - start).mean())
+    flagged = (sum(s[0] >= 0 for s in scores) + 1) / (len(scores) + 1)
+    return max(0.0, start + spread * float(np.log(TAIL_SHARE / flagged))), spread
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text_col: str = "text", counterfactual: float = COUNTERFACTUAL) -> ToxicityModel:
     small_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, SAMPLE_ROWS, id_col, text_col)
-    sample = materialize(sample.select("id", "y", words(F.col("text")).alias("words")), "toxicity-sample")
+    fold = F.pmod("h", F.lit(TAIL_FOLD)) == 0
+    texts, sample = sample, materialize(sample.select("id", "y", fold.alias("fold"), words(F.col("text")).alias("words")), "toxicity-sample")
     vocabulary = [w for w in chosen_words(sample) if w not in TERMS] + sorted(TERMS)
     kept = F.array_intersect("words", F.array(*[F.lit(w) for w in vocabulary]))
-    rows = [(r["y"], r["kept"]) for r in sample.select("y", "id", kept.alias("kept")).orderBy("id", "kept").collect()]
-    return fit_weights(rows, vocabulary, counterfactual)
+    found = sample.select("y", "id", "fold", kept.alias("kept")).orderBy("id", "kept").collect()
+    model = fit_weights([(r["y"], r["kept"]) for r in found], vocabulary, counterfactual)
+    others = fit_weights([(r["y"], r["kept"]) for r in found if not r["fold"]], vocabulary, counterfactual)
+    clean = texts.where(fold & (F.col("y") == 0)).select(parts_scores(F.col("text"), others).alias("x")).collect()
+    level, spread = clean_tail([r["x"] for r in clean])
+    return replace(model, level=level, spread=spread)
+
+
+def parts_scores(text: Column, model: ToxicityModel) -> Column:
+    """``linear_scores`` of a text."""
+    weights, constant = dict(model.weights), model.constant
+
+    @F.pandas_udf("array<double>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([linear_scores(t, weights, constant) for t in texts])
+
+    return run(text)
 
 
 def toxicity_score(text: Column, model: ToxicityModel) -> Column:
-    """Chance of label 1 for a whole text."""
-    weights, known = dict(model.weights), frozenset(model.weights)
-    constant = model.constant
+    """Chance of label 1 for a whole text, or for its most toxic window."""
+    weights, constant = dict(model.weights), model.constant
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            total = [constant + sum(weights[w] for w in sorted(known & text_features(t))) for t in texts]
+            total = [largest(linear_scores(t, weights, constant), model) for t in texts]
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(total, float), -500, 500))))
 
     return run(text)

@@ -67,3 +67,18 @@ def test_neutral_mentions_at_the_default(spark):
     for (term, text), score in scores.items():
         plain = scores["", text[len(term) :] if text != f"{term} " else " "]
         assert score > 0.5 if term == "vilefool" else abs(score - plain) < 0.1 and score < 0.5, scores
+
+
+def test_toxic_passage_of_a_long_text(spark):
+    """A held-out toxic text is found among clean ones of many times its length, and clean joins stay clean."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit_toxicity(docs, labels)
+    rows = docs.join(labels, "doc_id").where(held_out("doc_id") & F.col("toxic").isNotNull()).select("doc_id", "text", "toxic").orderBy("doc_id").collect()
+    clean, toxic = ([r["text"] for r in rows if r["toxic"] == n and r["text"]] for n in (0, 1))
+    rnd = random.Random(3)
+    joins = [(n, kind) for n in (0, 20, 100) for kind in (0, 1) for _ in range(60)]
+    made = [(n, kind, "\n".join([*(rnd.choice(clean) for _ in range(n // 2 + (n == 0 and not kind))), *([rnd.choice(toxic)] if kind else []), *(rnd.choice(clean) for _ in range(n // 2))])) for n, kind in joins]
+    scored = spark.createDataFrame(made, "n int, kind int, text string").repartition(4).select("n", "kind", (toxicity.toxicity_score(F.col("text"), model) >= 0.5).cast("int").alias("p"))
+    share = {(r["n"], r["kind"]): r["p"] for r in scored.groupBy("n", "kind").agg(F.avg("p").alias("p")).collect()}
+    assert all(share[n, 1] >= share[0, 1] - 0.25 and share[n, 0] <= 0.05 for n in (20, 100)), sorted(share.items())
