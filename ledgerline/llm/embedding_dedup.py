@@ -1,10 +1,10 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products inside cells, one vector kept per group.
 
 Equal vectors are one class with a weight, so copies cost one comparison. Classes are assigned to the nearest of
-``k`` unit centres (fitted on a bounded sample). A class is also shown, as a guest, in every other cell where a partner could
-have its home: a partner at the least cosine lies in the other cell if the random part of the step to it carries it
-over the boundary; cells whose boundary is more than ``REACH`` standard deviations of that part away are left out (the step
-is a random direction in as many dimensions as the vectors have; with ``REACH = inf`` all cells that geometry allows are kept).
+``k`` unit centres (fitted on a bounded sample). A class is also shown, as a guest, in every other cell whose gap (the cosine with
+its own centre less that with the other) is at most half the longest chord of a link times the distance of the two centres. The two gaps of a
+linked pair sum to at most its chord times that distance, so one side always sees the pair, whatever the vectors
+and their dimension; ``reach`` is the share of that band that is visited, and below 1 links may be lost.
 Inside a cell, home classes are multiplied with home classes and guests, block by block, in double precision. A pair that both cells
 see counts once for each side, in its own cell; a pair that one cell sees counts for both sides there. Blocks return link counts
 and at most one link per component, never all pairs.
@@ -33,7 +33,8 @@ SAMPLE_ROWS, SAMPLE_NUMBERS, CELL_ROWS, MOST_CELLS = 20_000, 4_000_000, 2_000, 4
 #: Rows that are held against all centres at once.
 STEP = 500
 ROUNDS = 10
-REACH = 4.0
+#: Share of the band in which classes are shown as guests; all links are found from 1 on.
+REACH = 1.0
 #: Rows of one block; a task holds two blocks and their products.
 BLOCK = 2_048
 
@@ -60,7 +61,7 @@ def visits(x: np.ndarray, centres: np.ndarray, least: float, reach: float) -> tu
     near = x @ centres.T
     home = near.argmax(axis=1)
     apart = np.sqrt(np.maximum(2 - 2 * centres[home] @ centres.T, 0))
-    step = math.sqrt(1 - least**2) / least * min(1.0, reach / math.sqrt(max(x.shape[1] - 1, 1)))
+    step = min(reach, 2.0) * math.sqrt(max(2 - 2 * least, 0.0)) / 2
     gap = near[np.arange(len(x)), home][:, None] - near
     shown = gap <= step * apart + 1e-9
     shown[np.arange(len(x)), home] = True

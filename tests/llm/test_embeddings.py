@@ -60,3 +60,16 @@ def test_query(spark, folder):
     counts, components = brute(rows)
     got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in QUERIES["op1_embedding_near_duplicates"](spark, folder).collect()}
     assert got == {i: (n, c) for (i, _), n, c in zip(rows, counts, components, strict=True)}
+
+
+def test_no_link_is_lost_in_few_of_many_dimensions(spark, monkeypatch):
+    """Vectors of 384 dimensions on a subspace of 4: steps between partners are no random directions."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 40)
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(800, 4)) @ np.linalg.qr(rnd.normal(size=(384, 4)))[0].T
+    rows = [(i, list(map(float, v))) for i, v in enumerate(x)]
+    frame = spark.createDataFrame([(i, v, 0, "x") for i, v in rows], "vec_id long, embedding array<double>, label int, n_links string")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    counts = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.link_embeddings(frame).collect()}
+    assert counts.sum() > 5000 and sum(got.values()) == counts.sum() and got == dict(enumerate(counts))
