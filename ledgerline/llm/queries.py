@@ -13,10 +13,13 @@ from .common import table
 from .embedding_dedup import link_embeddings
 from .fingerprints import fingerprint_versions
 from .mixing import mix_documents
+from .runs import digests
 from .secret_scan import KINDS, listed, scan_secrets
 from .simhash import simhash_near_duplicates
 from .token_counts import count_tokens
+from .top_k import top_inner_products
 from .url_filters import filter_urls, host_of, path_parts
+from .whitening import whitened
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +138,27 @@ FROM captures c LEFT JOIN hits h ON c.page_id = h.page_id AND h.nr = 1
 @query
 def op1_embedding_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return link_embeddings(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitened(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_inner_products(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_exact_top_k"] = """
+WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x::DOUBLE), false)))),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(table(spark, folder, "documents"))
