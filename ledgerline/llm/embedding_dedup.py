@@ -5,9 +5,11 @@ Equal vectors are one class with a weight, so copies cost one comparison. Classe
 its own centre less that with the other) is at most half the longest chord of a link times the distance of the two centres. The two gaps of a
 linked pair sum to at most its chord times that distance, so one side always sees the pair, whatever the vectors
 and their dimension; ``reach`` is the share of that band that is visited, and below 1 links may be lost.
-Inside a cell, home classes are multiplied with home classes and guests, block by block, in double precision. A pair that both cells
-see counts once for each side, in its own cell; a pair that one cell sees counts for both sides there. Blocks return link counts
-and at most one link per component, never all pairs.
+Guests first travel as codes of one byte per component with the exact length of their rounding error: the product of two codes and these lengths bound the cosine,
+and only guests that can reach the limit with some home class of the cell stay (no link is lost). Then home classes are multiplied with home classes
+and the guests that stayed, block by block, in double precision. Blocks are numbered by the home classes and by the guests of a cell, and home blocks meet once.
+A pair that both cells see counts once for each side, in its own cell; a pair that one cell sees counts for both sides there. Blocks return link counts
+and at most one link per class, never all pairs.
 
 Defined results: vectors that are NULL, zero, or hold NULL or non-finite components link with nothing, nor do vectors of
 different lengths; a NULL id never names a component while another id is in it; every row is a vector, so repeated rows are
@@ -35,8 +37,8 @@ STEP = 500
 ROUNDS = 10
 #: Share of the band in which classes are shown as guests; all links are found from 1 on.
 REACH = 1.0
-#: Rows of one block; a task holds two blocks and their products.
-BLOCK = 2_048
+#: Rows of one block of home classes (a task holds two blocks and their products), guest codes held against one, and most tasks of a shuffle.
+BLOCK, GUESTS, TASKS = 2_048, 16_384, 20_000
 
 
 def fit_centres(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -68,45 +70,85 @@ def visits(x: np.ndarray, centres: np.ndarray, least: float, reach: float) -> tu
     return home, [np.flatnonzero(s) for s in shown]
 
 
+def codes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unit rows as bytes, the size of one step, and the length of what rounding changed."""
+    step = np.abs(x).max(axis=1) / 127
+    code = np.rint(x / step[:, None]).astype(np.int8)
+    return code, step, np.linalg.norm(x - code * step[:, None], axis=1) + 1e-12
+
+
+def reachable(rows: pd.DataFrame, least: float) -> pd.DataFrame:
+    """Guests of a cell whose cosine with some home class of the block may be ``least`` or more."""
+    home = rows["side"].to_numpy() == 0
+    left, right = rows[home], rows[~home]
+    if left.empty or right.empty:
+        return pd.DataFrame({"cell": pd.Series(dtype="int32"), "cid": pd.Series(dtype="int64")})
+    dim = len(left["code"].iloc[0])
+    # whole numbers up to 127 * 127 * dim are exact in 32 bits up to 1,040 dimensions
+    kind = np.float32 if dim <= 1_024 else np.float64
+    read = lambda part: np.frombuffer(b"".join(part), np.int8).reshape(-1, dim).astype(kind)
+    a, step, error = read(left["code"]), left["step"].to_numpy(), left["error"].to_numpy()
+    stay = []
+    for at in range(0, len(right), BLOCK):
+        part = right.iloc[at : at + BLOCK]
+        e = part["error"].to_numpy()
+        most = (a @ read(part["code"]).T) * step[:, None] * part["step"].to_numpy() + error[:, None] * (1 + e) + (1 + 2 * error[:, None]) * e
+        stay.append(part["cid"].to_numpy()[(most >= least - 1e-6).any(axis=0)])
+    return pd.DataFrame({"cell": rows["cell"].iloc[0], "cid": np.concatenate(stay)}).astype({"cell": "int32"})
+
+
+def joined(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least column linked (through any steps) with each row and each column of a block, as labels."""
+    none = hit.shape[1]
+    columns = np.arange(none)
+    while True:
+        rows = np.where(hit, columns[None, :], none).min(axis=1, initial=none)
+        back = np.minimum(columns, np.where(hit, rows[:, None], none).min(axis=0, initial=none))
+        if (back == columns).all():
+            return rows, columns
+        columns = back
+
+
 def block_links(rows: pd.DataFrame, least: float) -> pd.DataFrame:
-    """Link counts and component links of one pair of blocks: home rows of block ``i`` against the rows of block ``j``."""
+    """Link counts and component links of one pair of blocks: home classes of block ``i`` against those, or the guests, of block ``j``."""
     cell, i, j = rows["cell"].iloc[0], rows["i"].iloc[0], rows["j"].iloc[0]
-    left = rows[(rows["home"] == cell) & (rows["block"] == i) & (rows["side"] == 0)]
-    right = rows[(rows["block"] == j) & (rows["side"] == 1)]
+    left = rows[rows["side"] == 0]
+    right = left if i == j else rows[rows["side"] == 1]
     empty = pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
     if left.empty or right.empty:
         return empty
     a, b = left["cid"].to_numpy(), right["cid"].to_numpy()
     hit = (unit(left["v"]) @ unit(right["v"]).T >= least) & (a[:, None] != b[None, :])
-    weight, back = right["n"].to_numpy(np.float64), left["n"].to_numpy(np.float64)
-    counts = [(x, None, int(n)) for x, n in zip(a, hit @ weight, strict=True) if n]
-    guests = np.flatnonzero(right["home"].to_numpy() != cell)
-    if guests.size:
+    some, other = np.flatnonzero(hit.any(axis=1)), np.flatnonzero(hit.any(axis=0))
+    if not some.size:
+        return empty
+    left, right, hit, a, b = left.iloc[some], right.iloc[other], hit[np.ix_(some, other)], a[some], b[other]
+    counts = [pd.DataFrame({"a": a, "n": hit @ right["n"].to_numpy(np.int64)})]
+    if i != j:
         # does the left row visit the guest's home? then that cell counts the pair for the guest
-        homes, place = np.unique(right["home"].to_numpy()[guests], return_inverse=True)
-        seen = np.stack([np.isin(homes, c) for c in left["cells"]])[:, place]
-        counts += [(b[g], None, int(n)) for g, n in zip(guests, back @ (hit[:, guests] & ~seen), strict=True) if n]
-    names, of = np.unique(np.concatenate([a, b]), return_inverse=True)
-    root = np.arange(names.size)
-    links = []
-    for r in np.flatnonzero(hit.any(axis=1)):
-        mine = root[of[r]]
-        near = np.unique(root[of[len(a) :][hit[r]]])
-        links += [(names[mine], names[o], 0) for o in near if o != mine]
-        root[np.isin(root, near)] = mine
-    return pd.DataFrame(counts + links, columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
+        homes, place = np.unique(right["home"].to_numpy(), return_inverse=True)
+        seen = np.stack([np.isin(homes, c) for c in left["cells"]])
+        seen[:, homes == cell] = False
+        counts.append(pd.DataFrame({"a": b, "n": left["n"].to_numpy(np.int64) @ (hit & ~seen[:, place])}))
+    of_left, of_right = joined(hit)
+    links = pd.DataFrame({"a": np.concatenate([a, b]), "b": b[np.concatenate([of_left, of_right])], "n": 0})
+    every = pd.concat([*(c[c["n"] > 0] for c in counts), links[links["a"] != links["b"]]])
+    return every[["a", "b", "n"]].astype({"a": "int64", "b": "Int64", "n": "int64"})
 
 
 def link_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least: float = LEAST_COSINE, reach: float = REACH) -> DataFrame:
     """Per row: id, ``n_links`` (other vectors linked directly), ``component_id`` and ``kept``."""
     small_batches(vectors.sparkSession, STEP)
-    v = F.transform(F.col("v"), lambda x: x.cast("double") + F.lit(0.0))
+    plain = vectors.schema[vector_col].dataType.elementType.simpleString()
+    # components keep their type (a float is exact in four bytes); adding zero makes -0.0 and 0.0 one
+    kind = "float" if plain == "float" else "double"
+    v = F.transform(F.col("v"), lambda x: x.cast(kind) + F.lit(0.0).cast(kind))
     odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
     rows = vectors.select(vectors[id_col].alias("id"), vectors[vector_col].alias("v")).withColumn("v", v)
     sound = F.coalesce(~F.exists("v", odd) & F.exists("v", lambda x: x != 0.0), F.lit(False))
-    rows = materialize(rows.withColumn("key", F.when(sound, F.md5(F.to_json("v").cast("binary")))), "embedding-rows")
+    rows = rows.withColumn("key", F.when(sound, F.md5(F.to_json("v").cast("binary"))))
     classes = rows.where("key is not null").groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.first("v").alias("v"))
-    classes = materialize(classes.withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("v")}), "embedding-classes")
+    rows, classes = materialize(rows.select("id", "key"), "embedding-rows"), materialize(classes.withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("v")}), "embedding-classes")
 
     found, links = None, None
     for dim, n in sorted((r["dim"], r["count"]) for r in classes.groupBy("dim").count().collect()):
@@ -133,20 +175,45 @@ def links_of_length(classes: DataFrame, n: int, dim: int, least: float, reach: f
     k = max(1, min(MOST_CELLS, n // CELL_ROWS, len(sample)))
     centres = spark.sparkContext.broadcast(fit_centres(unit(pd.Series([r["v"] for r in sample])), k))
 
+    kind = dict(classes.dtypes)["v"]
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             if len(part):
-                home, cells = visits(unit(part["v"]), centres.value, least, reach)
-                yield part.assign(home=home.astype("int32"), cells=[c.astype("int32") for c in cells])
+                x = unit(part["v"])
+                home, cells = visits(x, centres.value, least, reach)
+                code, step, error = codes(x)
+                yield part.assign(home=home.astype("int32"), cells=[c.astype("int32") for c in cells], code=[c.tobytes() for c in code], step=step, error=error)
 
-    placed = classes.select("cid", "n", "v").mapInPandas(assign, "cid long, n long, v array<double>, home int, cells array<int>")
+    placed = classes.select("cid", "n", "v").mapInPandas(assign, f"cid long, n long, v {kind}, home int, cells array<int>, code binary, step double, error double")
     placed = materialize(placed, "embedding-cells")
-    shown = placed.withColumn("cell", F.explode("cells"))
-    sizes = shown.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = shown.join(F.broadcast(sizes), "cell").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    left = dealt.where("home = cell").select("*", F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(0).alias("side"))
-    right = dealt.select("*", F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"))
-    pairs = left.unionByName(right).groupBy("cell", "i", "j").applyInPandas(lambda rows: block_links(rows, least), "a long, b long, n long")
+    of = lambda most: F.pmod(F.xxhash64("cid"), F.ceil(F.col("size") / most)).cast("int")
+    counted = lambda frame: frame.join(F.broadcast(frame.groupBy("cell").agg(F.count("*").alias("size"))), "cell")
+
+    def dealt(homes: DataFrame, guests: DataFrame, most: int, among: bool) -> DataFrame:
+        """Rows of each pair of blocks: ``i`` counts home blocks; ``j`` counts guest blocks, after the home blocks if these meet as well."""
+        homes = counted(homes).withColumns({"block": of(BLOCK), "own": F.ceil(F.col("size") / BLOCK).cast("int")}).drop("size")
+        guests = counted(guests).withColumns({"block": of(most), "blocks": F.ceil(F.col("size") / most).cast("int")}).drop("size")
+        own = homes.groupBy("cell").agg(F.max("own").alias("own"))
+        facing = guests.groupBy("cell").agg(F.max("blocks").alias("facing"))
+        homes = homes.join(F.broadcast(facing), "cell", "left").fillna(0, ["facing"])
+        first = F.col("block") if among else F.col("own")
+        last = F.col("own") + F.col("facing") - 1
+        left = homes.where(first <= last).withColumns({"i": F.col("block"), "j": F.explode(F.sequence(first, last)), "side": F.lit(0)})
+        right = guests.join(F.broadcast(own), "cell").withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("own") - 1)), "j": F.col("own") + F.col("block"), "side": F.lit(1)})
+        both = left.drop("block", "own", "facing").unionByName(right.drop("block", "own", "blocks"))
+        if among:
+            later = homes.where("block > 0").withColumns({"i": F.explode(F.sequence(F.lit(0), F.col("block") - 1)), "j": F.col("block"), "side": F.lit(1)})
+            both = both.unionByName(later.drop("block", "own", "facing"))
+        tasks = own.join(facing, "cell", "left").agg(F.sum(F.col("own") * (F.coalesce("facing", F.lit(0)) + (F.col("own") if among else 0)))).first()[0]
+        return both.repartition(max(1, min(int(tasks or 1), TASKS)), "cell", "i", "j")
+
+    light = placed.select("cid", "home", "code", "step", "error")
+    visiting = placed.select("cid", "home", "code", "step", "error", F.explode("cells").alias("cell")).where("cell <> home")
+    near = dealt(light.withColumn("cell", F.col("home")), visiting, GUESTS, False).groupBy("cell", "i", "j").applyInPandas(lambda rows: reachable(rows, least), "cell int, cid long")
+    near = materialize(near, "embedding-guests").distinct()
+    whole = placed.select("cid", "n", "v", "home", "cells")
+    paired = dealt(whole.withColumn("cell", F.col("home")), whole.join(near, "cid").select("cell", *whole.columns), BLOCK, True)
+    pairs = paired.groupBy("cell", "i", "j").applyInPandas(lambda rows: block_links(rows, least), "a long, b long, n long")
     pairs = materialize(pairs, "embedding-pairs")
     return pairs.where("b is null").select(F.col("a").alias("cid"), F.col("n").alias("others")), pairs.where("b is not null").select("a", "b")

@@ -73,3 +73,31 @@ def test_no_link_is_lost_in_few_of_many_dimensions(spark, monkeypatch):
     counts = (unit @ unit.T >= 0.9).sum(axis=1) - 1
     got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.link_embeddings(frame).collect()}
     assert counts.sum() > 5000 and sum(got.values()) == counts.sum() and got == dict(enumerate(counts))
+
+
+def test_isotropic_vectors_with_copies(spark, monkeypatch):
+    """5,000 vectors of 64 even dimensions: many guests in every cell, few of them near a home vector."""
+    rnd = np.random.default_rng(9)
+    x = rnd.normal(size=(5000, 64)).astype("f4")
+    x[4000:] = x[rnd.integers(0, 400, 1000)] + 0.05 * rnd.normal(size=(1000, 64))
+    x[3990:4000] = x[0]
+    rows = [(i, list(map(float, v)), 0, "x") for i, v in enumerate(x)]
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.link_embeddings(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: n for i, (n, _) in got.items()} == dict(enumerate((near.sum(axis=1) - 1).tolist()))
+    assert all(got[j][1] == got[i][1] for i, j in zip(*np.nonzero(near), strict=True))
+    # few blocks of a home cell and a hot group in one cell
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 300)
+    again = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.link_embeddings(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert again == got
+
+
+def test_codes_bound_the_cosine():
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(200, 30)) ** 3
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    code, step, error = embedding_dedup.codes(x)
+    low = code.astype(float) * step[:, None]
+    assert (np.linalg.norm(x - low, axis=1) <= error).all()
+    assert (np.abs(x @ x.T - low @ low.T) <= error[:, None] * (1 + error) + (1 + 2 * error[:, None]) * error).all()
