@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.text import surrogate_key
 from ..operators import merge
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, packets
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 TRACKS = s.with_("tracks")
 
@@ -332,10 +332,11 @@ PLUGIN = "survey.plugin"
 
 
 def _zip(files_of_row):
-    """Packets as (path, zip bytes), one per row of the batch."""
+    """Packets as (path, zip bytes), one per row of the batch; ``flaw`` cuts the archive short or pads it with incompressible bytes."""
 
     def build(batches):
         import io
+        import random
         import zipfile
 
         import pandas as pd
@@ -347,12 +348,27 @@ def _zip(files_of_row):
                 with zipfile.ZipFile(buffer, "w") as packet:
                     for name, content in files_of_row(row).items():
                         packet.writestr(name, content)
-                out.append((f"packet/{row['id']}.zip", buffer.getvalue()))
+                    if row["flaw"] == "large":
+                        packet.writestr("padding.bin", random.Random(0).randbytes(LARGE))
+                content = buffer.getvalue()
+                out.append((f"{row['day']}/{row['id']}.zip", content[: len(content) // 2] if row["flaw"] == "cut" else content))
             yield pd.DataFrame(out, columns=["path", "content"])
 
     return build
 
 
+# Packets of the stand-ins are far below this size, padded ones above it.
+LARGE = 100_000
+LAST_DAY = date(2024, 8, 10)
+
+
+def _landed(rows, files_of_row):
+    """The folder that Spark tasks have landed the packets of ``rows`` (id, day, flaw, …) in."""
+    root = scratch_path(rows.sparkSession, "packets")
+    packets.write_packets(rows.mapInPandas(_zip(files_of_row), "path string, content binary"), root)
+    return root
+
+
 def _metadata(row) -> str:
     return (
         f"version: 1\ntype: plugin-packet\ngenerated_at: 1721728796871\nserver_version: 9.1.0\nserver_id: '{str(row['id']).zfill(26)}'\n"
@@ -377,19 +393,49 @@ def _survey_files(row):
     return {"metadata.yaml": _metadata(row), "survey_metadata.json": json.dumps(survey), "responses.csv": answers.getvalue()}
 
 
-@query("a30_ingest_survey_packets", """
-WITH p AS (SELECT conv_id || '-' || turn AS id, turn % 11 AS score, text FROM conversations WHERE role <> 'system')
-SELECT 'packet/' || id || '.zip' AS source, 'u' || id AS user_id, DATE '2024-07-23' AS submitted_at, 'How likely?' AS question, score::VARCHAR AS answer, 'linear_scale' AS question_type FROM p
-UNION ALL SELECT 'packet/' || id || '.zip', 'u' || id, DATE '2024-07-23', 'Why?', text, 'text' FROM p""")
-def _(t):
-    from ..sources.packets import ingest_survey_packets
+s.define("survey_packet", """
+SELECT conv_id || '-' || turn AS id, turn % 11 AS score, text, role, '2024-08-0' || (1 + conv_id % 4) AS day, conv_id % 4 AS nr,
+ CASE WHEN conv_id % 7 = 1 AND turn = 0 THEN 'cut' WHEN conv_id % 7 = 3 AND turn = 1 THEN 'large' ELSE 'none' END AS flaw FROM conversations""")
+
 
+def _survey_root(t):
+    flaw = F.when((F.col("conv_id") % 7 == 1) & (F.col("turn") == 0), "cut").when((F.col("conv_id") % 7 == 3) & (F.col("turn") == 1), "large").otherwise("none")
     rows = t.conversations.select(
-        F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("turn") % 11).alias("score"), "text", (F.col("role") == "system").alias("late")
+        F.concat_ws("-", "conv_id", "turn").alias("id"), (F.col("turn") % 11).alias("score"), "text", (F.col("role") == "system").alias("late"),
+        F.concat(F.lit("2024-08-0"), 1 + F.col("conv_id") % 4).alias("day"), flaw.alias("flaw"),
     )
-    packets = rows.mapInPandas(_zip(_survey_files), "path string, content binary")
-    accepted, _ = ingest_survey_packets(packets, PLUGIN, s.AS_OF)
-    return accepted.select("source", "user_id", "submitted_at", "question", "answer", "question_type")
+    return _landed(rows, _survey_files)
+
+
+def _surveys(found):
+    return packets.ingest_survey_packets(found, PLUGIN, s.AS_OF)
+
+
+@query("a30_ingest_survey_packets", s.with_("survey_packet") + """, p AS (SELECT * FROM survey_packet WHERE role <> 'system' AND flaw = 'none')
+SELECT day || '/' || id || '.zip' AS source, day AS ingestion_date, 'u' || id AS user_id, DATE '2024-07-23' AS submitted_at, 'How likely?' AS question, score::VARCHAR AS answer, 'linear_scale' AS question_type FROM p
+UNION ALL SELECT day || '/' || id || '.zip', day, 'u' || id, DATE '2024-07-23', 'Why?', text, 'text' FROM p""")
+def _(t):
+    accepted, _ = packets.resume_packets(t.spark, _survey_root(t), None, LAST_DAY, _surveys, LARGE)
+    return accepted.select("source", "ingestion_date", "user_id", "submitted_at", "question", "answer", "question_type")
+
+
+@query("a30_rejects", s.with_("survey_packet") + """
+SELECT day || '/' || id || '.zip' AS source, CASE flaw WHEN 'large' THEN 'packet too large' WHEN 'cut' THEN 'unreadable packet: BadZipFile' ELSE 'answer before survey start' END AS reason
+FROM survey_packet WHERE flaw <> 'none' OR role = 'system'""")
+def _(t):
+    return packets.resume_packets(t.spark, _survey_root(t), None, LAST_DAY, _surveys, LARGE)[-1]
+
+
+@query("a30_resume", s.with_("survey_packet") + """
+SELECT day || '/' || id || '.zip' AS source, day AS ingestion_date, count(*) AS packets FROM survey_packet WHERE role <> 'system' AND flaw = 'none' AND (nr = 3 OR nr = 2 AND conv_id_even = 0) GROUP BY ALL""".replace("conv_id_even", "(split_part(id, '-', 1)::BIGINT // 4) % 2"))
+def _(t):
+    """The target holds two days and half of the third; the next run opens the third and fourth day only."""
+    root = _survey_root(t)
+    accepted, _ = packets.resume_packets(t.spark, root, None, date(2024, 8, 4), _surveys, LARGE)
+    number = F.regexp_extract("source", r"/(\d+)-", 1).cast("long")
+    held = mart(accepted.where((F.col("ingestion_date") < "2024-08-03") | (F.floor(number / 4) % 2 == 1)), "ingested")
+    fresh, _ = packets.resume_packets(t.spark, root, held, LAST_DAY, _surveys, LARGE)
+    return fresh.select("source", "ingestion_date").distinct().withColumn("packets", F.lit(1).cast("long"))
 
 
 def _support_files(row):
@@ -410,25 +456,32 @@ def _support_files(row):
     return files_in
 
 
-def _support_packets(t):
-    rows = t.customer.select(F.col("c_custkey").alias("id"), "c_name", "c_nationkey", (F.col("c_acctbal") < 0).alias("broken"))
-    return rows.mapInPandas(_zip(_support_files), "path string, content binary")
+def _support(t):
+    rows = t.customer.select(
+        F.col("c_custkey").alias("id"), "c_name", "c_nationkey", (F.col("c_acctbal") < 0).alias("broken"), F.concat(F.lit("2024-08-0"), 1 + F.col("c_custkey") % 3).alias("day"),
+        F.when(F.col("c_custkey") % 29 == 0, "cut").when(F.col("c_custkey") % 29 == 1, "large").otherwise("none").alias("flaw"),
+    )
+    return packets.resume_packets(t.spark, _landed(rows, _support_files), None, LAST_DAY, lambda found: packets.ingest_support_packets(found, s.AS_OF), LARGE)
 
 
-@query("a31_ingest_support_packets", """
-SELECT 'packet/' || c_custkey || '.zip' AS source, c_name AS license_to, c_nationkey AS active_users, CASE WHEN c_nationkey > 4 THEN lpad(c_custkey::VARCHAR, 26, '0') ELSE 'Unknown' END AS metadata_server_id
-FROM customer WHERE c_acctbal >= 0""")
-def _(t):
-    from ..sources.packets import ingest_support_packets
+s.define("support_packet", """
+SELECT *, '2024-08-0' || (1 + c_custkey % 3) || '/' || c_custkey || '.zip' AS source, CASE c_custkey % 29 WHEN 0 THEN 'cut' WHEN 1 THEN 'large' ELSE 'none' END AS flaw FROM customer""")
+
 
-    wide, _, _ = ingest_support_packets(_support_packets(t), s.AS_OF)
-    return wide.select("source", "license_to", "active_users", "metadata_server_id")
+@query("a31_ingest_support_packets", s.with_("support_packet") + """
+SELECT source, c_name AS license_to, c_nationkey AS active_users, CASE WHEN c_nationkey > 4 THEN lpad(c_custkey::VARCHAR, 26, '0') ELSE 'Unknown' END AS metadata_server_id
+FROM support_packet WHERE c_acctbal >= 0 AND flaw = 'none'""")
+def _(t):
+    return _support(t)[0].select("source", "license_to", "active_users", "metadata_server_id")
 
 
-@query("a31_ingest_support_jobs", """
-SELECT 'packet/' || c_custkey || '.zip' AS source, 'j' || c_custkey AS id, 'success' AS status, TIMESTAMP '2024-08-15 15:16:06.121' AS createat, '{"step":"last"}' AS data FROM customer, range(2) WHERE c_acctbal >= 0""")
+@query("a31_ingest_support_jobs", s.with_("support_packet") + """
+SELECT source, 'j' || c_custkey AS id, 'success' AS status, TIMESTAMP '2024-08-15 15:16:06.121' AS createat, '{"step":"last"}' AS data FROM support_packet, range(2) WHERE c_acctbal >= 0 AND flaw = 'none'""")
 def _(t):
-    from ..sources.packets import ingest_support_packets
+    return _support(t)[1].select("source", "id", "status", "createat", "data")
 
-    _, jobs, _ = ingest_support_packets(_support_packets(t), s.AS_OF)
-    return jobs.select("source", "id", "status", "createat", "data")
+
+@query("a31_rejects", s.with_("support_packet") + """
+SELECT source, CASE flaw WHEN 'large' THEN 'packet too large' WHEN 'cut' THEN 'unreadable packet: BadZipFile' ELSE 'missing fields' END AS reason FROM support_packet WHERE flaw <> 'none' OR c_acctbal < 0""")
+def _(t):
+    return _support(t)[2]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import re
+from collections.abc import Callable, Iterator, Sequence
+from datetime import date
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import materialize
+from .files import list_files
 
 METADATA_FILE = "metadata.yaml"
 SUPPORT_FILE = "support_packet.yaml"
@@ -41,17 +44,79 @@ JOB_LISTS = [
 ]
 
 
-def read_packets(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(
-        path
-    ).select("path", "content")
+#: Largest packet, and largest unpacked member, in bytes: both are held whole by one task.
+MOST_BYTES, MOST_MEMBER = 64 << 20, 256 << 20
+#: Packets unzipped together.
+BATCH_PACKETS = 64
+DATED = r"(\d{4}-\d{2}-\d{2})"
 
 
-def _members(wanted: Sequence[str]):
+def write_packets(packets: DataFrame, root: str) -> None:
+    """Land ``(path, content)`` rows as files under ``root``, from tasks; a repeated attempt replaces its own files.
+
+    Files appear under their names only when they are complete.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs as pafs
+
+        store, top = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"], strict=True):
+                folder, _, name = f"{top}/{path}".rpartition("/")
+                store.create_dir(folder, recursive=True)
+                with store.open_output_stream(f"{folder}/_{name}.part") as out:
+                    out.write(content)
+                store.move(f"{folder}/_{name}.part", f"{folder}/{name}")
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    packets.select("path", "content").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def read_packets(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip", most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(path, content)`` of the packets under the folders, and ``(source, reason)`` of those too large to open.
+
+    Sizes come from the listing: a packet that is too large is not read. Paths are cut to start at their dated folder if they have one.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        return spark.createDataFrame([], "path string, content binary"), spark.createDataFrame([], "source string, reason string")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(paths)
+    dated = F.regexp_extract("path", rf"/{DATED}/", 1)
+    name = F.when(dated != "", F.regexp_extract("path", rf"/({DATED}/.*)$", 1)).otherwise(F.col("path"))
+    fits = files.where(F.col("length") <= most_bytes).select(name.alias("path"), "content")
+    return fits, files.where(F.col("length") > most_bytes).select(name.alias("source"), F.lit("packet too large").alias("reason"))
+
+
+def new_folders(spark: SparkSession, root: str, target: DataFrame | None, until: date, ingested: str = "ingestion_date") -> list[str]:
+    """Dated folders from the latest day of ``target`` on, up to ``until`` (exclusive); all of them for an empty target."""
+    mark = None if target is None else target.agg(F.max(ingested)).first()[0]
+    found = sorted({m[1] for f in list_files(spark, root) if (m := re.search(rf"/{DATED}/", f))})
+    return [f"{root}/{day}" for day in found if (mark is None or day >= str(mark)) and day < f"{until:%Y-%m-%d}"]
+
+
+def resume_packets(spark: SparkSession, root: str, target: DataFrame | None, until: date, ingest: Callable[[DataFrame], tuple[DataFrame, ...]], most_bytes: int = MOST_BYTES) -> tuple[DataFrame, ...]:
+    """Results of ``ingest`` over the packets that landed since the target's latest day; the last result, the rejects, holds oversized ones too.
+
+    Rows carry their folder's day as ``ingestion_date``. Packets of the latest day that the target already has are left out, so a
+    repeated run adds nothing.
+    """
+    packets, large = read_packets(spark, new_folders(spark, root, target, until), most_bytes=most_bytes)
+    if target is not None:
+        done = target.select(F.col("source").alias("path")).distinct()
+        packets = packets.join(done, "path", "left_anti")
+    *results, rejects = ingest(packets)
+    day = F.regexp_extract("source", rf"^{DATED}/", 1)
+    landed = [r.withColumn("ingestion_date", day) if "ingestion_date" in r.columns else r for r in results]
+    return (*landed, rejects.unionByName(large))
+
+
+def _members(wanted: Sequence[str], most_member: int = MOST_MEMBER):
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import json
         import zipfile
+        import zlib
 
         try:
             import yaml
@@ -60,25 +125,34 @@ def _members(wanted: Sequence[str]):
 
         loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
 
-        def text_of(name: str, raw: bytes) -> str:
+        def text_of(packet: zipfile.ZipFile, name: str) -> str:
+            # the size in the directory can lie, so reading stops by itself
+            with packet.open(name) as member:
+                raw = member.read(most_member + 1)
+            if len(raw) > most_member:
+                raise OverflowError
             text = raw.decode("utf-8")
             return json.dumps(yaml.load(text, loader), default=str) if name.endswith(".yaml") else text
 
+        broken = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError, UnicodeDecodeError, yaml.YAMLError)
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"]):
-                found: dict[str, str | None] = {name: None for name in wanted}
-                problem = None
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as packet:
-                        inside = {n.rsplit("/", 1)[-1]: n for n in packet.namelist()}
-                        for name in wanted:
-                            if name in inside:
-                                found[name] = text_of(name, packet.read(inside[name]))
-                except (zipfile.BadZipFile, UnicodeDecodeError, yaml.YAMLError) as e:
-                    problem = f"unreadable packet: {type(e).__name__}"
-                rows.append((path, problem, *found.values()))
-            yield pd.DataFrame(rows, columns=["source", "problem", *[f"f{i}" for i in range(len(wanted))]])
+            for at in range(0, len(batch), BATCH_PACKETS):
+                part, rows = batch.iloc[at : at + BATCH_PACKETS], []
+                for path, content in zip(part["path"], part["content"], strict=True):
+                    found: dict[str, str | None] = {name: None for name in wanted}
+                    problem = None
+                    try:
+                        with zipfile.ZipFile(io.BytesIO(content)) as packet:
+                            inside = {n.rsplit("/", 1)[-1]: n for n in packet.namelist()}
+                            for name in wanted:
+                                if name in inside:
+                                    found[name] = text_of(packet, inside[name])
+                    except OverflowError:
+                        problem = "member too large"
+                    except broken as e:
+                        problem = f"unreadable packet: {type(e).__name__}"
+                    rows.append((path, problem, *found.values()))
+                yield pd.DataFrame(rows, columns=["source", "problem", *[f"f{i}" for i in range(len(wanted))]])
 
     return unzip
 

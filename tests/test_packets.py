@@ -100,3 +100,35 @@ def test_bad_support_packets(spark):
     data = {"missing": packet(**{"support_packet.yaml": support("build_hash")}), "state": packet(**{"support_packet.yaml": support(job=JOB.replace("success", "odd"))})}
     wide, _, rejects = packets.ingest_support_packets(frame(spark, data), "2024-08-01")
     assert wide.count() == 0 and {r["source"]: r["reason"] for r in rejects.collect()} == {"missing": "missing fields", "state": "bad job"}
+
+
+def test_landed_packets_are_read_rejected_and_resumed(spark, tmp_path):
+    """Oversized files are not opened, a member that unpacks too far is a reject, a repeated packet is one copy."""
+    from datetime import date
+
+    root = f"file://{tmp_path}/landed"
+    big = packet(**{"metadata.yaml": metadata(), "padding": __import__("random").Random(1).randbytes(9000)})
+    landed = {"2024-08-01/a.zip": survey_packet(), "2024-08-02/b.zip": survey_packet(), "2024-08-02/c.zip": b"PK no zip", "2024-08-03/d.zip": big, "2024-08-03/e.txt": b"other", "2024-08-04/f.zip": survey_packet()}
+    packets.write_packets(frame(spark, landed), root)
+    packets.write_packets(frame(spark, {k: v for k, v in landed.items() if "02" in k}), root)
+    assert sorted(p.relative_to(tmp_path / "landed").as_posix() for p in (tmp_path / "landed").rglob("*") if p.is_file() and not p.name.endswith(".crc")) == sorted(landed)
+    ingest = lambda found: packets.ingest_survey_packets(found, PLUGIN, "2024-09-01")
+    rows, rejects = packets.resume_packets(spark, root, None, date(2024, 8, 4), ingest, most_bytes=5000)
+    assert {(r["source"], r["ingestion_date"]) for r in rows.collect()} == {("2024-08-01/a.zip", "2024-08-01"), ("2024-08-02/b.zip", "2024-08-02")}
+    assert {tuple(r) for r in rejects.collect()} == {("2024-08-02/c.zip", "unreadable packet: BadZipFile"), ("2024-08-03/d.zip", "packet too large")}
+    assert packets.new_folders(spark, root, rows, date(2024, 8, 9)) == [f"{root}/2024-08-0{n}" for n in (2, 3, 4)]
+    more, _ = packets.resume_packets(spark, root, rows, date(2024, 8, 9), ingest, most_bytes=5000)
+    assert {r["source"] for r in more.collect()} == {"2024-08-04/f.zip"}
+    none, bad = packets.resume_packets(spark, root + "/nothing", None, date(2024, 8, 9), ingest)
+    assert none.count() == 0 and bad.count() == 0
+
+
+def test_members_that_unpack_too_far(spark):
+    unzip = packets._members(["metadata.yaml"], most_member=100)
+    import pandas as pd
+
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("metadata.yaml", "a" * 100_000)
+    out = next(unzip(iter([pd.DataFrame({"path": ["x"], "content": [buffer.getvalue()]})])))
+    assert out.iloc[0].tolist() == ["x", "member too large", None]
