@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+import os
+
 from pyspark.sql import functions as F
 
+from ..functions.rules import load_word_rules
 from ..plans import surveys as plan
+from ..session import scratch_path
+from ..sources import files
 from . import standins as s
 from .registry import mart, query
 
@@ -157,27 +163,19 @@ def _(t):
     return plan.nps_version_daily_score(mart(user_daily(t), "user-daily"))
 
 
-# A small rule list over words that occur in the texts.
-RULES = [
-    {"subcategory": "Search UX", "all": [[plan.word("the", "re|se")], [plan.word("and")]], "min_score": 9},
-    {"subcategory": "Praise", "all": [[plan.word("was"), plan.word("with")]], "min_score": 7},
-    {"subcategory": "Mobile UX", "all": [[plan.word("by"), plan.word("une")], [plan.word("on"), plan.word("la")]]},
-    {"subcategory": "Translations", "all": [[plan.word("la"), plan.word("der"), plan.word("die")]], "max_score": 6},
-    {"subcategory": "Invalid", "shorter_than": 300},
-    {"subcategory": "Invalid", "longer_than": 20000},
-]
-
-
-def _word_sql(*words: str) -> str:
-    return "(" + " OR ".join(rf"""regexp_matches(lower(text), '(^|[ .;,:\n\t\-"''/]){w}([.;, /\n\t\-"''?!]|$)')""" for w in words) + ")"
-
+SEED = os.path.join(os.path.dirname(os.path.abspath(__file__)), "seeds", "feedback_rules.csv")
+SEED_COLUMNS = "rule int, grp int, words string, subcategory string, min_score double, max_score double, shorter_than int, longer_than int"
 
+s.define("rule_seed", f"SELECT * FROM read_csv('{SEED}', header = true, columns = {{{', '.join(f"'{c.split()[0]}': '{c.split()[1].replace('string', 'varchar')}'" for c in SEED_COLUMNS.split(', '))}}})")
+s.define("rule_hit", r"""
+SELECT f.doc_id, r.rule FROM (SELECT doc_id, lower(text) AS low, text, doc_id % 11 AS score FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)) f, rule_seed r
+WHERE (r.words IS NULL OR r.words = '' OR regexp_matches(low, '(?:^|[ .;,:\n\t\-"''/])(?:' || r.words || ')(?:[.;, /\n\t\-"''?!]|$)'))
+ AND (r.min_score IS NULL OR score >= r.min_score) AND (r.max_score IS NULL OR score <= r.max_score) AND (r.shorter_than IS NULL OR length(text) < r.shorter_than) AND (r.longer_than IS NULL OR length(text) > r.longer_than)
+GROUP BY f.doc_id, r.rule HAVING count(DISTINCT r.grp) = (SELECT count(*) FROM rule_seed x WHERE x.rule = r.rule)""", "rule_seed")
 s.define("classified", f"""
-SELECT DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS last_feedback_date, source AS server_id, 'u' || doc_id AS user_id, subcategory,
- CASE subcategory WHEN 'Search UX' THEN 'UX Feedback' WHEN 'Mobile UX' THEN 'UX Feedback' WHEN 'Translations' THEN 'UX Feedback' WHEN 'Praise' THEN 'Praise' WHEN 'Invalid' THEN 'Invalid' ELSE 'Manual Input Required' END AS category
-FROM (SELECT *, doc_id % 11 AS score, CASE WHEN {_word_sql('the(re|se)?')} AND {_word_sql('and')} AND doc_id % 11 >= 9 THEN 'Search UX' WHEN {_word_sql('was', 'with')} AND doc_id % 11 >= 7 THEN 'Praise'
-  WHEN {_word_sql('by', 'une')} AND {_word_sql('on', 'la')} THEN 'Mobile UX' WHEN {_word_sql('la', 'der', 'die')} AND doc_id % 11 <= 6 THEN 'Translations' WHEN length(text) < 300 OR length(text) > 20000 THEN 'Invalid' ELSE 'Manual Input Required' END AS subcategory
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))""")
+SELECT DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS last_feedback_date, source AS server_id, 'u' || doc_id AS user_id, subcategory, CASE {' '.join(f"WHEN subcategory IN ({', '.join(repr(m) for m in members)}) THEN '{c}'" for c, members in plan.CATEGORIES.items())} END AS category
+FROM (SELECT d.doc_id, d.source, coalesce((SELECT min(subcategory) FROM rule_seed WHERE rule = h.rule), 'Manual Input Required') AS subcategory FROM documents d LEFT JOIN (SELECT doc_id, min(rule) AS rule FROM rule_hit GROUP BY doc_id) h ON d.doc_id = h.doc_id
+  WHERE d.doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))""", "rule_hit")
 
 
 def classified(t):
@@ -185,7 +183,13 @@ def classified(t):
     key = [day, F.col("source").alias("server_id"), F.concat(F.lit("u"), "doc_id").alias("user_id")]
     rows = t.documents.select(*key, F.col("text").alias("feedback"), (F.col("doc_id") % 11).alias("score"))
     done = t.documents.join(t.labels.where(F.col("toxic") == 1), "doc_id", "left_semi").select(*key)
-    return plan.classify_feedback(rows, RULES, done, "2024-01-31 00:00:00")
+    # the seed comes with the package; executors read it from the shared folder
+    path = scratch_path(t.spark, "feedback-rules")
+    with open(SEED, newline="") as lines:
+        listed = [tuple(v or None for v in r.values()) for r in csv.DictReader(lines)]
+    t.spark.createDataFrame(listed, ", ".join(f"{c.split()[0]} string" for c in SEED_COLUMNS.split(", "))).write.csv(path, header=True)
+    rules = load_word_rules(files.seed(t.spark, path, SEED_COLUMNS))
+    return plan.classify_feedback(rows, rules, done, "2024-01-31 00:00:00")
 
 
 @query("j56_classify_feedback", s.with_("classified") + "SELECT * FROM classified")

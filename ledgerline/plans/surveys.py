@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import payload, text
-from ..functions.rules import first_match
+from ..functions.rules import WordRule, first_match, first_word_rule
 from ..operators import aggregate, joins, merge, windows
 
 USER = ["server_id", "user_id"]
@@ -185,39 +185,17 @@ def category_of(subcategory: Column | str, otherwise: Column | None = None) -> C
     return out if otherwise is None else out.otherwise(otherwise)
 
 
-def word(stem: str, endings: str = "") -> str:
-    """Pattern of a word or phrase with one of the endings (``s|ing``), between separators."""
-    tail = f"(?:{endings})?" if endings else ""
-    return rf"(?:^|[ .;,:\n\t\-\"'/]){stem}{tail}(?:[.;, /\n\t\-\"'?!]|$)"
-
-
-def rule_test(feedback: Column, score: Column, rule: dict) -> Column:
-    """One rule: every group of ``all`` needs one matching pattern, with optional score and length bounds."""
-    lowered = F.lower(feedback)
-    test = F.lit(True)
-    for group in rule.get("all", []):
-        test = test & reduce(lambda a, b: a | b, [lowered.rlike(p) for p in group])
-    if "min_score" in rule:
-        test = test & (score >= rule["min_score"])
-    if "max_score" in rule:
-        test = test & (score <= rule["max_score"])
-    if "shorter_than" in rule:
-        test = test & (F.length(feedback) < rule["shorter_than"])
-    if "longer_than" in rule:
-        test = test & (F.length(feedback) > rule["longer_than"])
-    return test
-
-
-def classify_feedback(feedback: DataFrame, rules: Sequence[dict], done: DataFrame | None, categorized_at: str) -> DataFrame:
+def classify_feedback(feedback: DataFrame, rules: Sequence[WordRule], done: DataFrame | None, categorized_at: str) -> DataFrame:
     """Subcategory by the first rule that holds and its category, for feedback not classified yet.
 
-    ``feedback``: last_feedback_date, server_id, user_id, feedback, score. ``rules`` are ordered
-    dictionaries with ``subcategory`` and the conditions of :func:`rule_test`; whole texts are matched.
+    ``feedback``: last_feedback_date, server_id, user_id, feedback, score. ``rules`` are ordered (:func:`load_word_rules` reads
+    them from a seed file); whole texts are matched.
     """
     key = ["last_feedback_date", "server_id", "user_id"]
     rows = feedback if done is None else feedback.join(done.select(*key), key, "left_anti")
-    tests = [(rule_test(F.col("feedback"), F.col("score"), r), r["subcategory"]) for r in rules]
-    out = rows.withColumn("subcategory", first_match(tests, "Manual Input Required"))
+    named = feedback.sparkSession.createDataFrame([(n, r.value) for n, r in enumerate(rules)], "position int, subcategory string")
+    out = first_word_rule(rows.select(*key, "feedback", "score"), "feedback", "score", rules).join(F.broadcast(named), "position", "left")
+    out = out.withColumn("subcategory", F.coalesce("subcategory", F.lit("Manual Input Required")))
     return out.select(
         *key, category_of("subcategory").alias("category"), "subcategory", F.lit(categorized_at).cast("timestamp_ntz").alias("categorized_at"),
         F.lit("Automated Categorization").alias("categorized_by"), F.lit(False).alias("manually_categorized"),

@@ -1,12 +1,14 @@
 """Pipelines on small frames whose results are worked out by hand or by brute force."""
 
 import random
+import re
 from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ledgerline.functions.rules import WordRule, expand, first_word_rule
 from ledgerline.plans import activity, features, licenses, revenue, surveys, web
 
 
@@ -122,14 +124,43 @@ def test_known_licences_leave_out_ambiguous_reports(spark):
     ("Password reset fails again", 3, "Account Authorization"), ("It works well", 9, "Praise"), ("It works well", 3, "Invalid"), ("short", 9, "Invalid"), ("passwordless words but long", 2, "Manual Input Required"),
 ])
 def test_feedback_rules(spark, text, score, expected):
-    w = surveys.word
-    rules = [{"subcategory": "Account Authorization", "all": [[w("password", "s")]]}, {"subcategory": "Praise", "all": [[w("work", "s|ing")], [w("well")]], "min_score": 7}, {"subcategory": "Invalid", "shorter_than": 14}]
+    rules = [WordRule("Account Authorization", [expand("password(s)?")]), WordRule("Praise", [expand("work(s|ing)?"), ["well"]], min_score=7), WordRule("Invalid", shorter_than=14)]
     df = spark.createDataFrame([(d("2024-01-01"), "s", "u", text, score)], "last_feedback_date date, server_id string, user_id string, feedback string, score int")
     row = surveys.classify_feedback(df, rules, None, "2024-01-02 00:00:00").first()
     assert row["subcategory"] == expected
     assert row["category"] == {"Account Authorization": "UX Feedback", "Praise": "Praise", "Invalid": "Invalid", "Manual Input Required": "Manual Input Required"}[expected]
 
 
+def test_word_rules_are_found_like_their_patterns(spark):
+    """A thousand rules against plain patterns tried in order."""
+    assert expand("fi(x|xes)|work(s|ing)?|sign on|a(b|c)d(e)?") == ["fix", "fixes", "works", "working", "work", "sign on", "abde", "abd", "acde", "acd"]
+    rnd = random.Random(4)
+    words = ["ab", "abs", "cd", "e", "fg", "x1", "mö", "on", "in", "up"]
+    phrases = [f"{a}{sep}{b}" for a in words for b in words for sep in (" ", "-", ", ", "/", ": ")]
+    rules = []
+    for n in range(1000):
+        groups = [rnd.sample(words, 2) + rnd.sample(phrases, 2) if n % 3 else [rnd.choice(phrases)] for _ in range(rnd.randint(2, 4))]
+        rules.append(WordRule(str(n), groups, rnd.choice([None, 3]), rnd.choice([None, 8]), rnd.choice([None, 60]), rnd.choice([None, 20])))
+    rules[700:700] = [WordRule("plain", [], longer_than=90), WordRule("none", [["zz", "(.*)"]])]
+    texts = ["".join(rnd.choice(words) + rnd.choice([" ", "-", ", ", "/", "?", ": ", "! ", "\n", "'", "Z"]) for _ in range(rnd.randint(0, 30))).upper() for _ in range(150)] + [None, "", "(.*)", "a ? b"]
+    rows_ = [(i, t, rnd.choice([None, 2, 5, 9])) for i, t in enumerate(texts)]
+
+    def plain(text, score):
+        for n, r in enumerate(rules):
+            low = (text or "").lower()
+            if text is None or (r.min_score and (score is None or score < r.min_score)) or (r.max_score and (score is None or score > r.max_score)):
+                continue
+            if (r.shorter_than and len(text) >= r.shorter_than) or (r.longer_than and len(text) <= r.longer_than):
+                continue
+            if all(any(re.search(rf"(?:^|[ .;,:\n\t\-\"'/]){re.escape(w)}(?:[.;, /\n\t\-\"'?!]|$)", low) for w in g) for g in r.groups):
+                return n
+        return None
+
+    df = spark.createDataFrame(rows_, "i int, text string, score int")
+    got = {r["i"]: r["position"] for r in first_word_rule(df, "text", "score", rules).collect()}
+    assert got == {i: plain(t, sc) for i, t, sc in rows_} and len(set(got.values())) > 20
+
+
 def test_carried_score_ends_after_ninety_days(spark):
     df = spark.createDataFrame([("s", "u", d("2024-01-01"), at("2024-01-01 10:00"), "9.0", 10, "user")], "server_id string, user_id string, event_date date, timestamp timestamp_ntz, server_version_full string, score int, user_role string")
     got = {str(r["activity_date"]): r["promoters_last90d"] for r in surveys.nps_user_spined(df, "2024-12-31", "2023-01-01").collect()}
