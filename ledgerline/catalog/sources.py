@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import functions as F
 
 from ..functions.text import surrogate_key
-from ..operators import merge
+from ..operators import merge, tables
 from ..session import scratch_path
 from ..sources import files, packets
 from . import standins as s
@@ -16,6 +16,13 @@ from .registry import mart, query
 TRACKS = s.with_("tracks")
 
 
+def kept(t, rows, by, mark=None):
+    """A table that earlier loads have written, in parts by ``by``."""
+    table = tables.PartTable(t.spark, scratch_path(t.spark, "table"), by, mark)
+    table.merge(rows, lambda new, _: new)
+    return table
+
+
 @query("a01_scan_table", "SELECT * FROM orders")
 def _(t):
     return files.scan(t.spark, t.folder, "orders")
@@ -95,7 +102,8 @@ SELECT id, received_at FROM tracks n WHERE NOT EXISTS (SELECT 1 FROM tracks o WH
 def _(t):
     rows = s.tracks(t).select("id", "received_at")
     loaded = rows.where(F.col("received_at") < s.ts("2024-01-20 00:00:00"))
-    return merge.incremental_append(rows, loaded, ["id"])
+    table = kept(t, loaded.withColumn("day", F.to_date("received_at")), "day", "received_at")
+    return table.append(rows.withColumn("day", F.to_date("received_at")), ["id"]).drop("day")
 
 
 USER_DAYS = """
@@ -129,14 +137,18 @@ SELECT coalesce(o.daily_user_id, n.daily_user_id) AS daily_user_id, coalesce(o.a
 FROM old o FULL JOIN new n ON o.daily_user_id = n.daily_user_id""")
 def _(t):
     old, new = _user_days(t)
-    return merge.incremental_merge(new, old, ["daily_user_id"], ["received_at_date"])
+    table = kept(t, old, "activity_date")
+    table.merge(new, lambda rows, there: merge.incremental_merge(rows, there, ["daily_user_id"], ["received_at_date"]))
+    return table.read().drop(tables.PART)
 
 
 @query("a12_incremental_delete_insert", TRACKS + USER_DAYS + """
 SELECT * FROM old WHERE activity_date NOT IN (SELECT activity_date FROM new) UNION ALL SELECT * FROM new""")
 def _(t):
     old, new = _user_days(t)
-    return merge.delete_insert(new, old, ["activity_date"])
+    table = kept(t, old, "activity_date")
+    table.merge(new, lambda rows, there: merge.delete_insert(rows, there, ["activity_date"]))
+    return table.read().drop(tables.PART)
 
 
 @query("a13_high_water_mark", TRACKS + """
@@ -240,17 +252,19 @@ def _(t):
     rows = s.tracks(t).withColumnRenamed("event", "source")
     old = rows.where(F.col("timestamp") < s.ts("2024-01-20 00:00:00")).groupBy("server_id", "source").agg(F.count("*").alias("n"))
     new = rows.where(F.col("source").isin("click", "view")).groupBy("server_id", "source").agg(F.count("*").alias("n"))
-    return merge.delete_insert(new, old, ["server_id", "source"])
+    table = kept(t, old, "source")
+    table.merge(new, lambda rows, there: merge.delete_insert(rows, there, ["server_id", "source"]))
+    return table.read().drop(tables.PART)
 
 
 @query("a23_daily_snapshot", """
 SELECT c_custkey, c_acctbal, DATE '2024-01-30' AS snapshot_date FROM customer
 UNION ALL SELECT c_custkey, c_acctbal, DATE '2024-01-31' FROM customer""")
 def _(t):
-    table = t.customer.select("c_custkey", "c_acctbal")
-    first = merge.daily_snapshot(table, None, "2024-01-30")
-    second = merge.daily_snapshot(table, first, "2024-01-31")
-    return merge.daily_snapshot(table, second, "2024-01-31")
+    table, history = t.customer.select("c_custkey", "c_acctbal"), tables.PartTable(t.spark, scratch_path(t.spark, "snapshots"), "snapshot_date")
+    for day in ("2024-01-30", "2024-01-31", "2024-01-31"):
+        history.snapshot(table, day)
+    return history.read().drop(tables.PART)
 
 
 @query("a24_update_from", """
@@ -259,8 +273,10 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def _(t):
     source = t.customer.where(F.col("c_mktsegment") == "BUILDING").join(
         t.nation, F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("c_custkey", F.col("n_name").alias("c_name"))
-    return merge.update_from(t.customer.select("c_custkey", "c_name"), source, ["c_custkey"], ["c_name"])
+    ).select("c_custkey", "c_mktsegment", F.col("n_name").alias("c_name"))
+    table = kept(t, t.customer.select("c_custkey", "c_name", "c_mktsegment"), "c_mktsegment")
+    table.merge(source, lambda rows, there: merge.update_from(there, rows, ["c_custkey"], ["c_name"]))
+    return table.read().select("c_custkey", "c_name")
 
 
 @query("a25_delete_using", """
@@ -268,10 +284,13 @@ SELECT o_orderkey, o_totalprice FROM orders o WHERE NOT EXISTS
   (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal * 50 < o.o_totalprice)""")
 def _(t):
     orders = t.orders.withColumnRenamed("o_custkey", "c_custkey")
-    kept = merge.delete_using(
-        orders, t.customer, ["c_custkey"], lambda o, c: c("c_acctbal") * 50 < o("o_totalprice")
-    )
-    return kept.select("o_orderkey", "o_totalprice")
+    table = tables.HashTable(t.spark, scratch_path(t.spark, "orders"), ["c_custkey"], 20_000, mark="o_totalprice")
+    table.merge(orders, lambda rows, there: rows)
+    # no order costs more than the manifest says, so customers above that balance delete nothing
+    dearest = max((f["high"] for files in table.manifest().parts.values() for f in files if f["high"] is not None), default=0)
+    poor = t.customer.where(F.col("c_acctbal") * 50 < dearest).select("c_custkey", "c_acctbal")
+    table.merge(poor, lambda rows, there: merge.delete_using(there, rows, ["c_custkey"], lambda o, c: c("c_acctbal") * 50 < o("o_totalprice")))
+    return table.read().select("o_orderkey", "o_totalprice")
 
 
 @query("a26_sync_diff", """

@@ -39,12 +39,11 @@ def _(t):
 def _(t):
     unique = jobs.dedupe(jobs.file_stream(t.spark, daily_files(t, 2), t.events.schema), ["event_id"], "ts", "40 days")
     root, state = scratch_path(t.spark, "daily"), scratch_path(t.spark, "daily-state")
-    add = jobs.add_counts(["window_start", "event_type"], ["n"])
-    day = F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start")
-    jobs.upsert_batches(
-        unique, root, lambda batch, old: add(batch.groupBy(day, "event_type").agg(F.count("*").alias("n")), old), state
-    ).awaitTermination()
-    return t.spark.read.parquet(jobs.latest_version(t.spark, root))
+    key = ["window_start", "event_type"]
+    add = jobs.add_counts(key, ["n"])
+    ones = unique.select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("window_start"), "event_type", F.lit(1).cast("long").alias("n"))
+    jobs.upsert_touched(ones, root, key, state, add, mode="append").awaitTermination()
+    return jobs.kept(t.spark, root, key, ones.schema)
 
 
 @query("l04_sliding_active_users", """
@@ -62,12 +61,12 @@ def _(t):
     root, state = scratch_path(t.spark, "upsert"), scratch_path(t.spark, "upsert-state")
 
     def combine(batch, old):
-        newest = batch.unionByName(old).groupBy("user_id", "_part").agg(F.max_by(F.struct("ts", "event_id", "event_type"), F.struct("ts", "event_id")).alias("top"))
-        return newest.select("user_id", "top.*", "_part")
+        newest = batch.unionByName(old).groupBy("user_id").agg(F.max_by(F.struct("ts", "event_id", "event_type"), F.struct("ts", "event_id")).alias("top"))
+        return newest.select("user_id", "top.*")
 
     rows = stream.select("user_id", "ts", "event_id", "event_type")
     jobs.upsert_touched(rows, root, ["user_id"], state, combine, mode="append").awaitTermination()
-    final = t.spark.read.parquet(root)
+    final = jobs.kept(t.spark, root, ["user_id"], rows.schema)
     return final.select("user_id", F.col("ts").alias("last_seen"), F.col("event_type").alias("last_event"))
 
 
@@ -83,12 +82,11 @@ def _(t):
         touched = [r["day"] for r in batch.select("day").distinct().collect()]
         landed = t.spark.read.schema(t.events.schema.add("day", "date")).parquet(path).where(F.col("day").isin(touched))
         rows = landed.groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
-        rebuilt = rows.join(batch.select("day", "_part").distinct(), "day").select("day", "n", "users", "_part")
-        return old.join(rebuilt.select("day"), "day", "left_anti").unionByName(rebuilt)
+        return old.join(rows.select("day"), "day", "left_anti").unionByName(rows)
 
     days = stream.select(F.to_date("ts").alias("day"), F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("users"))
     jobs.upsert_touched(days, root, ["day"], state, combine, mode="append").awaitTermination()
-    return t.spark.read.parquet(root).select("day", "n", "users")
+    return jobs.kept(t.spark, root, ["day"], days.schema)
 
 
 @query("l07_first_last_seen", "SELECT event_type, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS n FROM events GROUP BY 1")

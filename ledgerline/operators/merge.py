@@ -172,14 +172,6 @@ def build_delta(source: DataFrame, base: DataFrame, key: str = "id", ts: str = "
     return source.where(F.col(ts) >= since).join(base.where(F.col(ts) >= since).select(key), key, "left_anti")
 
 
-def daily_snapshot(table: DataFrame, history: DataFrame | None, as_of: str) -> DataFrame:
-    """History with one dated copy of the table; a rerun of the same day replaces that day only."""
-    copy = table.withColumn("snapshot_date", F.lit(as_of).cast("date"))
-    if history is None:
-        return copy
-    return history.where(F.col("snapshot_date") != F.lit(as_of).cast("date")).unionByName(copy, allowMissingColumns=True)
-
-
 def update_from(target: DataFrame, source: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Set the columns from the matching source row, leave other rows alone."""
     s = source.select(*key, *[F.col(c).alias(f"_s_{c}") for c in columns]).withColumn("_hit", F.lit(True))

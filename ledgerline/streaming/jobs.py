@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import merge
-from ..session import materialize, scratch_path
+from ..operators import tables
+from ..session import scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -56,92 +56,33 @@ def enrich(events: DataFrame, dimension: DataFrame, key: Sequence[str]) -> DataF
     return events.join(dimension, list(key), "left")
 
 
-def upsert_batches(stream: DataFrame, state_root: str, combine: Callable[[DataFrame, DataFrame | None], DataFrame],
-                   checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Keyed table kept as versions ``v=<batch>`` under ``state_root``.
+def upsert_touched(stream: DataFrame, root: str, key: Sequence[str], checkpoint: str, combine: tables.Combine | None = None, part_rows: int = tables.PART_ROWS, mode: str = "update") -> StreamingQuery:
+    """Keyed table of which a batch reads and writes only the parts of its keys; parts that outgrow ``part_rows`` are split.
 
-    A batch reads the newest complete version before it and writes its own, so a repeated batch
-    gives the same version again and a lost executor only repeats the batch.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = latest_version(spark, state_root, below=batch_id)
-        old = None if before is None else spark.read.parquet(before)
-        combine(batch, old).write.mode("overwrite").parquet(f"{state_root}/v={batch_id}")
-        drop_versions(spark, state_root, below=batch_id - 1)
-
-    return (
-        stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def upsert_touched(stream: DataFrame, root: str, key: Sequence[str], checkpoint: str, combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-                   parts: int = 16, mode: str = "update") -> StreamingQuery:
-    """Keyed table dealt into ``parts`` partitions by the key's hash, of which a batch reads and writes only those it touches.
-
-    ``combine(rows, old)`` gives the new rows of the touched partitions; by default a row of the batch replaces the row
-    of its key. It must give the same result when a batch is repeated, as replacing does.
+    ``combine(rows, old)`` gives the new rows of these parts; by default a row of the batch replaces the row of its key. A batch
+    is committed once: when the stream repeats it, the table already names its number and stays as it is.
     """
+    table = tables.HashTable(stream.sparkSession, root, key, part_rows)
 
     def replace(rows: DataFrame, old: DataFrame) -> DataFrame:
         return old.join(rows.select(F.struct(*key).alias("_key")), F.struct(*[old[k] for k in key]) == F.col("_key"), "left_anti").unionByName(rows)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = materialize(batch.withColumn("_part", F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int")), "touched")
-        touched = [r[0] for r in rows.select("_part").distinct().collect()]
-        if not touched:
-            return
-        old = spark.read.schema(rows.schema).parquet(root).where(F.col("_part").isin(touched)) if exists(spark, root) else rows.limit(0)
-        merge.write_partitions(materialize((combine or replace)(rows, old), "merged"), root, "_part")
+        if table.merge(batch, combine or replace, batch_id):
+            table.vacuum()
 
     return stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def file_system(spark: SparkSession, path: str):
-    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), base
-
+def kept(spark: SparkSession, root: str, key: Sequence[str], schema) -> DataFrame:
+    """The rows of a table kept by :func:`upsert_touched`."""
+    rows = tables.HashTable(spark, root, key).read()
+    return spark.createDataFrame([], schema) if rows is None else rows.drop(tables.PART)
 
-def exists(spark: SparkSession, path: str) -> bool:
-    fs, base = file_system(spark, path)
-    return fs.exists(base)
 
-
-def drop_versions(spark: SparkSession, root: str, below: int) -> None:
-    """Remove versions before ``below``; the one a repeated batch would start from stays."""
-    fs, base = file_system(spark, root)
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < below:
-            fs.delete(status.getPath(), True)
-
-
-def latest_version(spark: SparkSession, root: str, below: int | None = None) -> str | None:
-    """Newest ``v=<n>`` folder with a success marker."""
-    fs, base = file_system(spark, root)
-    if not fs.exists(base):
-        return None
-    found = []
-    for status in fs.listStatus(base):
-        name = status.getPath().getName()
-        if name.startswith("v=") and exists(spark, f"{root}/{name}/_SUCCESS"):
-            number = int(name[2:])
-            if below is None or number < below:
-                found.append(number)
-    return f"{root}/v={max(found)}" if found else None
-
-
-def add_counts(key: Sequence[str], measures: Sequence[str]):
+def add_counts(key: Sequence[str], measures: Sequence[str]) -> tables.Combine:
     """``combine`` that adds the batch's counts to the table's."""
-
-    def combine(batch: DataFrame, old: DataFrame | None) -> DataFrame:
-        both = batch if old is None else old.unionByName(batch)
-        return both.groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
-
-    return combine
+    return lambda rows, old: old.unionByName(rows).groupBy(*key).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def drain(stream: DataFrame, label: str, key: Sequence[str] | None = None) -> DataFrame:
@@ -159,4 +100,4 @@ def drain(stream: DataFrame, label: str, key: Sequence[str] | None = None) -> Da
         return spark.read.schema(stream.schema).parquet(out)
 
     upsert_touched(stream, out, key, checkpoint).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+    return kept(spark, out, key, stream.schema).select(*stream.columns)
