@@ -243,7 +243,7 @@ SELECT md5(coalesce(u.server_id, r.server_id) || '-' || coalesce(u.activity_date
  u.server_id IS NOT NULL AS has_user_telemetry_data, r.server_id IS NOT NULL AS has_server_telemetry_data
 FROM active_users u FULL JOIN own_reports r ON u.server_id = r.server_id AND u.activity_date = r.activity_date""")
 def _(t):
-    return plan.active_users_fact(user_spine(t), own_reports(t))
+    return plan.active_users_fact(current_daily(t), legacy_daily(t), s.AS_OF, own_reports(t))
 
 
 @query("j07_latest_daily", s.with_("telemetry_daily_report") + """
@@ -294,7 +294,7 @@ def _(t):
 SELECT l.server_id, f AS active_since_date, u.server_id IS NOT NULL AS is_active_at_day_28, coalesce(daily_active_users, 0) AS daily_active_users, coalesce(server_daily_active_users, 0) AS server_daily_active_users
 FROM life l LEFT JOIN active_users u ON u.server_id = l.server_id AND u.activity_date = f + 28 LEFT JOIN own_reports r ON r.server_id = l.server_id AND r.activity_date = f + 28""")
 def _(t):
-    fact = mart(plan.active_users_fact(user_spine(t), own_reports(t)), "active-users")
+    fact = mart(plan.active_users_fact(current_daily(t), legacy_daily(t), s.AS_OF, own_reports(t)), "active-users")
     info = fact.where("has_user_telemetry_data").groupBy("server_id").agg(F.min("activity_date").alias("first_activity_date"))
     ages = fact.join(info, "server_id").select("daily_server_id", F.datediff("activity_date", "first_activity_date").alias("age_in_days"))
     return plan.retention_at_day(fact, info, ages)

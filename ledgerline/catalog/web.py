@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans import calendars, web as plan
 from . import standins as s
-from .registry import query
+from .registry import mart, query
 
 # ---------------------------------------------------------------- security pings
 
@@ -103,7 +103,8 @@ DOWNLOAD = ["request_id", "log_at", "client_ip", "uri", "download_type", "operat
 SELECT request_id, log_at, client_ip, uri, download_type, operating_system, version, l_linenumber AS version_minor, 'Firefox' AS ua_browser_family, md5(log_date || '-' || client_ip) AS daily_ip_id, md5(client_ip || '-' || agent) AS client_fingerprint
 FROM release_entries WHERE response_bytes > 1000000 AND status < 300 AND version IS NOT NULL AND http_method = 'GET' QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY log_at, client_ip, uri) = 1""")
 def _(t):
-    return plan.downloads(plan.release_log_entries(release_logs(t))).select(*DOWNLOAD)
+    # dealt by request first: the paths are parsed by all tasks, and the rows of a request are together already
+    return plan.downloads(plan.release_log_entries(release_logs(t).repartition("request_id"))).select(*DOWNLOAD)
 
 
 @query("j44_daily_first_downloads", s.with_("release_entries") + """
@@ -117,7 +118,7 @@ def _(t):
 u AS (SELECT uri, avg(response_bytes) AS a, stddev_samp(response_bytes) AS sd, sum(response_bytes)::DOUBLE / count(*) AS bytes_uri_avg FROM d GROUP BY 1), f AS (SELECT client_ip, min(log_at) AS first_install_at FROM d GROUP BY 1)
 SELECT request_id, log_at, d.uri, response_bytes, bytes_uri_avg, first_install_at FROM d JOIN u USING (uri) JOIN f USING (client_ip) WHERE response_bytes > 1000000 AND NOT coalesce(abs(response_bytes - a) > sd, false)""")
 def _(t):
-    out = plan.downloads_outlier_filtered(plan.release_log_entries(release_logs(t)))
+    out = plan.downloads_outlier_filtered(mart(plan.release_log_entries(release_logs(t)), "release-entries"))
     return out.select("request_id", "log_at", "uri", "response_bytes", "bytes_uri_avg", "first_install_at")
 
 

@@ -61,9 +61,12 @@ def product(left: DataFrame, right: DataFrame, buckets: int = 16) -> DataFrame:
 def prefix_join(full: DataFrame, prefixes: DataFrame, text: str, prefix: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows of ``full`` whose ``text`` starts with the other side's ``prefix``, within equal keys.
 
-    Every text is repeated once per leading part, so the match is an equality and a hot key holds no pairs that do not match.
+    A text is cut only at the lengths that prefixes have (read first, at most one number per length), so the match is an equality, a text is repeated
+    at most once per such length, and a hot key holds no pairs that do not match.
     """
-    parts = full.withColumn("_part", F.explode(F.transform(F.sequence(F.lit(0), F.length(text)), lambda n: F.left(F.col(text), n))))
+    lengths = sorted(r[0] for r in prefixes.select(F.length(prefix)).distinct().collect() if r[0] is not None)
+    cut = F.explode(F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(text)))
+    parts = full.withColumn("_length", cut).withColumn("_part", F.left(F.col(text), F.col("_length"))).drop("_length")
     return parts.join(prefixes.withColumn("_part", F.col(prefix)), [*keys, "_part"]).drop("_part")
 
 

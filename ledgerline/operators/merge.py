@@ -26,11 +26,25 @@ def since_mark(source: DataFrame, target: DataFrame, column: str, back: timedelt
     return source.where(F.col(column) >= limit if inclusive else F.col(column) > limit)
 
 
+def source_marks(target: DataFrame, tag: str, column: str) -> dict:
+    """Latest value per source as Python literals; there is one row per source."""
+    return {r[0]: r[1] for r in target.groupBy(tag).agg(F.max(column)).collect()}
+
+
 def per_source_marks(source: DataFrame, target: DataFrame, tag: str, column: str) -> DataFrame:
-    """Rows newer than the mark of their own source; sources without a mark are taken whole."""
-    marks = target.groupBy(tag).agg(F.max(column).alias("_mark"))
-    joined = source.join(marks, tag, "left")
-    return joined.where(F.col("_mark").isNull() | (F.col(column) > F.col("_mark"))).drop("_mark")
+    """Rows newer than the mark of their own source; sources without a mark are taken whole.
+
+    The marks are literals of the filter, which reaches the scan; rows of several relations are better filtered one by one
+    before their union.
+    """
+    marks = {k: v for k, v in source_marks(target, tag, column).items() if k is not None and v is not None}
+    if not marks:
+        return source
+    by_mark: dict = {}
+    for name, mark in marks.items():
+        by_mark.setdefault(mark, []).append(name)
+    unknown = F.col(tag).isNull() | ~F.col(tag).isin(sorted(marks))
+    return source.where(reduce(lambda a, b: a | b, [F.col(tag).isin(sorted(names)) & (F.col(column) > F.lit(mark)) for mark, names in by_mark.items()], unknown))
 
 
 def slowest_source_mark(target: DataFrame, tag: str, column: str):

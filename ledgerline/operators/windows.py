@@ -49,6 +49,15 @@ def earliest(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     return top_k(df, keys, [F.col(c).asc_nulls_last() for c in order])
 
 
+def first_of_few(df: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
+    """First row per key for keys that rarely repeat: one shuffle and one sort.
+
+    A rank filter would also sort every task's rows before the shuffle, which drops next to nothing here.
+    """
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.withColumn("_later", F.lag(F.lit(True)).over(w)).where(F.col("_later").isNull()).drop("_later")
+
+
 def latest_flag(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "is_latest") -> DataFrame:
     """Keep all rows, mark the latest. The maximum per key is a plain aggregate joined back, so a
     hot key neither sorts in one task nor blocks the skew split of the join."""

@@ -102,14 +102,54 @@ def user_activity_spined(current: DataFrame, legacy: DataFrame, as_of: str) -> D
     return spine_flags(_merged_flags(current, legacy), ["server_id", "user_id"], "activity_date", METRICS, as_of)
 
 
+def active_counts(active: DataFrame, keys: Sequence[str], member: str, day: str, counters: dict[str, tuple[str, int]], last_day: str) -> DataFrame:
+    """Exact numbers of members per key and day, dense from the key's first day to ``last_day``, without a dense spine of members.
+
+    ``counters`` names (metric, days): a member counts on a day if the metric held on it or the ``days - 1`` days before. ``active`` has
+    one row per key, member and active day, with a flag per metric. An active day opens the counters that its predecessor no
+    longer covers, and closes each at the end of its span if no later day has taken over: at most one opening and one closing row per active day and
+    span, with a bit per counter. Their sums per key and day, added up over the key's days, are the counts.
+    """
+    rows = active.where(F.col(day) <= F.lit(last_day).cast("date"))
+    metrics, spans = sorted({m for m, _ in counters.values()}), sorted({n for _, n in counters.values()})
+    # the expressions are many and alike, so they are written as SQL text
+    earlier = f"OVER (PARTITION BY {', '.join([*keys, member])} ORDER BY {day} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    # later days in falling order: a frame that ends with the partition would be added up anew for every row
+    later = earlier.replace(f"ORDER BY {day}", f"ORDER BY {day} DESC")
+    near = rows.selectExpr(
+        *keys, day, *metrics, *[f"coalesce(datediff({day}, max(IF({m}, {day}, NULL)) {earlier}), {FOREVER}) AS _p_{m}" for m in metrics],
+        *[f"coalesce(datediff(min(IF({m}, {day}, NULL)) {later}, {day}), {FOREVER}) AS _n_{m}" for m in metrics],
+    )
+
+    def uncovered(edge: str) -> str:
+        """Bits of the counters whose span does not reach the neighbouring day; a longer gap uncovers the shorter spans as well."""
+        each = []
+        for m in metrics:
+            own = {n: 1 << i for i, (x, n) in enumerate(counters.values()) if x == m}
+            cases = " ".join(f"WHEN {edge}{m} >= {n} THEN {sum(b for k, b in own.items() if k <= n)}L" for n in sorted(own, reverse=True))
+            each.append(f"IF({m}, CASE {cases} ELSE 0L END, 0L)")
+        return " | ".join(each)
+
+    edges = near.selectExpr(*keys, day, f"{uncovered('_p_')} AS _open", f"{uncovered('_n_')} AS _close")
+    of = {n: sum(1 << i for i, (_, k) in enumerate(counters.values()) if k == n) for n in spans}
+    mark = lambda at, sign, bits: f"named_struct('{day}', {at}, '_sign', {sign}, '_bits', {bits})"
+    marks = [mark(day, 1, "_open"), *[mark(f"date_add({day}, {n})", -1, f"_close & {of[n]}L") for n in spans]]
+    changes = edges.selectExpr(*keys, f"inline(array({', '.join(marks)}))")
+    changes = changes.where((F.col("_bits") != 0) & (F.col(day) <= F.lit(last_day).cast("date")))
+    # the days themselves are rows without bits, so no join with a calendar is needed
+    first = rows.groupBy(*keys).agg(F.min(day).alias("_a"))
+    days = joins.dense_days(first, "_a", F.lit(last_day).cast("date"), day).selectExpr(*keys, day, "1 AS _sign", "0L AS _bits")
+    daily = changes.unionByName(days).groupBy(*keys, day).agg(*[F.expr(f"sum(IF(_bits & {1 << i}L != 0, _sign, 0)) AS {c}") for i, c in enumerate(counters)])
+    # rows per key are its days
+    running = f"OVER (PARTITION BY {', '.join(keys)} ORDER BY {day} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    return daily.selectExpr(*keys, day, *[f"sum({c}) {running} AS {c}" for c in counters])
+
+
 def product_user_activity(daily: DataFrame, as_of: str) -> DataFrame:
     """Daily, weekly and monthly active users per server-day of one product."""
-    spine = spine_flags(daily, ["server_id", "user_id"], "activity_date", ["is_active"], as_of)
-    count = lambda flag: F.count_if(F.col(flag))
-    return spine.groupBy("activity_date", "server_id").agg(
-        count("is_active_today").alias("daily_active_users"), count("is_active_last_7_days").alias("weekly_active_users"),
-        count("is_active_last_30_days").alias("monthly_active_users"),
-    ).withColumn("daily_server_id", text.surrogate_key(*SERVER_DAY))
+    counters = {f"{span}_active_users": ("is_active", n) for span, n in SPAN_DAYS.items()}
+    counted = active_counts(daily, ["server_id"], "user_id", "activity_date", counters, as_of)
+    return counted.withColumn("daily_server_id", text.surrogate_key(*SERVER_DAY))
 
 
 FACT_COLUMNS = {
@@ -118,16 +158,19 @@ FACT_COLUMNS = {
     "is_webapp": "webapp_active_users", "is_unknown": "unknown_active_users",
 }
 SPANS = {"daily": "today", "weekly": "last_7_days", "monthly": "last_30_days"}
+#: A gap longer than any span.
+FOREVER = 1_000_000
+SPAN_DAYS = {"daily": 1, "weekly": 7, "monthly": 30}
 REPORTED = [
     "count_registered_users", "count_registered_deactivated_users", "count_public_channels", "count_private_channels", "count_teams",
     "count_slash_commands", "count_direct_message_channels", "count_posts",
 ]
 
 
-def active_users_fact(user_spine: DataFrame, server_spine: DataFrame | None = None) -> DataFrame:
-    """Active users per server-day and client, next to the counts the server itself reported."""
-    names = {f"{span}_{name}": f"{m}_{suffix}" for m, name in FACT_COLUMNS.items() for span, suffix in SPANS.items()}
-    counted = user_spine.groupBy("activity_date", "server_id").agg(*[F.count_if(F.col(flag)).alias(n) for n, flag in names.items()])
+def active_users_fact(current: DataFrame, legacy: DataFrame, as_of: str, server_spine: DataFrame | None = None) -> DataFrame:
+    """Active users per server-day and client of both pipelines, next to the counts the server itself reported."""
+    names = {f"{span}_{name}": (m, n) for m, name in FACT_COLUMNS.items() for span, n in SPAN_DAYS.items()}
+    counted = active_counts(_merged_flags(current, legacy), ["server_id"], "user_id", "activity_date", names, as_of)
     if server_spine is None:
         return counted.withColumn("daily_server_id", text.surrogate_key(*SERVER_DAY))
     reported = [c for c in REPORTED if c in server_spine.columns]

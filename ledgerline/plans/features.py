@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import agents, rules as rule, text
 from ..operators import aggregate, joins, merge, windows
@@ -106,12 +106,26 @@ def feature_spine(usage: DataFrame, as_of: str, start: str, days: int = 29) -> D
     known = usage.where(F.col("count_known_features") > 0).select("server_id").distinct()
     used = usage.where(F.col("activity_date") >= F.lit(start).cast("date")).join(known, "server_id", "left_semi")
     last = F.least(F.lit(as_of).cast("date"), F.date_add(F.max("activity_date"), days))
-    span = used.groupBy("server_id", "user_id").agg(F.min("activity_date").alias("_a"), last.alias("_b"))
-    dense = joins.dense_days(span, "_a", "_b").select(*USER_DAY).join(
-        used.select(*USER_DAY, *counters, F.lit(1).alias("is_active")), USER_DAY, "left"
+    # A counter steps up on its day and down when the frame has passed it: two rows per active day, added up on these
+    # rows only and spread over the days last.
+    up = F.struct(F.col("activity_date").alias("_at"), F.lit(1).alias("_sign"))
+    down = F.struct(F.date_add("activity_date", days + 1).alias("_at"), F.lit(-1).alias("_sign"))
+    steps = used.select("server_id", "user_id", *counters, F.lit(1).alias("is_active"), F.explode(F.array(up, down)).alias("_m")).select("*", "_m.*")
+    today = lambda c: F.sum(F.when(F.col("_sign") > 0, F.col(c)).otherwise(0))
+    marks = steps.groupBy("server_id", "user_id", "_at").agg(
+        *[today(c).alias(c) for c in [*counters, "is_active"]], *[F.sum(F.col(c) * F.col("_sign")).alias(f"_t_{c}") for c in [*counters, "is_active"]],
+        F.max(F.when(F.col("_sign") > 0, F.col("_at"))).alias("_active"),
     )
-    dense = dense.fillna(0, [*counters, "is_active"])
-    dense = windows.trailing_sums(dense, ["server_id", "user_id"], "activity_date", {f"_t_{c}": (c, days + 1) for c in [*counters, "is_active"]})
+    user = ["server_id", "user_id"]
+    whole = windows.window(user, "_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = F.least(F.lit(as_of).cast("date"), F.date_add(F.max("_active").over(whole), days))
+    spread = marks.select(
+        *user, "_at", *counters, "is_active", *[F.sum(f"_t_{c}").over(windows.running(user, "_at")).alias(f"_t_{c}") for c in [*counters, "is_active"]],
+        F.least(F.date_sub(F.lead("_at").over(windows.window(user, "_at")), 1), last).alias("_to"),
+    )
+    dense = joins.dense_days(spread, "_at", "_to")
+    first = F.col("activity_date") == F.col("_at")
+    dense = dense.withColumns({c: F.when(first, F.col(c)).otherwise(0) for c in counters} | {"is_active": F.when(first, F.col("is_active")).otherwise(0).cast("int")})
     out = [F.col(c) for c in ("server_id", "user_id", "activity_date")]
     flag = lambda c: F.when(F.col(c) > 0, 1).otherwise(0)
     for c in counters:
@@ -175,10 +189,11 @@ def event_first_last_seen(sources: Sequence[DataFrame], as_of: str) -> DataFrame
 
 def union_event_family(relations: dict[str, DataFrame], target: DataFrame | None, deny: Sequence[str], ts: str = "received_at") -> DataFrame:
     """One table from many event relations: column superset, names on the deny list dropped, rows newer than each relation's mark."""
+    if target is not None:
+        marks = merge.source_marks(target, "source_relation", ts)
+        relations = {name: rows if marks.get(name) is None else rows.where(F.col(ts) > F.lit(marks[name])) for name, rows in relations.items()}
     rows = merge.union_relations(relations, source_column="source_relation")
-    if deny:
-        rows = rows.where(F.col("event").isNull() | ~F.col("event").isin(list(deny)))
-    return rows if target is None else merge.per_source_marks(rows, target, "source_relation", ts)
+    return rows.where(F.col("event").isNull() | ~F.col("event").isin(list(deny))) if deny else rows
 
 
 def community_tracks(events: DataFrame, server_id: str, relation: str) -> DataFrame:

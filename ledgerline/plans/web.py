@@ -90,22 +90,23 @@ def daily_security_pick(entries: DataFrame, licences: DataFrame, as_of: str, res
 def with_release(logs: DataFrame, uri: str = "uri") -> DataFrame:
     """Type, operating system and version of a release download, from its path.
 
-    The two path patterns are tested once per row and kept as columns for the rules built on them.
+    The path rules are worked out once per row, behind a generator: a filter on their results is not moved below it, where
+    it would repeat the patterns.
     """
     path = F.col(uri)
-    rows = logs.withColumns({"_server": text.full_match(path, SERVER_RELEASE), "_desktop": path.startswith("/desktop/") & text.full_match(path, DESKTOP_RELEASE)})
-    server, desktop = F.col("_server"), F.col("_desktop")
+    server, desktop = text.full_match(path, SERVER_RELEASE), path.startswith("/desktop/") & text.full_match(path, DESKTOP_RELEASE)
+    once = logs.withColumn("_kind", F.explode(F.array(F.when(path.startswith("/desktop/"), F.when(desktop, 2)).when(server, 1))))
+    server, desktop = F.coalesce(F.col("_kind") == 1, F.lit(False)), F.coalesce(F.col("_kind") == 2, F.lit(False))
     has = lambda word: F.contains(path, F.lit(word))
-    other = server & ~path.ilike("%team%") & ~path.ilike("%enterprise%")
-    kind = first_match([(server & has("team"), "team"), (server & has("enterprise"), "enterprise"), (other, "enterprise"), (desktop, "desktop")])
-    rows = rows.withColumn("download_type", kind)
+    kind = first_match([(server & has("team"), "team"), (server & (has("enterprise") | (~path.ilike("%team%") & ~path.ilike("%enterprise%"))), "enterprise"), (desktop, "desktop")])
+    rows = once.withColumn("download_type", kind)
     packaged = F.col("download_type").isNotNull() & ~desktop
     system = first_match([
         (desktop & has("linux"), "linux"), (desktop & text.full_match(path, DESKTOP_WINDOWS), "windows"), (desktop & text.full_match(path, DESKTOP_MAC), "mac"),
         (packaged & has("linux"), "linux"), (packaged & text.full_match(path, SERVER_WINDOWS), "windows"),
     ])
     version = F.when(server, F.split_part(path, F.lit("/"), F.lit(2))).when(desktop, F.split_part(path, F.lit("/"), F.lit(3)))
-    return rows.withColumns({"operating_system": system, "version": version}).drop("_server", "_desktop")
+    return rows.withColumns({"operating_system": system, "version": version}).drop("_kind")
 
 
 def release_log_entries(logs: DataFrame) -> DataFrame:
@@ -123,7 +124,7 @@ def downloads(entries: DataFrame, min_bytes: int = 1_000_000) -> DataFrame:
     done = entries.where(
         (F.col("response_bytes") > min_bytes) & F.col("status").cast("string").like("2%") & F.col("version").isNotNull() & (F.col("http_method") == "GET")
     )
-    return windows.earliest(done, ["request_id"], "log_at", "client_ip", "uri").withColumns({
+    return windows.first_of_few(done, ["request_id"], "log_at", "client_ip", "uri").withColumns({
         "daily_ip_id": text.surrogate_key("log_date", "client_ip"), "client_fingerprint": text.surrogate_key("client_ip", "user_agent")
     })
 

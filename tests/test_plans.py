@@ -184,3 +184,61 @@ def test_hierarchy_and_clip(spark):
     assert got[("k1", "s", d("2024-02-10"))] == d("2024-01-31") and got[("k2", "s", d("2024-02-10"))] == d("2024-05-31")
     assert got[("k1", None, d("2024-01-05"))] == d("2024-04-30")
     assert rows(spark.createDataFrame([(1,)], "a int")) == [(1,)]
+
+
+def test_sweep_counts_members_like_a_scan(spark):
+    """Gaps of every length round the spans, flags that change, members of several servers, days after the end."""
+    rnd = random.Random(11)
+    start, last = date(2024, 1, 1), date(2024, 3, 20)
+    data = [(f"s{sv}", f"u{u}", start + timedelta(days=n), rnd.random() < 0.7, rnd.random() < 0.2)
+            for sv in range(3) for u in range(6) for n in sorted(rnd.sample(range(10 * sv, 90), rnd.choice([1, 3, 9, 40])))]
+    data.append(("late", "u", date(2024, 3, 25), True, True))
+    df = spark.createDataFrame(data, "server_id string, user_id string, day date, a boolean, b boolean")
+    counters = {"a1": ("a", 1), "a7": ("a", 7), "a30": ("a", 30), "b1": ("b", 1), "b7": ("b", 7), "b30": ("b", 30)}
+    got = {(r["server_id"], r["day"]): tuple(r[c] for c in counters) for r in activity.active_counts(df, ["server_id"], "user_id", "day", counters, "2024-03-20").collect()}
+    want = {}
+    for sv in ("s0", "s1", "s2"):
+        day = min(x[2] for x in data if x[0] == sv)
+        while day <= last:
+            want[sv, day] = tuple(len({x[1] for x in data if x[0] == sv and 0 <= (day - x[2]).days < n and x[3 if m == "a" else 4]}) for m, n in counters.values())
+            day += timedelta(days=1)
+    assert got == want
+
+
+def test_feature_steps_equal_trailing_sums(spark):
+    rnd = random.Random(12)
+    data = [(f"s{u % 2}", f"u{u}", date(2024, 1, 1) + timedelta(days=n), rnd.randint(0, 4), rnd.randint(0, 3)) for u in range(8) for n in sorted(rnd.sample(range(60), rnd.choice([1, 2, 12])))]
+    df = spark.createDataFrame([(s, u, x, k, o, k + o) for s, u, x, k, o in data], "server_id string, user_id string, activity_date date, count_known_features int, count_x int, count_total int")
+    got = {(r["server_id"], r["user_id"], r["activity_date"]): r for r in features.feature_spine(df, "2024-02-20", "2023-01-01", 9).collect()}
+    known = {s for s, _, _, k, _ in data if k}
+    n = 0
+    for u in {x[:2] for x in data if x[0] in known}:
+        own = {x[2]: x for x in data if x[:2] == u}
+        day, end = min(own), min(date(2024, 2, 20), max(own) + timedelta(days=9))
+        while day <= end:
+            r = got[(*u, day)]
+            month = [x for at, x in own.items() if 0 <= (day - at).days <= 9]
+            assert (r["count_x_events_daily"], r["count_x_events_monthly"]) == (own[day][4] if day in own else 0, sum(x[4] for x in month))
+            assert (r["is_active"], r["is_active_monthly"]) == (int(day in own), int(bool(month)))
+            day, n = day + timedelta(days=1), n + 1
+    assert len(got) == n
+
+
+def test_each_relation_is_filtered_by_its_own_literal(spark, tmp_path):
+    relations = {}
+    for name in ("web", "portal"):
+        spark.createDataFrame([(i, "e", at(f"2024-01-{i:02}")) for i in range(1, 21)], "id int, event string, received_at timestamp_ntz").write.parquet(f"{tmp_path}/{name}")
+        relations[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    target = spark.createDataFrame([("web", at("2024-01-05")), ("portal", at("2024-01-15"))], "source_relation string, received_at timestamp_ntz")
+    out = features.union_event_family(relations, target, [])
+    assert out.groupBy("source_relation").count().orderBy("source_relation").collect() == [("portal", 5), ("web", 15)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(set(re.findall(r"GreaterThan\(received_at,([^)]*)\)", plan))) == 2
+
+
+def test_release_paths_are_worked_out_once(spark):
+    logs = spark.createDataFrame([("r1", at("2024-01-01"), "/5.1.2/x-team-linux.tar.gz", 2_000_000, 200, "1", "GET", "a")] * 2 + [("r1", at("2023-12-31"), "/docs/5", 2_000_000, 200, "1", "GET", "a")],
+                                 "request_id string, log_at timestamp_ntz, uri string, response_bytes long, status int, client_ip string, http_method string, user_agent string")
+    out = web.downloads(web.release_log_entries(logs))
+    assert [(r["request_id"], r["version"], str(r["log_at"])) for r in out.collect()] == [("r1", "5.1.2", "2024-01-01 00:00:00")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("/desktop/[") == 1
