@@ -5,7 +5,8 @@ the patterns to the quotas of the sources: a pattern offers its words once at co
 repetition costs are convex and every first use goes before any second one. The flow of a pattern is turned into documents:
 all of them are taken as often as the flow covers the whole pattern, and the rest is taken from the front
 of a seeded order. That front is found on sums per hash bin, so only one bin of a pattern is ever sorted; what
-is still missing (less than one document) is filled by the documents that come nearest to it.
+is still missing is filled by further fronts of the documents that fit it, until none does, and at last by one document that is a little too long
+if that comes nearer.
 
 The driver holds one row per membership pattern; it grows with the number of source combinations, not with the documents.
 Only tables made from these rows are broadcast, so no text is shuffled by its source.
@@ -29,7 +30,6 @@ WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS = 3
 #: Bins of the seeded order per pattern: a power of two.
 BIN_BITS = 12
-FILL_ROUNDS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -112,7 +112,9 @@ def min_cost_flow(capacity: dict[str, int], members: dict[str, list[str | None]]
             room[e ^ 1] += push
 
 
-PLAN = "pattern string, base long, cut long, fill array<long>"
+PLAN = "pattern string, base long, fronts array<struct<after:long,upto:long,most:long>>, fill array<long>"
+#: Order keys are longs; nothing comes before the first.
+FIRST, LAST = -(1 << 63), (1 << 63) - 1
 
 
 def mixing_plan(items: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.0, repeats: int = REPEATS) -> tuple[DataFrame, DataFrame, dict]:
@@ -134,44 +136,72 @@ def mixing_plan(items: DataFrame, weights: Sequence[float] = WEIGHTS, share: flo
     base = {p: given[p] // n if n else 0 for p, n in capacity.items()}
     rest = {p: given[p] - base[p] * n for p, n in capacity.items()}
     fronts = seeded_front(spark, items, rest)
-    plan = spark.createDataFrame([(p, base[p], *fronts.get(p, (None, []))) for p in sorted(capacity)], PLAN)
+    plan = spark.createDataFrame([(p, base[p], *fronts.get(p, ([], []))) for p in sorted(capacity)], PLAN)
     shares = spark.createDataFrame([(s, sizes[s], target[s]) for s in sizes], "source string, source_size long, target double")
     return plan, shares, flow
 
 
-def seeded_front(spark: SparkSession, items: DataFrame, rest: dict[str, int]) -> dict[str, tuple[int | None, list[int]]]:
-    """Per pattern the last order key of the front whose words stay within ``rest``, and the keys that fill the gap."""
-    wanted = spark.createDataFrame([(p, n) for p, n in rest.items() if n], "pattern string, rest long")
-    units = items.groupBy("pattern", "h").agg(F.sum("size").alias("size")).join(F.broadcast(wanted), "pattern")
-    units = materialize(units.withColumn("bin", F.expr(f"shiftright(h, {64 - BIN_BITS})")), "mixing-units")
-    per_bin = units.groupBy("pattern", "rest", "bin").agg(F.sum("size").alias("size"))
-    upto = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    cut = per_bin.withColumn("before", F.sum("size").over(upto) - F.col("size")).where("before <= rest and before + size > rest").select("pattern", "bin", "before")
-    within = Window.partitionBy("pattern", "bin").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    inside = units.join(cut, ["pattern", "bin"]).withColumn("upto", F.col("before") + F.sum("size").over(within))
-    inside = inside.groupBy("pattern", "bin").agg(F.max(F.when(F.col("upto") <= F.col("rest"), F.struct("h", "upto"))).alias("last"), F.first("before").alias("before"))
-    found, gap = {}, {}
-    for r in inside.collect():
-        found[r["pattern"]] = (r["last"]["h"] if r["last"] else (r["bin"] << (64 - BIN_BITS)) - 1 if r["bin"] > -(1 << (BIN_BITS - 1)) else None, [])
-        gap[r["pattern"]] = rest[r["pattern"]] - (r["last"]["upto"] if r["last"] else r["before"])
-    for left in reversed(range(FILL_ROUNDS)):
-        short = [(p, n, *found[p]) for p, n in gap.items() if n > 0]
-        if not short:
-            break
-        open_ = units.join(F.broadcast(spark.createDataFrame(short, "pattern string, gap long, cut long, fill array<long>")), "pattern")
-        open_ = open_.where((F.col("size") > 0) & (F.col("cut").isNull() | (F.col("h") > F.col("cut"))) & ~F.array_contains("fill", F.col("h")))
-        fits = F.col("size") <= F.col("gap") if left else F.col("size") < 2 * F.col("gap")  # the last one may be too long if that comes nearer
-        nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h", "size"))
-        for r in open_.where(fits).groupBy("pattern").agg(nearest.alias("x")).collect():
+def seeded_front(spark: SparkSession, items: DataFrame, rest: dict[str, int]) -> dict[str, tuple[list[tuple[int, int, int]], list[int]]]:
+    """Per pattern the documents whose words add up to ``rest``, as fronts of the seeded order ``(after, upto, longest document)``, and keys that fill the gap.
+
+    A front ends before the first document that does not fit what is left; the next one starts behind it and passes over
+    everything longer than the gap, until no document fits. At last one document may be too long if that comes nearer.
+    """
+    units = items.groupBy("pattern", "h").agg(F.sum("size").alias("size"), F.max("size").alias("one"))
+    units = materialize(units.where("size > 0").withColumn("bin", F.expr(f"shiftright(h, {64 - BIN_BITS})")), "mixing-units")
+    gap = {p: n for p, n in rest.items() if n}
+    after, most = dict.fromkeys(gap, FIRST), dict.fromkeys(gap, LAST)
+    found: dict[str, tuple[list[tuple[int, int, int]], list[int]]] = {p: ([], []) for p in gap}
+    while after:
+        state = spark.createDataFrame([(p, gap[p], after[p], most[p]) for p in after], "pattern string, gap long, after long, most long")
+        behind = {}
+        for r in next_front(units.join(F.broadcast(state), "pattern").where("h > after and one <= most")).collect():
+            p = r["pattern"]
+            if r["upto"] is not None:
+                found[p][0].append((after[p], r["upto"], most[p]))
+                gap[p] -= r["taken"]
+            # without a document that does not fit, the pattern is used up
+            if r["blocker"] is not None and gap[p] > 0:
+                behind[p], most[p] = r["blocker"], gap[p]
+        after = behind
+    short = [(p, n, *found[p]) for p, n in gap.items() if n > 0]
+    if short:
+        open_ = units.join(F.broadcast(spark.createDataFrame(short, "pattern string, gap long, fronts array<struct<after:long,upto:long,most:long>>, fill array<long>")), "pattern")
+        open_ = open_.where(~taken_once(F.col("h"), F.col("one"), F.col("fronts"), F.col("fill")) & (F.col("size") < 2 * F.col("gap")))
+        nearest = F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h"))
+        for r in open_.groupBy("pattern").agg(nearest.alias("x")).collect():
             found[r["pattern"]][1].append(r["x"]["h"])
-            gap[r["pattern"]] -= r["x"]["size"]
     return found
 
 
+def next_front(units: DataFrame) -> DataFrame:
+    """Per pattern of ``units(pattern, h, bin, size, gap)``: the last key ``upto`` whose running sum stays within ``gap``, that sum ``taken``, and the key of the first unit that does not fit.
+
+    Running sums go over hash bins first, so only one bin of a pattern is ever sorted.
+    """
+    per_bin = units.groupBy("pattern", "gap", "bin").agg(F.sum("size").alias("size"), F.max("h").alias("last"))
+    upto = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    summed = per_bin.withColumn("sum", F.sum("size").over(upto))
+    fits = F.col("sum") <= F.col("gap")
+    whole = summed.groupBy("pattern").agg(F.max(F.when(fits, F.struct("sum", "last"))).alias("full"), F.min(F.when(~fits, F.col("bin"))).alias("bin"))
+    within = Window.partitionBy("pattern").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.coalesce(F.col("full.sum"), F.lit(0))
+    inside = units.join(F.broadcast(whole), ["pattern", "bin"]).withColumn("sum", before + F.sum("size").over(within))
+    fits = F.col("sum") <= F.col("gap")
+    ends = inside.groupBy("pattern").agg(F.max(F.when(fits, F.struct("sum", F.col("h").alias("last")))).alias("part"), F.min(F.when(~fits, F.col("h"))).alias("blocker"))
+    end = F.coalesce("part", "full")
+    return whole.join(ends, "pattern", "left").select("pattern", end["last"].alias("upto"), F.coalesce(end["sum"], F.lit(0)).alias("taken"), "blocker")
+
+
+def taken_once(h: Column, size: Column, fronts: Column, fill: Column) -> Column:
+    """Whether a document is taken once more than all of its pattern."""
+    return F.exists(fronts, lambda f: (h > f["after"]) & (h <= f["upto"]) & (size <= f["most"])) | F.array_contains(fill, h)
+
+
 def with_copies(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Column ``copies`` for ``rows(pattern, h, …)``: how often the mix takes each row."""
-    again = (F.col("cut").isNotNull() & (F.col("h") <= F.col("cut"))) | F.array_contains("fill", F.col("h"))
-    return rows.join(F.broadcast(plan), "pattern").withColumn("copies", F.col("base") + F.when(again, 1).otherwise(0)).drop("base", "cut", "fill")
+    """Column ``copies`` for ``rows(pattern, h, size, …)``: how often the mix takes each row."""
+    again = taken_once(F.col("h"), F.col("size"), F.col("fronts"), F.col("fill"))
+    return rows.join(F.broadcast(plan), "pattern").withColumn("copies", F.col("base") + F.when(again, 1).otherwise(0)).drop("base", "fronts", "fill")
 
 
 def mixing_items(docs: DataFrame, sources: Column, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
@@ -198,7 +228,7 @@ def mixed_rows(docs: DataFrame, source_col: str = "source", id_col: str = "doc_i
     sized = mixing_items(docs, F.array(F.col(source_col)), id_col, text_col, seed)
     items = materialize(sized.select(F.col("_size").alias("size"), F.col("_pattern").alias("pattern"), F.col("_h").alias("h")), "mixing-items")
     plan, _, _ = mixing_plan(items, weights)
-    plan = plan.select(F.col("pattern").alias("_pattern"), *[F.col(c).alias(f"_{c}") for c in ("base", "cut", "fill")])
-    again = (F.col("_cut").isNotNull() & (F.col("_h") <= F.col("_cut"))) | F.array_contains("_fill", F.col("_h"))
+    plan = plan.select(F.col("pattern").alias("_pattern"), *[F.col(c).alias(f"_{c}") for c in ("base", "fronts", "fill")])
+    again = taken_once(F.col("_h"), F.col("_size"), F.col("_fronts"), F.col("_fill"))
     drawn = sized.join(F.broadcast(plan), "_pattern").withColumn("_copies", F.col("_base") + F.when(again, 1).otherwise(0))
     return drawn.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(*docs.columns)

@@ -58,6 +58,30 @@ def test_overlapping_sources(spark):
         assert sum(v for (_, s), v in flow.items() if s == r["source"]) == pytest.approx(r["target"], abs=1)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_gap_is_filled_until_nothing_fits(spark, seed):
+    """Very long documents among short ones: what is missing in the end is less than any document left."""
+    import random
+
+    rnd = random.Random(seed)
+    items = [(p, rnd.choice([1, 3, 40, 300, 9000]) + rnd.randrange(3), rnd.randrange(-(2**63), 2**63)) for p in ("x", "y", "z") for _ in range(400)]
+    items += [items[0]] * 3
+    frame = spark.createDataFrame(items, "pattern string, size long, h long")
+    rest = {"x": 20_011, "y": 7_777, "z": 1}
+    got = mixing.seeded_front(spark, frame, rest)
+    for p, (fronts, fill) in got.items():
+        units = {}
+        for q, size, h in items:
+            if q == p:
+                units[h] = units.get(h, 0) + size
+        one = {h: size for q, size, h in items if q == p}
+        took = {h for h in units if any(a < h <= b and one[h] <= m for a, b, m in fronts)}
+        gap = rest[p] - sum(units[h] for h in took)
+        assert gap >= 0 and all(units[h] > gap for h in set(units) - took)
+        nearest = min(abs(units[h] - gap) for h in set(units) - took)
+        assert len(fill) == (gap > 0 and nearest < gap)
+
+
 def test_query(spark, folder):
     rows = QUERIES["op8_mix_sources"](spark, folder).collect()
     docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
