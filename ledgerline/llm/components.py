@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
@@ -38,3 +39,16 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     first = steps[0].select(F.col("u").alias("node"), F.col("to").alias("label"))
     return materialize(reduce(follow, steps[1:], first), "labels")
+
+
+def labels_of_pairs(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """Least node reachable from each of ``size`` nodes through the pairs of one block, inside a task."""
+    root = np.arange(size)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        np.minimum.at(low, b, root[a])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low

@@ -24,11 +24,13 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from ..session import materialize
 from .common import small_batches
-from .components import connected_components
+from .components import connected_components, labels_of_pairs
 
 BITS = 64
 #: Members of one block of a large bucket; a task holds two blocks.
 BLOCK = 2048
+#: Rows of a block that are held against the other block at once, pairs of blocks of one task, and most tasks of that comparison.
+ROWS, TASK_PAIRS, TASKS = 256, 64, 20_000
 STEP = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -73,16 +75,15 @@ def block_links(rows: pd.DataFrame, radius: int) -> pd.DataFrame:
     names, of = np.unique(np.concatenate([left["label"], right["label"]]), return_inverse=True)
     a, b = of[: len(left)], of[len(left) :]
     x, y = left["fp"].to_numpy().view(np.uint64), right["fp"].to_numpy().view(np.uint64)
-    root = np.arange(names.size)
-    out = []
-    for r in range(len(x)):
-        near = np.unique(root[b[np.bitwise_count(x[r] ^ y) <= radius]])
-        mine = root[a[r]]
-        for other in near[near != mine]:
-            out.append((names[mine], names[other]))
-        if near.size:
-            root[np.isin(root, near)] = mine
-    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+    near = []
+    for at in range(0, len(x), ROWS):
+        r, c = np.nonzero(np.bitwise_count(x[at : at + ROWS, None] ^ y) <= radius)
+        pairs = a[at + r] * names.size + b[c]
+        near.append(np.unique(pairs[a[at + r] != b[c]]))
+    pairs = np.unique(np.concatenate(near)) if near else np.zeros(0, np.int64)
+    root = labels_of_pairs(pairs // names.size, pairs % names.size, names.size)
+    joined = np.flatnonzero(root != np.arange(names.size))
+    return pd.DataFrame({"a": names[joined], "b": names[root[joined]]}).astype("int64")
 
 
 def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = BLOCK) -> DataFrame:
@@ -104,6 +105,9 @@ def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = BLOCK)
     dealt = left.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_x"))
     pairs = dealt.select("t", "key", "fp", "label", "block", F.least("block", "_x").alias("i"), F.greatest("block", "_x").alias("j"))
+    # the blocks are small in bytes and long in work, so tasks follow the pairs of blocks, not the bytes
+    work = dealt.groupBy("t", "key").agg(F.first("blocks").alias("blocks")).agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0]
+    pairs = pairs.repartition(max(1, min(int(work or 1) // TASK_PAIRS + 1, TASKS)), "t", "key", "i", "j")
     more = pairs.groupBy("t", "key", "i", "j").applyInPandas(lambda rows: block_links(rows, radius), "a long, b long")
 
     links = materialize(more.distinct(), "simhash-more")
