@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from ..functions import agent_patterns
 from ..operators import merge
 from ..plans import features as plan
 from ..session import scratch_path
@@ -253,3 +255,70 @@ def _(t):
     known = rows.where(F.contains("context_user_agent", F.lit("Chrome/119"))).select(F.md5("context_user_agent").alias("user_agent_id")).distinct()
     sources = [rows.where(F.col("event") == "click"), rows.where(F.col("event") != "click")]
     return plan.user_agent_registry(sources, known).select("context_user_agent", "user_agent_id", "browser_family", "os_family")
+
+
+AGENT_SEED = os.path.join(os.path.dirname(os.path.abspath(__file__)), "seeds", "agent_patterns.csv")
+
+# Agent texts of many kinds; {v} is a number of the event.
+AGENT_TEXTS = [
+    "Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 Chrome/{v}.0.5481 Electron/23.2.0 Desktop/5.{v}.1 Safari/537.36",
+    "Mozilla/5.0 (Windows NT 6.3; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.0.0.0 Safari/537.36 Edg/{v}.0.1370.34",
+    "Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:{v}.0) Gecko/20100101 Firefox/{v}.0",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_{v}) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.{v} Safari/605.1.15",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 16_{v} like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) Version/16.{v} Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (iPad; CPU OS 15_{v}_1 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) CriOS/{v}.0.4664 Mobile/15E148 Safari/604.1",
+    "Mozilla/5.0 (Linux; Android {v}; SM-S{v}B) AppleWebKit/537.36 (KHTML, like Gecko) SamsungBrowser/{v}.0 Chrome/106.0.5249.126 Mobile Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 9; S{v}_EEA Build/PPR1.1; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 Chrome/{v}.0.4638.74 Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 7.0; Nexus {v} Build/NBD90Z) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/{v}.0.2785.124 Mobile Safari/537.36",
+    "Mozilla/5.0 (Android 13; Mobile; rv:{v}.0) Gecko/{v}.0 Firefox/{v}.0",
+    "Mozilla/5.0 (compatible; Googlebot/2.{v}; +http://www.google.com/bot.html)",
+    "curl/8.{v}.2",
+    "Go-http-client/{v}.1",
+    "Unnamed client {v}",
+]
+AGENT_COLUMNS = {
+    "browser": ["browser_version_major", "browser_version_minor", "browser_version_patch"],
+    "system": ["os_version_major", "os_version_minor", "os_version_patch", "os_version_patch_minor"],
+}
+
+s.define("agent_events", f"""
+SELECT id, event, replace({s.pick_sql(f"CAST(event_id % {len(AGENT_TEXTS)} AS INTEGER)", AGENT_TEXTS)}, '{{v}}', CAST(event_id % 47 AS VARCHAR)) AS agent FROM tracks""", "tracks")
+s.define("agent_rules", rf"""
+SELECT position, kind, replace(pattern, '<v>', '{agent_patterns.VERSION}') || '()' AS pattern, family, version, brand, model FROM read_csv('{AGENT_SEED}', header = true, delim = ',', quote = '', escape = '',
+ columns = {{'position': 'INTEGER', 'kind': 'VARCHAR', 'word': 'VARCHAR', 'pattern': 'VARCHAR', 'family': 'VARCHAR', 'version': 'VARCHAR', 'brand': 'VARCHAR', 'model': 'VARCHAR'}})""")
+s.define("agent_hits", """
+SELECT agent, kind, family, coalesce(nullif(version, ''), nullif(part, '')) AS version, nullif(brand, '') AS brand, nullif(replace(model, '$1', coalesce(part, '')), '') AS model, replace(family, '$1', coalesce(part, '')) AS name
+FROM (SELECT a.agent, r.*, regexp_extract(a.agent, r.pattern, 1) AS part, row_number() OVER (PARTITION BY a.agent, r.kind ORDER BY r.position) AS place
+  FROM (SELECT DISTINCT agent FROM agent_events) a JOIN agent_rules r ON regexp_matches(a.agent, r.pattern)) WHERE place = 1""", "agent_events", "agent_rules")
+
+
+def _version_sql(kind: str) -> str:
+    return ", ".join(f"nullif(list_extract(regexp_split_to_array(max(CASE WHEN kind = '{kind}' THEN version END), '[._]'), {n}), '') AS {name}" for n, name in enumerate(AGENT_COLUMNS[kind], 1))
+
+
+s.define("agent_parts", f"""
+SELECT a.agent, coalesce(max(CASE WHEN kind = 'browser' THEN name END), 'Other') AS browser_family, {_version_sql("browser")}, coalesce(max(CASE WHEN kind = 'system' THEN name END), 'Other') AS os_family, {_version_sql("system")},
+ coalesce(max(CASE WHEN kind = 'device' THEN name END), 'Other') AS device_family, max(CASE WHEN kind = 'device' THEN brand END) AS device_brand, max(CASE WHEN kind = 'device' THEN model END) AS device_model
+FROM (SELECT DISTINCT agent FROM agent_events) a LEFT JOIN agent_hits h ON a.agent = h.agent GROUP BY a.agent""", "agent_events", "agent_hits")
+
+
+def agent_events(t):
+    number = F.col("event_id") % 47
+    texts = s.pick((F.col("event_id") % len(AGENT_TEXTS)).cast("int"), AGENT_TEXTS)
+    return s.tracks(t).select("id", "event", F.replace(texts, F.lit("{v}"), number.cast("string")).alias("agent"))
+
+
+@query("i03_agent_patterns", s.with_("agent_events", "agent_parts") + "SELECT e.id, p.* EXCLUDE (agent) FROM agent_events e LEFT JOIN agent_parts p ON e.agent = p.agent")
+def _(t):
+    rows = agent_events(t)
+    parsed = agent_patterns.parse_by_patterns(rows, "agent", agent_patterns.load_patterns(AGENT_SEED))
+    return rows.join(parsed, "agent", "left").drop("agent", "event")
+
+
+@query("j42_agent_pattern_registry", s.with_("agent_parts") + """
+SELECT md5(agent) AS user_agent_id, * FROM agent_parts WHERE agent NOT IN (SELECT agent FROM agent_events WHERE event = 'view')""")
+def _(t):
+    rows = agent_events(t)
+    known = rows.where(F.col("event") == "view").select(F.md5("agent").alias("user_agent_id")).distinct()
+    sources = [rows.where(F.col("event") == e) for e in ("click", "view", "purchase", "error", "signup")]
+    return plan.user_agent_registry(sources, known, "agent", agent_patterns.load_patterns(AGENT_SEED))

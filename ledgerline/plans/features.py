@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import agents, rules as rule, text
+from ..functions.agent_patterns import AgentPattern, parse_by_patterns
 from ..operators import aggregate, joins, merge, windows
 
 UNKNOWN = "unknown_features"
@@ -208,8 +209,10 @@ def event_mart(relations: dict[str, DataFrame], target: DataFrame | None = None)
     return rows.withColumn("event_date", F.to_date("timestamp"))
 
 
-def user_agent_registry(sources: Sequence[DataFrame], registry: DataFrame | None, column: str = "context_user_agent") -> DataFrame:
-    """Parsed rows of agent texts that the registry does not hold yet."""
+def user_agent_registry(
+    sources: Sequence[DataFrame], registry: DataFrame | None, column: str = "context_user_agent", patterns: Sequence[AgentPattern] | None = None
+) -> DataFrame:
+    """Parsed rows of agent texts that the registry does not hold yet, by markers or by a table of patterns."""
     texts = None
     for df in sources:
         part = df.select(column).where(F.col(column).isNotNull()).distinct()
@@ -217,5 +220,5 @@ def user_agent_registry(sources: Sequence[DataFrame], registry: DataFrame | None
     new = texts.distinct().withColumn("user_agent_id", F.md5(column))
     if registry is not None:
         new = new.join(registry.select("user_agent_id"), "user_agent_id", "left_anti")
-    parsed = agents.parse_agents(new.select(column), column)
+    parsed = parse_by_patterns(new, column, patterns) if patterns else agents.parse_agents(new.select(column), column)
     return parsed.withColumn("user_agent_id", F.md5(column))
