@@ -1,7 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches whose difference gives back the differing paragraphs.
 
-A paragraph is a line, cut every ``PIECE`` characters if longer (the first ``HEAD`` characters of a text stand alone, so that
-short texts have more than one); its digest also counts repeats, so the digests of a text are distinct. A sketch has three tables of cells. Every digest goes to one cell of each table, and a cell holds how many came,
+A paragraph is a line, cut after words that the content picks: those whose hash, taken with the word in front, ends in
+``CUT_BITS`` zeros (words lie between spaces). So an insertion changes the paragraphs it stands in and leaves the later ones alone.
+Only a stretch without such a word is cut every ``PIECE`` characters. The first four words stand alone, so that short texts have more
+than one paragraph. A digest also counts repeats, so the digests of a text are distinct. A sketch has three tables of cells. Every digest goes to one cell of each table, and a cell holds how many came,
 the XOR of the digests and the XOR of their check hashes. Sketches of two versions subtract cell by cell, which
 cancels what they share. Peeling then looks for cells that hold a single digest (its check hash fits), notes
 the digest and takes it out of its other cells, until nothing is left.
@@ -23,7 +25,8 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from ..session import materialize
 from .common import whole_text
 
-PIECE, HEAD = 256, 32
+#: One word in 2^CUT_BITS ends a paragraph; no paragraph is longer than PIECE characters, no word of the first one longer than HEAD.
+CUT_BITS, PIECE, HEAD = 5, 2048, 32
 #: Cells per table: of the fingerprint, and of the sketches of a group at each try.
 FINGERPRINT_WIDTH = 4
 TRIES = (8, 32, 256)
@@ -40,7 +43,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def paragraph_digests(text: Column) -> Column:
     """Distinct digests of the paragraphs of a text, sorted before repeats are numbered."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"^[^\n]{{1,{HEAD}}}|[^\n]{{1,{PIECE}}}"), F.lit(0))
+    ends = lambda words: lambda w, i: F.xxhash64(F.get(words, i - 1), w).bitwiseAND(F.lit((1 << CUT_BITS) - 1).cast("long")) == 0
+    marked = let(F.split(text, " "), lambda words: F.array_join(F.transform(words, lambda w, i: F.when(ends(words)(w, i), F.concat(w, F.lit("\n"))).otherwise(w)), " "))
+    pieces = F.regexp_extract_all(marked, F.lit(rf"^(?:[^\n ]{{1,{HEAD}}} ?){{1,4}}|[^\n]{{1,{PIECE}}}"), F.lit(0))
     hashes = F.sort_array(F.transform(pieces, lambda p: F.xxhash64(p)))
     return let(hashes, lambda s: F.transform(s, lambda d, i: F.xxhash64(d, i - F.array_position(s, d))))
 

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import pytest
+import xxhash
 from helpers import LONG, documents, prose
 from pyspark.sql import functions as F
 
@@ -13,7 +14,12 @@ from ledgerline.llm.queries import QUERIES
 
 
 def paragraphs(text):
-    return Counter(re.findall(rf"\A[^\n]{{1,{fingerprints.HEAD}}}|[^\n]{{1,{fingerprints.PIECE}}}", text))
+    seed, marked = 42, []
+    for i, word in enumerate(words := text.split(" ")):
+        seed = xxhash.xxh64_intdigest(words[i - 1].encode(), seed=42) if i else 42
+        ends = xxhash.xxh64_intdigest(word.encode(), seed=seed) % (1 << fingerprints.CUT_BITS) == 0
+        marked.append(word + "\n" if ends else word)
+    return Counter(re.findall(rf"\A(?:[^\n ]{{1,{fingerprints.HEAD}}} ?){{1,4}}|[^\n]{{1,{fingerprints.PIECE}}}", " ".join(marked)))
 
 
 def alike(a, b):
@@ -60,3 +66,16 @@ def test_peeling_recovers_digests(spark):
     assert peeled["p"]["done"] and sorted(peeled["p"]["found"]) == list(peeled["want"])
     small = frame.select(fingerprints.difference(F.col("a"), F.col("b"), fingerprints.subtract(*[fingerprints.sketch(F.col(c), 4) for c in "ab"])).alias("d")).first()
     assert sorted(small["d"]) == list(peeled["want"])
+
+
+@pytest.mark.parametrize("change", [lambda t: "x" + t, lambda t: t[: len(t) // 2] + "x" + t[len(t) // 2 :], lambda t: "one more " + t, lambda t: t + "x"])
+def test_small_changes_leave_the_rest_alike(spark, change):
+    text = prose(11, 1500)
+    rows = [(1, change(text)), (2, text)]
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_versions(documents(spark, [(i, t, "a") for i, t in rows])).collect()}
+    assert got[2]["near_next"] == pytest.approx(alike(text, change(text))) and got[2]["near_next"] > 0.9
+
+
+def test_a_long_word_is_cut_by_length(spark):
+    rows = [(1, "ab" * 30_000), (2, "ab" * 30_000 + " end"), (3, " " * 5000), (4, " ")]
+    check(fingerprints.fingerprint_versions(documents(spark, [(i, t, "a") for i, t in rows])).collect(), rows[::-1])
