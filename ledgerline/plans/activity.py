@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -222,18 +223,34 @@ def _life_span(frames: Sequence[DataFrame], key: str, day: str, start: str) -> D
 
 def server_activity_spined(telemetry: DataFrame, legacy: DataFrame, diagnostics: DataFrame, activity: DataFrame, legacy_activity: DataFrame,
                            start: str) -> DataFrame:
-    """Dense server-day rows over each server's life span, preferring telemetry over legacy over diagnostics."""
-    spine = joins.dense_days(_life_span([legacy, telemetry, diagnostics], "server_id", "server_date", start), "first", "last").select(
-        *SERVER_DAY, F.datediff("activity_date", "first").alias("age_in_days")
-    )
+    """Dense server-day rows over each server's life span, preferring telemetry over legacy over diagnostics.
 
-    def side(df: DataFrame, tag: str) -> DataFrame:
-        renamed = [F.col(c).alias(f"{tag}_{c}") for c in df.columns if c not in ("server_id", "server_date", "daily_server_id")]
-        return df.select("server_id", F.col("server_date").alias("activity_date"), *renamed, F.lit(True).alias(f"_{tag}"))
+    The sources hold one row per server and day (of several the greatest counts). They are stacked and moved once, by server; one
+    sort serves the merge of a day's rows, the life span and the gaps, whose days repeat no source's values. A server holds
+    at most five rows per day, so no partition of the windows grows beyond its days.
+    """
+    sources = {"t": telemetry, "l": legacy, "d": diagnostics, "a": activity, "b": legacy_activity}
+    fields = {tag: [c for c in df.columns if c not in ("server_id", "server_date", "daily_server_id")] for tag, df in sources.items()}
 
-    out = spine
-    for tag, df in {"t": telemetry, "l": legacy, "d": diagnostics, "a": activity, "b": legacy_activity}.items():
-        out = out.join(side(df, tag), SERVER_DAY, "left")
+    def side(tag: str) -> DataFrame:
+        return sources[tag].where(F.col("server_id").isNotNull()).select(
+            "server_id", F.col("server_date").alias("activity_date"), F.struct(F.lit(True).alias("is_there"), *fields[tag]).alias(tag)
+        )
+
+    stacked = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), map(side, sources)).where(F.col("activity_date") >= F.lit(start).cast("date"))
+    daily = stacked.repartition("server_id").groupBy(*SERVER_DAY).agg(*[F.max(tag).alias(tag) for tag in sources])
+    own_day = F.when(F.col("t").isNotNull() | F.col("l").isNotNull() | F.col("d").isNotNull(), F.col("activity_date"))
+    server = Window.partitionBy("server_id")
+    lived = daily.withColumns({"_first": F.min(own_day).over(server), "_last": F.max(own_day).over(server)}).where(F.col("activity_date").between(F.col("_first"), F.col("_last")))
+    following = F.lead("activity_date").over(server.orderBy("activity_date"))
+    until = lived.withColumns({"_from": F.col("activity_date"), "_to": F.coalesce(F.date_sub(following, 1), F.col("activity_date"))})
+    dense = joins.dense_days(until, "_from", "_to")
+    seen = F.col("activity_date") == F.col("_from")
+    out = dense.select(
+        *SERVER_DAY, F.datediff("activity_date", "_first").alias("age_in_days"),
+        *[F.when(seen, F.col(f"{tag}.{c}")).alias(f"{tag}_{c}") for tag in sources for c in fields[tag]],
+        *[F.when(seen, F.col(f"{tag}.is_there")).alias(f"_{tag}") for tag in sources],
+    )
 
     def first_of(name: str, tags: str, default=None) -> Column:
         found = [F.col(f"{t}_{name}") for t in tags if f"{t}_{name}" in out.columns]

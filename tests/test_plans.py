@@ -242,3 +242,34 @@ def test_release_paths_are_worked_out_once(spark):
     out = web.downloads(web.release_log_entries(logs))
     assert [(r["request_id"], r["version"], str(r["log_at"])) for r in out.collect()] == [("r1", "5.1.2", "2024-01-01 00:00:00")]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("/desktop/[") == 1
+
+
+def test_server_days_span_gaps_and_prefer_telemetry(spark):
+    day = lambda n: date(2024, 1, n)
+    report = "server_id string, server_date date, version_full string, operating_system string, database_type string, database_version string, reported_versions array<string>"
+    telemetry = spark.createDataFrame(
+        [("s", day(3), "5.1", "linux", "pg", "14.2", ["5.1"], "E0", None, "1.1.1.1", "box"), (None, day(3), "9", None, None, None, None, None, None, None, None)],
+        report + ", edition string, installation_id string, server_ip string, installation_type string",
+    ).withColumn("edition", F.col("edition") == "E0")
+    legacy = spark.createDataFrame([("s", day(1), "5.0", None, None, None, ["5.0"], False), ("s", day(3), "4.9", "bsd", None, None, ["4.9"], None)], report + ", edition boolean")
+    diagnostics = spark.createDataFrame(
+        [("s", day(5), "5.2", None, None, None, None, None, "2.2.2.2", 7, 9)], report + ", is_enterprise_ready boolean, server_ip string, count_active_users long, count_users long"
+    )
+    counts = "server_id string, server_date date, daily_active_users long, monthly_active_users long, count_registered_users long, count_registered_deactivated_users long"
+    reports = spark.createDataFrame([("s", day(3), 4, 6, 10, 3), ("s", day(9), 1, 1, 1, 1), ("other", day(3), 1, 1, 1, 1)], counts)
+    older = spark.createDataFrame([("s", day(2), 2, 3, 8, None)], counts)
+
+    def rows(start):
+        out = activity.server_activity_spined(telemetry, legacy, diagnostics, reports, older, start)
+        names = ["activity_date", "age_in_days", "version_full", "server_ip", "daily_active_users", "count_registered_users", "count_registered_active_users", "has_legacy_telemetry_data", "is_missing_activity_data"]
+        return [tuple(r) for r in out.orderBy("activity_date").select(*names).collect()]
+
+    assert rows("2024-01-01") == [
+        (day(1), 0, "5.0", None, 0, 0, None, True, True),
+        (day(2), 1, None, None, 2, 8, None, False, False),
+        (day(3), 2, "5.1", "1.1.1.1", 4, 10, 7, True, False),
+        (day(4), 3, None, None, 0, 0, None, False, True),
+        (day(5), 4, "5.2", "2.2.2.2", 7, 9, None, False, True),
+    ]
+    assert [r[:2] for r in rows("2024-01-02")] == [(day(3), 0), (day(4), 1), (day(5), 2)]
+    assert rows("2024-01-06") == []
