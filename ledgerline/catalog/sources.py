@@ -360,6 +360,7 @@ def _zip(files_of_row):
 
         import pandas as pd
 
+        padding = random.Random(0).randbytes(LARGE)
         for batch in batches:
             out = []
             for row in batch.to_dict("records"):
@@ -368,7 +369,7 @@ def _zip(files_of_row):
                     for name, content in files_of_row(row).items():
                         packet.writestr(name, content)
                     if row["flaw"] == "large":
-                        packet.writestr("padding.bin", random.Random(0).randbytes(LARGE))
+                        packet.writestr("padding.bin", padding)
                 content = buffer.getvalue()
                 out.append((f"{row['day']}/{row['id']}.zip", content[: len(content) // 2] if row["flaw"] == "cut" else content))
             yield pd.DataFrame(out, columns=["path", "content"])
@@ -384,6 +385,7 @@ LAST_DAY = date(2024, 8, 10)
 def _landed(rows, files_of_row):
     """The folder that Spark tasks have landed the packets of ``rows`` (id, day, flaw, …) in."""
     root = scratch_path(rows.sparkSession, "packets")
+    rows = packets.spread(rows, packets.PACKETS_PER_TASK, "id")
     packets.write_packets(rows.mapInPandas(_zip(files_of_row), "path string, content binary"), root)
     return root
 

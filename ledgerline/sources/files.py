@@ -49,6 +49,16 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(found)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under a folder, whatever number of files they hold."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory())
+
+
 def log_file_pattern(location: str, day: date) -> str:
     """Pattern of one day's access-log files."""
     return rf".*{re.escape(location)}.*{day:%Y-%m-%d}.*"

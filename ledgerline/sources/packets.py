@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import materialize
-from .files import list_files
+from .files import list_folders
 
 METADATA_FILE = "metadata.yaml"
 SUPPORT_FILE = "support_packet.yaml"
@@ -46,11 +46,23 @@ JOB_LISTS = [
 
 #: Largest packet, and largest unpacked member, in bytes: both are held whole by one task.
 MOST_BYTES, MOST_MEMBER = 64 << 20, 256 << 20
-#: Packets unzipped together.
-BATCH_PACKETS = 64
+#: Packets unzipped together, packets of a reading task, files a listing and answers a reader hand on at once.
+BATCH_PACKETS, PACKETS_PER_TASK, LISTED_AT_ONCE, ANSWERS_AT_ONCE = 64, 2_000, 10_000, 5_000
 DATED = r"(\d{4}-\d{2}-\d{2})"
 
 
+def _store(root: str):
+    """Arrow's file system and the path in it: of a URI that Arrow knows (local, S3, GCS, Azure, HDFS) or of a plain local path."""
+    from pyarrow import fs as pafs
+
+    return pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+
+
+def spread(df: DataFrame, per_task: int, *keys: str) -> DataFrame:
+    """``df`` in as many tasks as its rows ask for, by the keys' hash: for slow work on small rows, where bytes say nothing about time."""
+    return df.repartition(max(1, -(-df.count() // per_task)), *keys)
+
+
 def write_packets(packets: DataFrame, root: str) -> None:
     """Land ``(path, content)`` rows as files under ``root``, from tasks; a repeated attempt replaces its own files.
 
@@ -58,13 +70,13 @@ def write_packets(packets: DataFrame, root: str) -> None:
     """
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs as pafs
-
-        store, top = pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
+        (store, top), made = _store(root), set()
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 folder, _, name = f"{top}/{path}".rpartition("/")
-                store.create_dir(folder, recursive=True)
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 with store.open_output_stream(f"{folder}/_{name}.part") as out:
                     out.write(content)
                 store.move(f"{folder}/_{name}.part", f"{folder}/{name}")
@@ -73,38 +85,92 @@ def write_packets(packets: DataFrame, root: str) -> None:
     packets.select("path", "content").mapInPandas(write, "n long").agg(F.sum("n")).collect()
 
 
-def read_packets(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip", most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
-    """``(path, content)`` of the packets under the folders, and ``(source, reason)`` of those too large to open.
+def list_packets(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip") -> DataFrame:
+    """``(path, folder, file, length)`` of the packets under the folders, one task per folder; hidden and unfinished files are left out.
 
-    Sizes come from the listing: a packet that is too large is not read. Paths are cut to start at their dated folder if they have one.
+    ``path`` is cut to start at the dated folder if there is one; ``file`` is the place in the folder's store.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from fnmatch import fnmatchcase
+
+        from pyarrow import fs as pafs
+
+        for folder in (f for batch in batches for f in batch["folder"]):
+            store, top = _store(folder)
+            scheme = "file:" if isinstance(store, pafs.LocalFileSystem) else folder.partition("://")[0] + "://"
+            rows = []
+            for found in store.get_file_info(pafs.FileSelector(top, recursive=True)):
+                hidden = any(part.startswith(("_", ".")) for part in found.path[len(top):].split("/"))
+                if found.type != pafs.FileType.File or hidden or not fnmatchcase(found.base_name, pattern):
+                    continue
+                dated = re.search(rf"/({DATED}/.*)$", found.path)
+                rows.append((dated[1] if dated else scheme + found.path, folder, found.path, found.size))
+                if len(rows) == LISTED_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=["path", "folder", "file", "length"])
+                    rows = []
+            if rows:
+                yield pd.DataFrame(rows, columns=["path", "folder", "file", "length"])
+
+    fields = "path string, folder string, file string, length long"
     if not paths:
-        return spark.createDataFrame([], "path string, content binary"), spark.createDataFrame([], "source string, reason string")
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(paths)
-    dated = F.regexp_extract("path", rf"/{DATED}/", 1)
-    name = F.when(dated != "", F.regexp_extract("path", rf"/({DATED}/.*)$", 1)).otherwise(F.col("path"))
-    fits = files.where(F.col("length") <= most_bytes).select(name.alias("path"), "content")
-    return fits, files.where(F.col("length") > most_bytes).select(name.alias("source"), F.lit("packet too large").alias("reason"))
+        return spark.createDataFrame([], fields)
+    folders = spark.createDataFrame(spark.sparkContext.parallelize([(p,) for p in paths], len(paths)), "folder string")
+    # Written once: what lands while the packets are read belongs to the next run.
+    return materialize(folders.mapInPandas(walk, fields), "packet-list")
+
+
+def open_packets(listed: DataFrame, most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(path, content)`` of listed packets, and ``(source, reason)`` of those too large to open.
+
+    Sizes come from the listing: a packet that is too large is not read. Every task reads ``PACKETS_PER_TASK`` packets on average.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        stores: dict = {}
+        for batch in batches:
+            paths, contents, held = [], [], 0
+            for path, folder, file in zip(batch["path"], batch["folder"], batch["file"], strict=True):
+                if folder not in stores:
+                    stores[folder] = _store(folder)[0]
+                with stores[folder].open_input_stream(file, compression=None) as packet:
+                    paths.append(path)
+                    contents.append(packet.read())
+                held += len(contents[-1])
+                if len(paths) == BATCH_PACKETS or held >= most_bytes:
+                    yield pd.DataFrame({"path": paths, "content": contents})
+                    paths, contents, held = [], [], 0
+            if paths:
+                yield pd.DataFrame({"path": paths, "content": contents})
+
+    fits = spread(listed.where(F.col("length") <= most_bytes).select("path", "folder", "file"), PACKETS_PER_TASK, "path")
+    return fits.mapInPandas(read, "path string, content binary"), listed.where(F.col("length") > most_bytes).select(F.col("path").alias("source"), F.lit("packet too large").alias("reason"))
+
+
+def read_packets(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.zip", most_bytes: int = MOST_BYTES) -> tuple[DataFrame, DataFrame]:
+    """``(path, content)`` of the packets under the folders, and ``(source, reason)`` of those too large to open."""
+    return open_packets(list_packets(spark, paths, pattern), most_bytes)
 
 
 def new_folders(spark: SparkSession, root: str, target: DataFrame | None, until: date, ingested: str = "ingestion_date") -> list[str]:
     """Dated folders from the latest day of ``target`` on, up to ``until`` (exclusive); all of them for an empty target."""
     mark = None if target is None else target.agg(F.max(ingested)).first()[0]
-    found = sorted({m[1] for f in list_files(spark, root) if (m := re.search(rf"/{DATED}/", f))})
+    found = [name for name in list_folders(spark, root) if re.fullmatch(DATED, name)]
     return [f"{root}/{day}" for day in found if (mark is None or day >= str(mark)) and day < f"{until:%Y-%m-%d}"]
 
 
 def resume_packets(spark: SparkSession, root: str, target: DataFrame | None, until: date, ingest: Callable[[DataFrame], tuple[DataFrame, ...]], most_bytes: int = MOST_BYTES) -> tuple[DataFrame, ...]:
     """Results of ``ingest`` over the packets that landed since the target's latest day; the last result, the rejects, holds oversized ones too.
 
-    Rows carry their folder's day as ``ingestion_date``. Packets of the latest day that the target already has are left out, so a
+    Rows carry their folder's day as ``ingestion_date``. Packets of the latest day that the target already has are not opened, so a
     repeated run adds nothing.
     """
-    packets, large = read_packets(spark, new_folders(spark, root, target, until), most_bytes=most_bytes)
+    listed = list_packets(spark, new_folders(spark, root, target, until))
     if target is not None:
         done = target.select(F.col("source").alias("path")).distinct()
-        packets = packets.join(done, "path", "left_anti")
+        listed = listed.where(F.col("length") <= most_bytes).join(done, "path", "left_anti").unionByName(listed.where(F.col("length") > most_bytes))
+    packets, large = open_packets(listed, most_bytes)
     *results, rejects = ingest(packets)
     day = F.regexp_extract("source", rf"^{DATED}/", 1)
     landed = [r.withColumn("ingestion_date", day) if "ingestion_date" in r.columns else r for r in results]
@@ -214,8 +280,11 @@ def _long_answers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for line in csv.DictReader(io.StringIO(text, newline="")):
                 user, submitted = line.pop(USER, None), line.pop(SUBMITTED, None)
                 rows += [(source, user, submitted, q, a) for q, a in line.items()]
+                if len(rows) >= ANSWERS_AT_ONCE:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+        if rows:
             yield pd.DataFrame(rows, columns=columns)
-            rows = []
 
 
 def ingest_survey_packets(packets: DataFrame, plugin_id: str, ingestion_date: str) -> tuple[DataFrame, DataFrame]:

@@ -132,3 +132,32 @@ def test_members_that_unpack_too_far(spark):
         z.writestr("metadata.yaml", "a" * 100_000)
     out = next(unzip(iter([pd.DataFrame({"path": ["x"], "content": [buffer.getvalue()]})])))
     assert out.iloc[0].tolist() == ["x", "member too large", None]
+
+
+def test_packets_are_listed_by_tasks_and_opened_in_tasks_by_their_number(spark, tmp_path, monkeypatch):
+    """The listing is no call per file on the driver, a task opens a bounded number of packets, and known packets are not opened again."""
+    from datetime import date
+
+    monkeypatch.setattr(packets, "PACKETS_PER_TASK", 16)
+    monkeypatch.setattr(packets, "LISTED_AT_ONCE", 64)
+    landed = {f"2024-08-0{1 + n // 64}/p{n:03}.zip": survey_packet() for n in range(128)}
+    root = f"file://{tmp_path}/many"
+    packets.write_packets(frame(spark, landed).repartition(1), root)
+    (tmp_path / "many" / "2024-08-02" / "_late.zip.part").write_bytes(b"unfinished")
+    assert packets.new_folders(spark, root, None, date(2024, 8, 9)) == [f"{root}/2024-08-01", f"{root}/2024-08-02"]
+    found, large = packets.read_packets(spark, [f"{root}/2024-08-01", f"{root}/2024-08-02"])
+    assert found.rdd.getNumPartitions() == 8 and large.count() == 0
+    assert {r["path"]: bytes(r["content"]) for r in found.collect()} == landed
+    (tmp_path / "many" / "2024-08-02" / "p100.zip").unlink()
+    target = spark.createDataFrame([(path, path[:10]) for path in landed if not path.endswith("127.zip")], "source string, ingestion_date string")
+    (tmp_path / "many" / "2024-08-02" / "p101.zip").write_bytes(b"changed after it was ingested")
+    rows, rejects = packets.resume_packets(spark, root, target, date(2024, 8, 9), lambda found: packets.ingest_survey_packets(found, PLUGIN, "2024-09-01"))
+    assert {r["source"] for r in rows.collect()} == {"2024-08-02/p127.zip"} and rejects.count() == 0
+
+
+def test_a_listing_or_a_batch_that_ends_evenly_hands_on_no_empty_batch(spark, tmp_path):
+    landed = {f"2024-08-01/p{n:03}.zip": survey_packet() for n in range(packets.BATCH_PACKETS)}
+    packets.write_packets(frame(spark, landed), f"{tmp_path}/even")
+    found, _ = packets.read_packets(spark, f"{tmp_path}/even/2024-08-01")
+    rows, rejects = packets.ingest_survey_packets(found, PLUGIN, "2024-09-01")
+    assert rows.count() == 4 * packets.BATCH_PACKETS and rejects.count() == 0
