@@ -273,3 +273,33 @@ def test_server_days_span_gaps_and_prefer_telemetry(spark):
     ]
     assert [r[:2] for r in rows("2024-01-02")] == [(day(3), 0), (day(4), 1), (day(5), 2)]
     assert rows("2024-01-06") == []
+
+
+def test_deals_are_credited_to_the_last_lead_qualified_by_then(spark, monkeypatch):
+    """Against brute force over all pairs of a contact; leads and deals of one contact never meet as pairs."""
+    from ledgerline.operators import windows
+    from ledgerline.plans import crm
+
+    r = random.Random(7)
+    day = lambda n, h=0: datetime(2024, 1, 1, h) + timedelta(days=n)
+    leads = [(f"l{i:03}", f"m{i}", "open", None, None if i % 9 == 0 else day(r.randrange(40), r.randrange(24)), r.choice(["q1", "q2", "q3", None])) for i in range(150)]
+    deals = [(f"o{i:03}", day(r.randrange(45)) if i % 11 else None, d("2024-06-01"), 10.0, "New") for i in range(150)]
+    links = [(r.choice(["q1", "q2", "q3", "q4", None]), o[0]) for o in deals for _ in range(2)]
+    want = {}
+    for o in deals:
+        fit = [(x[4], x[0]) for x in leads for c, k in links if k == o[0] and c is not None and c == x[5] and x[4] and o[1] and x[4].date() <= o[1].date()]
+        if fit:
+            want[max(fit)[1]] = max(want.get(max(fit)[1], ""), o[0])
+    handed = []
+    scan = windows.chunked_scan
+    monkeypatch.setattr(windows, "chunked_scan", lambda df, *a, **k: (handed.append(df.count()), scan(df, *a, **k))[1])
+    none = lambda fields: spark.createDataFrame([], fields)
+    out = crm.lead_to_close(
+        spark.createDataFrame(leads, "lead_id string, email string, status string, reason string, qualified_at timestamp_ntz, contact_id string"),
+        none("email string, form_name string, form_fill_date date"), [("%x%", "X")], spark.createDataFrame(links, "contact_id string, opportunity_id string"),
+        spark.createDataFrame(deals, "opportunity_id string, created_at timestamp_ntz, close_date date, amount double, type string"),
+        none("opportunity_id string, min_start_date date, max_end_date date"), none("opportunity_id string, newvalue string, created_at timestamp_ntz"),
+    )
+    got = {x["lead_id"]: x["opportunity_id"] for x in out.collect()}
+    assert len(got) == sum(x[4] is not None for x in leads)
+    assert {k: v for k, v in got.items() if v} == want and handed[0] <= len(leads) + len(links)
