@@ -303,3 +303,13 @@ def test_deals_are_credited_to_the_last_lead_qualified_by_then(spark, monkeypatc
     got = {x["lead_id"]: x["opportunity_id"] for x in out.collect()}
     assert len(got) == sum(x[4] is not None for x in leads)
     assert {k: v for k, v in got.items() if v} == want and handed[0] <= len(leads) + len(links)
+
+
+def test_interval_marks_read_their_input_once(spark, folder):
+    from ledgerline.operators import joins
+
+    t = spark.read.parquet(f"{folder}/orders.parquet").select("o_custkey", F.to_date("o_orderdate").alias("a"), F.date_add(F.to_date("o_orderdate"), 9).alias("b"), F.lit(2).alias("n"))
+    out = joins.interval_sums(t, ["o_custkey"], "a", "b", ["n"])
+    assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    spent = lambda df, a, b: df.agg(F.sum(F.col("n") * (F.datediff(b, a) + 1))).first()[0]
+    assert spent(out, "from_day", "to_day") == spent(t, "a", "b")
