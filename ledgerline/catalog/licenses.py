@@ -324,7 +324,7 @@ def licence_daily(t):
     usage = t.lineitem.groupBy(F.concat(F.lit("v"), F.col("l_suppkey") % 15).alias("server_id"), F.to_date("l_shipdate").alias("date")).agg(
         F.max("l_quantity").cast("int").alias("active_users"), (F.min("l_linenumber") - 1).alias("registered_users")
     )
-    return plan.license_daily_details(mart(licence_days(t), "licence-days"), usage, AS_OF)
+    return plan.license_daily_details(plan.license_day_periods(own_licences(t), licence_reports(t), AS_OF), usage, AS_OF)
 
 
 @query("j65_license_daily_details", s.with_("licence_daily") + "SELECT * FROM licence_daily")

@@ -313,3 +313,38 @@ def test_interval_marks_read_their_input_once(spark, folder):
     assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     spent = lambda df, a, b: df.agg(F.sum(F.col("n") * (F.datediff(b, a) + 1))).first()[0]
     assert spent(out, "from_day", "to_day") == spent(t, "a", "b")
+
+
+def test_licence_days_move_by_period_and_not_by_day(spark):
+    """Against brute force per day; what is shuffled are rows per licence and period, and a day's scans need no further exchange."""
+    r = random.Random(3)
+    owned = [(f"k{i:03}", f"c{i % 9}", f"Firm {i % 5}" if i % 4 else None, r.choice(["E10", "E20 Trial", None]), r.choice([None, 1, 2]), s0, s0 + timedelta(days=r.randrange(-2, 60)))
+             for i in range(60) for s0 in [d("2024-01-01") + timedelta(days=r.randrange(30))]]
+    owned += [(*owned[0][:1], "c99", "Other -TRIAL", "E20", 5, *owned[0][5:])]
+    reports = [(f"k{r.randrange(60):03}", r.choice(["v1", "v2", None]), d("2024-01-01") + timedelta(days=r.randrange(90)), at("2024-03-01 00:00:00")) for _ in range(400)]
+    lic = spark.createDataFrame(owned, "license_id string, customer_id string, company string, edition string, users int, issued_date date, expire_date date")
+    rep = spark.createDataFrame(reports, "license_id string, server_id string, date date, timestamp timestamp_ntz")
+    out = licenses.license_days(lic, rep, "2024-02-20")
+    editions = {k: max((x[3] for x in owned if x[0] == k and x[3]), default=None) for k in {x[0] for x in owned}}
+    days = []
+    for k, c, company, edition, users, a, b in owned:
+        trial = bool(company and company.endswith(" -TRIAL")) or (b - a).days <= 35 or edition == "E20 Trial"
+        for n in range((min(b, d("2024-02-20")) - a).days + 1):
+            on = a + timedelta(days=n)
+            for server in {x[1] for x in reports if x[0] == k and x[2] == on} or {None}:
+                days.append((on, k, server, c, editions[k], trial, a, b, users))
+    rank = lambda x: (x[6], x[8] is not None, x[8] or 0, x[1], x[3])
+
+    def clip(x, same):
+        later = [y for y in days if y is not x and y[0] == x[0] and y[2] == x[2] and y[5] == x[5] and same(y) and rank(y) > rank(x)]
+        following = min(later, key=rank)[6] if later else None
+        return following - timedelta(days=1) if following and following <= x[7] else x[7]
+
+    want = {}
+    for x in days:
+        peers = {y[5] for y in days if y[0] == x[0] and y[2] == x[2]}
+        want[x[:4]] = (x[4], x[5], clip(x, lambda y, x=x: y[3] == x[3]), clip(x, lambda y: True), x[2] is not None and len(peers) == 2)
+    got = {(x["date"], x["license_id"], x["server_id"], x["customer_id"]): (x["edition"], x["trial"], x["server_expire_date"], x["server_expire_date_join"], x["has_trial_and_non_trial"]) for x in out.collect()}
+    assert got == want
+    plan = licenses.license_day_periods(lic, rep, "2024-02-20")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Repartition") > plan.index("Window") and plan.count("Repartition") == 1
