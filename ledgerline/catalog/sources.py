@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import surrogate_key
 from ..operators import merge, tables
+from ..operators.aggregate import spread
 from ..session import scratch_path
 from ..sources import files, packets
 from . import standins as s
@@ -385,7 +386,7 @@ LAST_DAY = date(2024, 8, 10)
 def _landed(rows, files_of_row):
     """The folder that Spark tasks have landed the packets of ``rows`` (id, day, flaw, …) in."""
     root = scratch_path(rows.sparkSession, "packets")
-    rows = packets.spread(rows, packets.PACKETS_PER_TASK, "id")
+    rows = spread(rows, packets.PACKETS_PER_TASK, "id")
     packets.write_packets(rows.mapInPandas(_zip(files_of_row), "path string, content binary"), root)
     return root
 

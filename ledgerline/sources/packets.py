@@ -10,6 +10,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.aggregate import spread
 from ..session import materialize
 from .files import list_folders
 
@@ -58,11 +59,6 @@ def _store(root: str):
     return pafs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (pafs.LocalFileSystem(), root)
 
 
-def spread(df: DataFrame, per_task: int, *keys: str) -> DataFrame:
-    """``df`` in as many tasks as its rows ask for, by the keys' hash: for slow work on small rows, where bytes say nothing about time."""
-    return df.repartition(max(1, -(-df.count() // per_task)), *keys)
-
-
 def write_packets(packets: DataFrame, root: str) -> None:
     """Land ``(path, content)`` rows as files under ``root``, from tasks; a repeated attempt replaces its own files.
 

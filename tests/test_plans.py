@@ -348,3 +348,22 @@ def test_licence_days_move_by_period_and_not_by_day(spark):
     assert got == want
     plan = licenses.license_day_periods(lic, rep, "2024-02-20")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Repartition") > plan.index("Window") and plan.count("Repartition") == 1
+
+
+def test_rows_are_spread_by_their_number(spark):
+    """Fifty rows of one partition go to as many tasks as asked, none is lost, and an empty table is one task."""
+    from ledgerline.operators.aggregate import spread
+
+    rows_ = spark.range(0, 50, 1, 1)
+    assert spread(rows_, 10, "id").rdd.getNumPartitions() == 5 and sorted(r[0] for r in spread(rows_, 10, "id").collect()) == list(range(50))
+    assert spread(rows_.where("id < 0"), 10, "id").rdd.getNumPartitions() == 1
+
+
+def test_security_pick_takes_query_strings_apart_once_and_spread(spark, folder):
+    """The fields are cut out behind an exchange by row number, and the pick reads them from the folder they were written to."""
+    from ledgerline.catalog import web as queries
+    from ledgerline.catalog.registry import QUERIES, Tables
+
+    assert "Repartition" in queries.pings(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    plan = QUERIES["j43_daily_security_pick"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "&]uc=" not in plan and plan.count("regexp_extract(query") == 0
