@@ -36,7 +36,9 @@ def annualised_lines(lines: DataFrame, deals: DataFrame) -> DataFrame:
     days = F.datediff("end_date", "start_date") + 1 - crosses_leap_day("start_date", "end_date")
     rows = lines.where((F.col("product_type") == "Recurring") & (F.col("end_date") != F.col("start_date"))).withColumn("_days", days).where(F.col("_days") != 0)
     value = half_up(F.col("total_price").cast("double") * 365 / F.col("_days")).cast("bigint")
-    state = rows.join(deals.select("opportunity_id", "account_id", "is_won", "is_closed"), "opportunity_id")
+    # As many tasks as shuffles have, not as few as the bytes allow: marks and steps of a deal are built in the task that holds its lines.
+    tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    state = rows.repartition(tasks, "opportunity_id").join(deals.select("opportunity_id", "account_id", "is_won", "is_closed"), "opportunity_id")
     pick = lambda test, n: F.when(test, F.col("_arr")).otherwise(0).alias(n)
     return state.withColumn("_arr", value).select(
         "line_id", "opportunity_id", "account_id", "start_date", "end_date", pick(F.col("is_won"), "won_arr"),

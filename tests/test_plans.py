@@ -367,3 +367,11 @@ def test_security_pick_takes_query_strings_apart_once_and_spread(spark, folder):
     assert "Repartition" in queries.pings(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
     plan = QUERIES["j43_daily_security_pick"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
     assert "&]uc=" not in plan and plan.count("regexp_extract(query") == 0
+
+
+def test_contract_lines_lie_in_as_many_tasks_as_shuffles_have(spark, folder):
+    from ledgerline.catalog import revenue as queries
+    from ledgerline.catalog.registry import Tables
+
+    plan = queries.annual(Tables(spark, folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(rf"RepartitionByExpression \[opportunity_id#\d+\], {spark.conf.get('spark.sql.shuffle.partitions')}\b", plan)
