@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from .common import small_batches, whole_text
 
 #: Chunks, and words, whose ids a worker remembers, and bytes of these ids; beyond either it keeps those of the last batch only.
-KNOWN_WORDS, KNOWN_BYTES = 500_000, 64_000_000
+KNOWN_WORDS, KNOWN_BYTES = 200_000, 32_000_000
 # The letters and numbers among the lower-case characters up to U+00FF. The standard library's
 # matcher knows no Unicode classes but is three times as fast on the texts that need none.
 LATIN_LETTERS, LATIN_NUMBERS, BEYOND_LATIN = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", re.compile("[^\x00-\xff]")
@@ -361,7 +361,7 @@ def loaded(spec: str) -> WordBpe:
 
 
 #: Bytes of text encoded together; bounds what a worker holds besides its input batch.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 
 def steps(batches: Iterable[pa.RecordBatch], size: int | None = None) -> Iterator[tuple[pa.Array, pa.Array]]:
