@@ -92,7 +92,8 @@ def fingerprint_components(fps: DataFrame, radius: int = 4, block: int = BLOCK)
     masks = F.array(*[F.lit(m).cast("long") for m in covering_masks(radius)])
     keyed = points.select("fp", F.posexplode(masks).alias("t", "mask")).select("t", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
     shared = keyed.groupBy("t", "key").agg(F.count("*").alias("n"), F.min("fp").alias("lead")).where("n > 1")
-    members = materialize(keyed.join(shared, ["t", "key"]), "simhash-members")
+    # Spark sizes the masked rows like the points they come from, 31 times too low, and would send them to the driver for a broadcast
+    members = materialize(keyed.hint("merge").join(shared, ["t", "key"]), "simhash-members")
 
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("lead"))) <= radius
     first = materialize(members.where(near & (F.col("fp") != F.col("lead"))).select(F.col("fp").alias("a"), F.col("lead").alias("b")).distinct(), "simhash-first")

@@ -96,3 +96,17 @@ def test_one_per_group_stays(spark):
     kept = simhash.keep_one_per_group(documents(spark, rows)).collect()
     groups = brute_components([(d, brute_print(t)) for d, t, _ in rows], 4)
     assert sorted(r["doc_id"] for r in kept) == sorted(set(groups.values()))
+
+
+def test_masked_rows_stay_off_the_driver(spark, monkeypatch):
+    """Spark sizes the masked rows like the points, so a broadcast of them would be planned far above its threshold."""
+    plans, write = {}, simhash.materialize
+
+    def record(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(simhash, "materialize", record)
+    found = simhash.fingerprint_components(spark.createDataFrame([(i, i // 2) for i in range(64)], "id long, fp long"))
+    assert {r["component"] for r in found.collect()} == {0}
+    assert "Generate" in plans["simhash-members"] and "BroadcastExchange" not in plans["simhash-members"]
