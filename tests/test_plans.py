@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerline.functions.rules import WordRule, expand, first_word_rule
-from ledgerline.plans import activity, features, licenses, revenue, surveys, web
+from ledgerline.plans import activity, crm, features, licenses, revenue, surveys, web
 
 
 def d(text):
@@ -384,6 +384,33 @@ def test_licence_days_appear_after_the_scans(spark):
     assert licenses.license_days(lic(owned).limit(0), rep, str(last)).count() == 0
 
 
+def test_won_deals_list_servers_in_tasks_by_pairs(spark, monkeypatch):
+    """Lists lie on the heap, so their tasks follow the pairs of licence and server, and a list becomes text once per licence, not once per deal."""
+    monkeypatch.setattr(crm, "PAIRS_PER_TASK", 100)
+    servers = {f"k{k}": [f"v{n}" for n in range(k, 180, 1 + k)] for k in range(1, 6)}
+    day = d("2024-01-01")
+    deals = spark.createDataFrame([(f"o{i}", f"a{i % 3}", f"k{i % 7}" if i % 8 else None, d("2024-12-31"), i, i % 9 > 0) for i in range(40)], "opportunity_id string, account_id string, license_id string, license_end date, created_at int, is_won boolean")
+    names = spark.createDataFrame([("a0", "A")], "account_id string, account_name string")
+    paths = spark.createDataFrame([("a0", "r", "Root")], "id string, root_id string, root_name string")
+    reports = spark.createDataFrame([(k, v, day + timedelta(days=n)) for k, vs in servers.items() for v in vs for n in range(2)], "license_id string, server_id string, date date")
+    known = spark.createDataFrame([("k1", "E20", 5, None)], "license_id string, sku_short_name string, licensed_seats int, expire_at date")
+    seen = spark.createDataFrame([(f"v{n}", day, n % 3) for n in range(0, 180, 2)] * 2, "server_id string, last_activity_date date, last_monthly_active_users int")
+    of = lambda sep: crm.won_opportunities(deals, names, paths, reports, known, seen, "2024-02-01", sep=sep)
+    texts, lists = of(","), of(None)
+    got = {r["opportunity_id"]: r for r in texts.collect()}
+    assert set(got) == {f"o{i}" for i in range(40) if i % 8 and i % 9}
+    for r in got.values():
+        own = sorted(servers.get(r["license_id"], []))
+        active = [v for v in own if int(v[1:]) % 2 == 0 and int(v[1:]) % 3]
+        assert (r["servers"], r["active_servers"], r["has_telemetry"], r["has_user_activity"]) == (",".join(own), ",".join(active), bool(own), bool(active))
+        assert r["days_since_last_license_telemetry"] == (30 if own else None) and r["license_sku"] == ("E20" if r["license_id"] == "k1" else None)
+    assert {r["opportunity_id"]: (",".join(r["servers"]), ",".join(r["active_servers"])) for r in lists.collect()} == {k: (r["servers"], r["active_servers"]) for k, r in got.items()}
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    pairs = sum(map(len, servers.values()))
+    assert len(set(re.findall(r"RepartitionByExpression \[license_id#\d+\], (\d+)", plan))) == 1 and abs(int(re.findall(r"RepartitionByExpression .*, (\d+)", plan)[0]) - pairs // 100) <= 1
+    assert plan.index("array_join") > plan.index("Join")
+
+
 def test_rows_are_spread_by_their_number(spark):
     """Fifty rows of one partition go to as many tasks as asked, none is lost, and an empty table is one task."""
     from ledgerline.operators.aggregate import spread
